@@ -26,9 +26,12 @@ def get_session(master: str | None = None, app_name: str = "tripcast",
     ``local[N]``.  Shuffle partitions default to Spark's own value unless given.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(BASE_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            conf["spark.driver.memory"] = os.environ.get("TRIPCAST_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -45,6 +48,12 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
