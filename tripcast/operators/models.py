@@ -61,13 +61,15 @@ def model_specs(fast: bool = False) -> dict:
     """Candidate regressors: name -> (factory, log target?)."""
     from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
 
-    rf_trees, rf_subset = (80, "0.85") if fast else (160, "0.75")
-    gbt_iter = 40 if fast else 150
+    # fast: shallower trees and fewer rounds (MLlib grows trees level by level;
+    # each level is one distributed histogram pass, so depth drives the cost)
+    rf_trees, rf_subset, rf_depth, rf_bins = (80, "0.85", 10, 32) if fast else (160, "0.75", 12, 64)
+    gbt_iter, gbt_depth = (40, 5) if fast else (150, 6)
     specs = {
         "random_forest": (lambda: RandomForestRegressor(numTrees=rf_trees, minInstancesPerNode=3,
-                                                        featureSubsetStrategy=rf_subset, maxDepth=12,
-                                                        maxBins=64, seed=42), True),
-        "gbt": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=6, stepSize=0.1, subsamplingRate=0.94,
+                                                        featureSubsetStrategy=rf_subset, maxDepth=rf_depth,
+                                                        maxBins=rf_bins, seed=42), True),
+        "gbt": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=gbt_depth, stepSize=0.1, subsamplingRate=0.94,
                                      featureSubsetStrategy="0.92", maxBins=64, seed=42), True),
         "gbt_smooth": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=4, stepSize=0.1, subsamplingRate=0.9,
                                             featureSubsetStrategy="0.88", minInstancesPerNode=4,
@@ -119,13 +121,25 @@ class DemandModel:
 
     regressor_model: object = None
 
-    def predict(self, df: DataFrame, out: str = "predicted_demand") -> DataFrame:
+    def base_scores(self, df: DataFrame) -> DataFrame:
+        """Regressor output on the demand scale, clipped to [0, cap], in ``_raw``.
+
+        Everything after this step is column arithmetic and one small
+        broadcast join, so callers that try many calibration settings
+        materialise this once and call ``finish`` repeatedly.
+        """
         scored = self.raw(df)
         p = F.col("prediction")
         if self.log_target:
             p = F.expm1(p)
-        p = F.least(F.greatest(p, F.lit(0.0)), F.lit(self.prediction_cap))
-        if self.blend_weight < 1 and "historical_profile_demand" in df.columns:
+        scored = scored.withColumn("_raw", F.least(F.greatest(p, F.lit(0.0)), F.lit(self.prediction_cap)))
+        drop = [c for c in scored.columns if c.endswith("__idx") or c.endswith("__code")] + ["features", "prediction"]
+        return scored.drop(*[c for c in drop if c in scored.columns])
+
+    def finish(self, scored: DataFrame, out: str = "predicted_demand") -> DataFrame:
+        """Blend -> calibrate -> clip -> residual correction -> clip."""
+        p = F.col("_raw")
+        if self.blend_weight < 1 and "historical_profile_demand" in scored.columns:
             p = F.lit(self.blend_weight) * p + F.lit(1 - self.blend_weight) * F.col("historical_profile_demand")
         scored = scored.withColumn("_p", p)
         if self.calibration == "isotonic" and self.isotonic is not None:
@@ -135,7 +149,7 @@ class DemandModel:
             scored = scored.withColumn("_p", F.lit(self.slope) * F.col("_p") + F.lit(self.intercept))
         scored = scored.withColumn("_p", F.least(F.greatest(F.col("_p"), F.lit(0.0)), F.lit(self.prediction_cap)))
         if self.residual_keys and self.residual_table is not None:
-            # small (count-filtered segments); null-safe on every key
+            # small (count-filtered segments of a few categorical keys); null-safe on every key
             table = F.broadcast(self.residual_table)
             cond = None
             for k in self.residual_keys:
@@ -146,8 +160,10 @@ class DemandModel:
             scored = scored.withColumn("_p", F.least(F.greatest(F.col("_p") + F.lit(RESIDUAL_SHRINKAGE) * adj,
                                                                 F.lit(0.0)), F.lit(self.prediction_cap)))
             scored = scored.drop(*[f"_rk_{k}" for k in self.residual_keys], "_correction")
-        drop = [c for c in scored.columns if c.endswith("__idx") or c.endswith("__code")] + ["features", "prediction"]
-        return scored.withColumnRenamed("_p", out).drop(*[c for c in drop if c in scored.columns])
+        return scored.drop("_raw").withColumnRenamed("_p", out)
+
+    def predict(self, df: DataFrame, out: str = "predicted_demand") -> DataFrame:
+        return self.finish(self.base_scores(df), out)
 
     # S17
     def save(self, path: str) -> None:
@@ -212,10 +228,15 @@ def fit_model(train: DataFrame, name: str, spec, cap: float, target: str = "dema
     return model
 
 
-def long_predictions(model: DemandModel, df: DataFrame, keys: list[str], target: str = "demand") -> DataFrame:
-    """Score rows into the long (model, keys, y, pred, profile) table of the evaluation operators."""
+def long_predictions(model: DemandModel, df: DataFrame, keys: list[str], target: str = "demand",
+                     scored: bool = False) -> DataFrame:
+    """Score rows into the long (model, keys, y, pred, profile) table of the evaluation operators.
+
+    ``scored=True``: ``df`` already holds ``base_scores`` output; only the cheap
+    finishing chain runs.
+    """
     keep = [k for k in keys if k in df.columns]
-    scored = model.predict(df)
+    scored = model.finish(df) if scored else model.predict(df)
     return scored.select(F.lit(model.name).alias("model"), *keep, F.col(target).cast("double").alias("y"),
                          F.col("predicted_demand").alias("pred"),
                          F.col("historical_profile_demand").alias("profile"))
@@ -234,17 +255,19 @@ def residual_corrections(calibration: DataFrame, key_columns: list[str],
                           (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
 
 
-def maybe_add_residual_adjustment(model: DemandModel, calibration: DataFrame, keys: list[str],
+def maybe_add_residual_adjustment(model: DemandModel, base_scored: DataFrame, keys: list[str],
                                   target: str = "demand") -> tuple[DemandModel, str]:
     """Try each candidate key set; accept one only when MAE and WAPE do not get worse,
-    R2 does not drop and the calibration score improves."""
-    scored = model.predict(calibration, out="_base").withColumn("residual",
-                                                                 F.col(target).cast("double") - F.col("_base"))
-    from ..session import checkpoint_dir
-    checkpoint_dir(scored.sparkSession)
-    scored = scored.checkpoint(eager=True)  # reused by every candidate below
-    base_pred = scored.select(F.lit("base").alias("model"), F.col(target).cast("double").alias("y"),
-                              F.col("_base").alias("pred"))
+    R2 does not drop and the calibration score improves.
+
+    ``base_scored`` is the calibration split with ``base_scores`` already computed
+    (materialised), so each candidate costs two small aggregations and a join.
+    """
+    y = F.col(target).cast("double")
+    scored = model.finish(base_scored, out="_base").withColumn("residual", y - F.col("_base"))
+    from ..session import materialize
+    scored = materialize(scored)  # reused by every candidate below
+    base_pred = scored.select(F.lit("base").alias("model"), y.alias("y"), F.col("_base").alias("pred"))
     base = EV.regression_metrics(base_pred).withColumn("score", EV.calibration_score()).first()
     best_score, best_keys, best_table = base["score"], [], None
     bias = scored.select(F.median("residual")).first()[0] or 0.0
@@ -252,14 +275,13 @@ def maybe_add_residual_adjustment(model: DemandModel, calibration: DataFrame, ke
         available = [c for c in key_set if c in scored.columns]
         if not available:
             continue
-        table = residual_corrections(scored, available)
+        table = materialize(residual_corrections(scored, available))
         if table.isEmpty():
             continue
         trial = DemandModel(**{**model.__dict__})
-        trial.regressor_model = model.regressor_model
         trial.residual_keys, trial.residual_table, trial.residual_bias = available, table, bias
-        adj = trial.predict(calibration, out="_adj").select(
-            F.lit("adj").alias("model"), F.col(target).cast("double").alias("y"), F.col("_adj").alias("pred"))
+        adj = trial.finish(base_scored, out="_adj").select(
+            F.lit("adj").alias("model"), y.alias("y"), F.col("_adj").alias("pred"))
         m = EV.regression_metrics(adj).withColumn("score", EV.calibration_score()).first()
         preserved = m["MAE"] <= base["MAE"] and m["WAPE"] <= base["WAPE"] and m["R2"] >= base["R2"]
         if preserved and m["score"] < best_score:

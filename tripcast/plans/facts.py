@@ -7,17 +7,26 @@ from ..operators.demand import area_hour_demand, station_hour_demand
 from ..operators.enrich import add_holiday_features, merge_weather
 from ..operators.lags import add_lag_features
 from ..operators.stations import station_metadata
+from ..session import materialize
 
 
 def enriched_station_hour(trips: DataFrame, holidays: DataFrame | None = None,
                           weather: DataFrame | None = None, weather_kind: str = "daily",
                           stations: DataFrame | None = None, fill: str = "median",
-                          densify: bool = False, one_name_per_id: bool = True) -> DataFrame:
-    """clean trips -> fact (+ station dimension, calendar) -> holidays -> lags/profiles -> weather."""
+                          densify: bool = False, one_name_per_id: bool = True,
+                          cut_lineage: bool = True) -> DataFrame:
+    """clean trips -> fact (+ station dimension, calendar) -> holidays -> lags/profiles -> weather.
+
+    The base fact feeds the series windows, two area aggregates and the global
+    median; ``cut_lineage`` writes it once to the checkpoint folder so those
+    branches read it back instead of re-aggregating the trips.
+    """
     if stations is None:
         stations = station_metadata(trips, one_name_per_id=one_name_per_id)
     fact = station_hour_demand(trips, stations)
     fact = add_holiday_features(fact, holidays)
+    if cut_lineage:
+        fact = materialize(fact)
     fact = add_lag_features(fact, fill=fill, densify=densify)
     return merge_weather(fact, weather, weather_kind)
 

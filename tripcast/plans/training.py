@@ -12,23 +12,28 @@ from ..operators import evaluation as EV
 from ..operators.models import (fit_model, feature_importance, long_predictions, maybe_add_residual_adjustment,
                                 model_specs, prediction_cap, prepare_numeric)
 from ..operators.split import latest_rows, temporal_train_calibration_test_split, temporal_train_test_split
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 
 KEYS = ["hour_start", "start_station_id", "rider_type"]
 
 
 def _calibrate(model, calibration: DataFrame, target: str):
-    """M10 + M11 + M13 on the calibration split; returns the description of the chain."""
-    cal_pred = long_predictions(model, calibration, KEYS, target)
+    """M10 + M11 + M13 on the calibration split; returns the description of the chain.
+
+    The regressor runs once over the calibration rows (materialised); every
+    setting tried afterwards is column arithmetic over that table.
+    """
+    base = materialize(model.base_scores(calibration))
+    cal_pred = materialize(long_predictions(model, base, KEYS, target, scored=True))
     weight = EV.optimize_blend_weight(cal_pred).first()["blend_weight"]
     model.blend_weight = float(weight)
-    blended = long_predictions(model, calibration, KEYS, target)
+    blended = materialize(long_predictions(model, base, KEYS, target, scored=True))
     choice = EV.optimize_prediction_calibration(blended, [model.name]).first()
     model.calibration = choice["method"]
     model.slope, model.intercept = float(choice["slope"]), float(choice["intercept"])
     if model.calibration == "isotonic":
         model.isotonic = EV.isotonic_calibration(blended, model.name)
-    model, residual = maybe_add_residual_adjustment(model, calibration, KEYS, target)
+    model, residual = maybe_add_residual_adjustment(model, base, KEYS, target)
     return {"method": model.calibration, "slope": model.slope, "intercept": model.intercept,
             "residual_adjustment": residual}
 
@@ -89,10 +94,10 @@ def rider_specific_models(data: DataFrame, best: str, spec, cap: float, target:
             continue
         split = temporal_train_test_split(rider_data).checkpoint(eager=True)
         model = fit_model(split.filter(F.col("split") == "train"), best, spec, cap, target)
-        test = split.filter(F.col("split") == "test")
-        pred = long_predictions(model, test, KEYS, target)
+        test = materialize(model.base_scores(split.filter(F.col("split") == "test")))
+        pred = long_predictions(model, test, KEYS, target, scored=True)
         model.blend_weight = float(EV.optimize_blend_weight(pred).first()["blend_weight"])
-        m = EV.regression_metrics(long_predictions(model, test, KEYS, target)).first().asDict()
+        m = EV.regression_metrics(long_predictions(model, test, KEYS, target, scored=True)).first().asDict()
         m.update({"rider_type": rider, "model": best, "blend_weight": model.blend_weight})
         rows.append(m)
     if not rows:
