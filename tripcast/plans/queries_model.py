@@ -38,7 +38,7 @@ def trained(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         fact = clustered_fact(spark, sf)
-        _TRAINED[key] = (fact, train_models(fact, fast=True, train_rider_models=True))
+        _TRAINED[key] = (fact, train_models(fact, fast=True, train_rider_models=False))
     return _TRAINED[key]
 
 
@@ -79,7 +79,11 @@ def q_importance(spark, sf):
 
 @register("rider_model_metrics", None, [], ["M21"])
 def q_rider_models(spark, sf):
-    out = trained(spark, sf)[1].get("rider_metrics")
+    from ..operators.models import model_specs, prepare_numeric
+    from .training import rider_specific_models
+    fact, res = trained(spark, sf)
+    best = res["best_model_name"]
+    out = rider_specific_models(prepare_numeric(fact), best, model_specs(fast=True)[best], res["prediction_cap"])
     return out if out is not None else spark.createDataFrame([], "rider_type string")
 
 
