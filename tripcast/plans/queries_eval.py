@@ -280,3 +280,66 @@ def q_backtest(spark, sf):
 @register("scatter_points", PREDS + "\nSELECT y, pred FROM preds WHERE model = 'model_b'", ["y", "pred"], ["M22"])
 def q_scatter(spark, sf):
     return EV.scatter_points(preds_of(spark, sf), "model_b")
+
+
+# ---------------------------------------------------------------------------
+# options of the reference's quirks, each against its own SQL
+# ---------------------------------------------------------------------------
+from .registry import LAG_COLS, LAG_DOUBLES  # noqa: E402
+
+_PROFILE_FILLED = [c for c in LAG_DOUBLES if c != "historical_profile_demand"]
+
+
+@register("lags_profile_fill", E.replace("coalesce(l.lag_1h, med.m)", "coalesce(l.lag_1h, l.historical_profile_demand, med.m)")
+          .replace("coalesce(l.lag_24h, med.m)", "coalesce(l.lag_24h, l.historical_profile_demand, med.m)")
+          .replace("coalesce(l.lag_168h, med.m)", "coalesce(l.lag_168h, l.historical_profile_demand, med.m)")
+          .replace("coalesce(l.lag_1h - l.lag_24h, med.m)",
+                   "coalesce(l.lag_1h - l.lag_24h, l.historical_profile_demand, med.m)")
+          + "\nSELECT hour_start, start_station_id, rider_type, lag_1h, lag_24h, lag_168h, trend_24h FROM enriched",
+          ["lag_1h", "lag_24h", "lag_168h", "trend_24h"], ["Q3", "F24"])
+def q_profile_fill(spark, sf):
+    return enriched_of(spark, sf, fill="profile").select(*KEYS, "lag_1h", "lag_24h", "lag_168h", "trend_24h")
+
+
+@register("lags_dense_hours", E + """,
+bounds AS (SELECT start_station_id, rider_type, min(hour_start) AS lo, max(hour_start) AS hi
+           FROM fact_h GROUP BY start_station_id, rider_type),
+spine AS (SELECT start_station_id, rider_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour_start
+          FROM bounds),
+dense AS (SELECT s.start_station_id, s.rider_type, s.hour_start, coalesce(f.demand, 0) AS demand,
+                 f.demand IS NOT NULL AS observed
+          FROM spine s LEFT JOIN fact_h f USING (start_station_id, rider_type, hour_start)),
+dense_lags AS (
+  SELECT *, CAST(lag(demand, 1) OVER w AS DOUBLE) AS l1, CAST(lag(demand, 24) OVER w AS DOUBLE) AS l24,
+         avg(demand) OVER (PARTITION BY start_station_id, rider_type ORDER BY hour_start
+                           ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS r24
+  FROM dense WINDOW w AS (PARTITION BY start_station_id, rider_type ORDER BY hour_start)
+)
+SELECT hour_start, start_station_id, rider_type, coalesce(l1, (SELECT m FROM med)) AS lag_1h,
+       coalesce(l24, (SELECT m FROM med)) AS lag_24h, coalesce(r24, (SELECT m FROM med)) AS rolling_mean_24h
+FROM dense_lags WHERE observed""", ["lag_1h", "lag_24h", "rolling_mean_24h"], ["Q4", "H1", "W1", "U4"])
+def q_dense(spark, sf):
+    return enriched_of(spark, sf, densify=True).select(*KEYS, "lag_1h", "lag_24h", "rolling_mean_24h")
+
+
+@register("station_hotspots_with_rollup", E + """
+SELECT start_station_id, start_station_name, station_lat, station_lng, CAST(sum(demand) AS BIGINT) AS demand
+FROM enriched GROUP BY ALL ORDER BY demand DESC, start_station_id, start_station_name, station_lat, station_lng
+LIMIT 20""", ["station_lat", "station_lng"], ["Q5", "T1"])
+def q_hot_rollup(spark, sf):
+    from ..operators.analysis import station_hotspots
+    return station_hotspots(enriched_of(spark, sf), "all", 20, include_rollup=True)
+
+
+@register("station_metadata_fan_out", O.with_ctes(O.TRIP_VIEW, O.RAW_RENAMED, O.clean("raw_renamed"))
+          + """
+SELECT start_station_id, start_station_name, median(start_lat) AS station_lat, median(start_lng) AS station_lng,
+       count(ride_id) AS trips FROM trips GROUP BY start_station_id, start_station_name""",
+          ["station_lat", "station_lng"], ["Q9", "A1"])
+def q_fan_out(spark, sf):
+    from ..operators.clean import clean_trips
+    from ..operators.stations import station_metadata
+    from ..sources.fixtures import trip_view_renamed_station
+    trips = clean_trips(trip_view_renamed_station(spark, sf))
+    return station_metadata(trips, one_name_per_id=False, cluster=False).select(
+        "start_station_id", "start_station_name", "station_lat", "station_lng", "trips")
