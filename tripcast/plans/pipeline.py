@@ -91,8 +91,8 @@ def publish_app_artifacts(spark: SparkSession, out_dir: str, fact: DataFrame, ar
 
 
 def publish_training(spark: SparkSession, out_dir: str, res: dict) -> None:
-    write_small_csv(res["metrics"], _p(out_dir, "evaluation_metrics"))
-    write_small_csv(res["ranking"], _p(out_dir, "model_selection_ranking"))
+    write_small_csv(res["metrics"].orderBy("MAE", "model"), _p(out_dir, "evaluation_metrics"))
+    write_small_csv(res["ranking"].orderBy("combined_rank_score", "MAE", "model"), _p(out_dir, "model_selection_ranking"))
     write_small_csv(res["top3"], _p(out_dir, "evaluation_metrics_top3"))
     write_small_csv(res["best_summary"], _p(out_dir, "best_model_summary"))
     write_small_csv(res["hotspot"].orderBy(F.desc("hotspot_f1")), _p(out_dir, "hotspot_classification_metrics"))

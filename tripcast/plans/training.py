@@ -5,6 +5,8 @@ blend weight / calibration choice per model and the metric rows.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import RIDER_MODEL_MIN_ROWS, RIDER_MODEL_TYPES
@@ -64,7 +66,7 @@ def train_models(station_hour: DataFrame, target: str = "demand", max_train_rows
     preds = preds.checkpoint(eager=True)
     metrics = EV.regression_metrics(preds)
     ranking = EV.build_model_selection_table(metrics)
-    extra = spark.createDataFrame([(n, fitted[n].blend_weight, str(settings[n])) for n in fitted],
+    extra = spark.createDataFrame([(n, fitted[n].blend_weight, json.dumps(settings[n])) for n in fitted],
                                   "model string, blend_weight double, calibration string")
     ranking = ranking.join(extra, "model", "left")
     if selection_metric == "MAE":
