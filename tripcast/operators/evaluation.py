@@ -140,7 +140,6 @@ def linear_calibration(pred: DataFrame, group: list[str] | None = None) -> DataF
 def isotonic_calibration(pred: DataFrame, model_name: str):
     """Isotonic fit of y on pred for one model, pre-aggregated to distinct predictions
     with weights so the pooled fit never sees more points than distinct values."""
-    from pyspark.ml.feature import VectorAssembler  # noqa: F401
     from pyspark.ml.regression import IsotonicRegression
 
     points = (pred.filter(F.col("model") == model_name).groupBy("pred")
@@ -163,7 +162,6 @@ def optimize_prediction_calibration(pred: DataFrame, models: list[str] | None =
     out = out.join(distinct, "model")
     iso_scores = []
     names = models or [r["model"] for r in pred.select("model").distinct().collect()]  # model names only
-    spark = pred.sparkSession
     for name in names:
         n_distinct = out.filter(F.col("model") == name).select("_distinct").first()
         if n_distinct is None or n_distinct[0] < 2:
@@ -183,7 +181,6 @@ def optimize_prediction_calibration(pred: DataFrame, models: list[str] | None =
     method = (F.when(F.col("isotonic_score").isNotNull() & (F.col("isotonic_score") < after_linear), F.lit("isotonic"))
               .when(F.col("linear_score") < F.col("none_score"), F.lit("linear"))
               .otherwise(F.lit("none")))
-    del spark
     return out.select(
         "model", method.alias("method"),
         F.when(method == "linear", F.col("slope")).otherwise(F.lit(1.0)).alias("slope"),

@@ -285,7 +285,7 @@ def q_scatter(spark, sf):
 # ---------------------------------------------------------------------------
 # options of the reference's quirks, each against its own SQL
 # ---------------------------------------------------------------------------
-from .registry import LAG_COLS, LAG_DOUBLES  # noqa: E402
+from .registry import LAG_DOUBLES  # noqa: E402
 
 _PROFILE_FILLED = [c for c in LAG_DOUBLES if c != "historical_profile_demand"]
 
