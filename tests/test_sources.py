@@ -91,3 +91,15 @@ def test_batch_build_round_trip(spark, tmp_dir):
     rebuild_app_artifacts(spark, out)
     arts = load_artifacts(spark, out)
     assert arts["station_hour"].count() > 0 and arts["flow"].count() > 0
+
+
+def test_shuffle_sizing(spark):
+    from tripcast.session import size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_shuffle_partitions(spark, 10 * 1024 ** 4)   # 10 TiB of input
+        # the test session sets shuffle partitions statically, which wins
+        assert n == int(before)
+        assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 80000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

@@ -41,6 +41,10 @@ def run_pipeline(spark: SparkSession, out_dir: str, raw_dir: str | None = None,
         holidays = holiday_table(spark)
         save_holiday_table(spark, _p(out_dir, "holidays"))
     if raw is None:
+        from ..session import size_shuffle_partitions
+        from ..sources.trips import discover_csv_files, total_bytes
+        paths = paths or discover_csv_files(spark, raw_dir)
+        size_shuffle_partitions(spark, total_bytes(spark, paths))
         raw = read_trips(spark, raw_dir, paths, sample_rows, sample_rows_per_file, total_sample_rows)
     write_table(clean_trips(raw), _p(out_dir, "clean_trips"))
     trips = read_table(spark, _p(out_dir, "clean_trips"))

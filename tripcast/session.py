@@ -50,6 +50,27 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
+    """Size shuffles from the input volume unless the user configured them.
+
+    AQE only coalesces partitions, so the starting count must cover the
+    biggest shuffle (the trip-level de-dup): about one partition per
+    ``bytes_per_partition`` of input.  Later, smaller stages are coalesced
+    back to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    """
+    static = spark.sparkContext.getConf()
+    n = max(int(input_bytes // bytes_per_partition) + 1, spark.sparkContext.defaultParallelism)
+    if not static.contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    if not static.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def materialize(df):
     """Cut lineage: reliable checkpoint into the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)

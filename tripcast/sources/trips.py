@@ -40,6 +40,15 @@ def discover_csv_files(spark: SparkSession, raw_dir: str, exclude=RAW_EXCLUDE_PA
     return sorted(found)
 
 
+def total_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Sum of file lengths (listing metadata only)."""
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += int(fs.getFileStatus(p).getLen())
+    return total
+
+
 def normalize_column(name: str) -> str:
     """Strip, lower, spaces and '-' to '_'."""
     return name.strip().lower().replace(" ", "_").replace("-", "_")
