@@ -270,7 +270,8 @@ def maybe_add_residual_adjustment(model: DemandModel, base_scored: DataFrame, ke
     base_pred = scored.select(F.lit("base").alias("model"), y.alias("y"), F.col("_base").alias("pred"))
     base = EV.regression_metrics(base_pred).withColumn("score", EV.calibration_score()).first()
     best_score, best_keys, best_table = base["score"], [], None
-    bias = scored.select(F.median("residual")).first()[0] or 0.0
+    from .stats import exact_median
+    bias = exact_median(scored, [], "residual").first()[0] or 0.0
     for key_set in RESIDUAL_KEY_SETS:
         available = [c for c in key_set if c in scored.columns]
         if not available:
