@@ -15,36 +15,36 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "median",
                  buckets: int = 1024, rounds: int = 2) -> DataFrame:
-    keys = list(groups) or ["_all"]
-    data = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
+    keys = list(groups) or ["__em_all"]
+    data = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("__em_v")).dropna(subset=["__em_v"])
     if not groups:
-        data = data.withColumn("_all", F.lit(0))
-    state = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                    F.max("_v").alias("_hi"))
-    state = state.select(*keys, "_lo", "_hi", F.lit(0).cast("bigint").alias("_before"),
-                         F.floor((F.col("_n") - 1) / 2).alias("_k1"), F.floor(F.col("_n") / 2).alias("_k2"))
+        data = data.withColumn("__em_all", F.lit(0))
+    state = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("__em_n"), F.min("__em_v").alias("__em_lo"),
+                                    F.max("__em_v").alias("__em_hi"))
+    state = state.select(*keys, "__em_lo", "__em_hi", F.lit(0).cast("bigint").alias("__em_before"),
+                         F.floor((F.col("__em_n") - 1) / 2).alias("__em_k1"), F.floor(F.col("__em_n") / 2).alias("__em_k2"))
     for _ in range(rounds):
-        width = (F.col("_hi") - F.col("_lo")) / buckets
+        width = (F.col("__em_hi") - F.col("__em_lo")) / buckets
         b = F.when(width == 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(buckets - 1)))
-        hist = (data.join(state, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-                .groupBy(*keys, b.alias("_b"), "_before", "_k1", "_k2")
-                .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")))
+            F.least(F.floor((F.col("__em_v") - F.col("__em_lo")) / width), F.lit(buckets - 1)))
+        hist = (data.join(state, keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
+                .groupBy(*keys, b.alias("__em_b"), "__em_before", "__em_k1", "__em_k2")
+                .agg(F.count(F.lit(1)).alias("__em_c"), F.min("__em_v").alias("__em_blo"), F.max("__em_v").alias("__em_bhi")))
         # at most `buckets` rows per group
-        w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_cb", F.col("_before") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-        holds = lambda k: (F.col("_cb") <= F.col(k)) & (F.col(k) < F.col("_cb") + F.col("_c"))
-        chosen = hist.filter(holds("_k1") | holds("_k2"))
-        state = chosen.groupBy(*keys).agg(F.min("_blo").alias("_lo"), F.max("_bhi").alias("_hi"),
-                                          F.min("_cb").alias("_before"), F.first("_k1").alias("_k1"),
-                                          F.first("_k2").alias("_k2"))
+        w = Window.partitionBy(*keys).orderBy("__em_b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("__em_cb", F.col("__em_before") + F.coalesce(F.sum("__em_c").over(w), F.lit(0)))
+        holds = lambda k: (F.col("__em_cb") <= F.col(k)) & (F.col(k) < F.col("__em_cb") + F.col("__em_c"))
+        chosen = hist.filter(holds("__em_k1") | holds("__em_k2"))
+        state = chosen.groupBy(*keys).agg(F.min("__em_blo").alias("__em_lo"), F.max("__em_bhi").alias("__em_hi"),
+                                          F.min("__em_cb").alias("__em_before"), F.first("__em_k1").alias("__em_k1"),
+                                          F.first("__em_k2").alias("__em_k2"))
     # distinct values left in the narrowed range, with counts and absolute positions
-    vc = (data.join(state, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-          .groupBy(*keys, "_v", "_before", "_k1", "_k2").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    vc = vc.withColumn("_cb", F.col("_before") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    holds = lambda k: (F.col("_cb") <= F.col(k)) & (F.col(k) < F.col("_cb") + F.col("_c"))
-    picked = vc.groupBy(*keys).agg(F.max(F.when(holds("_k1"), F.col("_v"))).alias("_v1"),
-                                   F.max(F.when(holds("_k2"), F.col("_v"))).alias("_v2"))
-    result = picked.select(*keys, ((F.col("_v1") + F.col("_v2")) / 2).alias(out))
-    return result.drop("_all") if not groups else result
+    vc = (data.join(state, keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
+          .groupBy(*keys, "__em_v", "__em_before", "__em_k1", "__em_k2").agg(F.count(F.lit(1)).alias("__em_c")))
+    w = Window.partitionBy(*keys).orderBy("__em_v").rowsBetween(Window.unboundedPreceding, -1)
+    vc = vc.withColumn("__em_cb", F.col("__em_before") + F.coalesce(F.sum("__em_c").over(w), F.lit(0)))
+    holds = lambda k: (F.col("__em_cb") <= F.col(k)) & (F.col(k) < F.col("__em_cb") + F.col("__em_c"))
+    picked = vc.groupBy(*keys).agg(F.max(F.when(holds("__em_k1"), F.col("__em_v"))).alias("__em_v1"),
+                                   F.max(F.when(holds("__em_k2"), F.col("__em_v"))).alias("__em_v2"))
+    result = picked.select(*keys, ((F.col("__em_v1") + F.col("__em_v2")) / 2).alias(out))
+    return result.drop("__em_all") if not groups else result
