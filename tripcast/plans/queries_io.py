@@ -252,3 +252,31 @@ _NUM = [c for c in NUMERIC_FEATURES]
     f"coalesce(CAST({c} AS DOUBLE), CAST(0.0 AS DOUBLE)) AS {c}" for c in _NUM) + " FROM enriched", _NUM, ["F25"])
 def q_numeric(spark, sf):
     return prepare_numeric(enriched_of(spark, sf)).select(*KEYS, *_NUM)
+
+
+# hourly weather (J3): one row per event hour, written with a ``timestamp`` column
+_HOURLY_SQL = """
+hourly_weather AS (
+  SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS hour_start, max(value) / 10 AS temperature,
+         min(value) / 100 AS precipitation, CAST(0.0 AS DOUBLE) AS snow, min(value) AS wind_speed
+  FROM events GROUP BY 1
+)"""
+
+
+@register("weather_hourly_join", E.replace("WITH ", "WITH " + _HOURLY_SQL.strip() + ",", 1) + """
+SELECT e.hour_start, e.start_station_id, e.rider_type, w.temperature, w.precipitation, w.snow, w.wind_speed,
+  CASE WHEN w.wind_speed IS NULL THEN 'Unknown wind' WHEN w.wind_speed < 3 THEN 'Light wind'
+       WHEN w.wind_speed < 8 THEN 'Moderate wind' ELSE 'Strong wind' END AS wind_intensity
+FROM enriched e LEFT JOIN hourly_weather w ON e.hour_start = w.hour_start""",
+          ["temperature", "precipitation", "snow", "wind_speed"], ["J3", "S8"])
+def q_weather_hourly(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    hourly = ev.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
+        (F.max("value") / 10).alias("temperature"), (F.min("value") / 100).alias("precipitation"),
+        F.lit(0.0).alias("snow"), F.min("value").alias("wind_speed"))
+    path = scratch(spark, "weather-hourly-csv")
+    write_small_csv(hourly.select(F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                                  "temperature", "precipitation", "snow", "wind_speed"), path)
+    kind, weather = read_weather_csv(spark, path)
+    out = merge_weather(enriched_of(spark, sf), weather, kind)
+    return out.select(*KEYS, "temperature", "precipitation", "snow", "wind_speed", "wind_intensity")
