@@ -74,7 +74,7 @@ def main() -> None:
         ("station_hotspots (T1): pruned read, rider filter pushed into the scan, partial aggregate, top-k",
          A.station_hotspots(fact(["start_station_id", "start_station_name", "station_lat", "station_lng",
                                   "rider_type", "demand"]), "member", 20)),
-        ("flow_summary (A24 + W6): grouping sets + medians, per-group top 30 with a partial window group limit",
+        ("flow_summary (A24 + W6): counts + stacked exact coordinate medians, per-group top 30 with a partial window group limit",
          flow_summary(trips(["ride_id", "started_at", "start_station_name", "end_station_name", "end_station_id",
                              "start_lat", "start_lng", "end_lat", "end_lng", "rider_type"]))),
         ("daily_weather_summary (A22): date-partitioned fact, pruned columns",

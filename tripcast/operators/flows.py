@@ -11,8 +11,21 @@ PAIR = ["start_station_name", "end_station_name"]
 COORDS = ["start_lat", "start_lng", "end_lat", "end_lng"]
 
 
-def _flow_aggs():
-    return [F.count("ride_id").alias("flow_count")] + [F.median(c).alias(c) for c in COORDS]
+def _flow_counts_and_medians(data: DataFrame, keys: list[str]) -> DataFrame:
+    """Trips per key with the exact median of the four coordinates.
+
+    The coordinates are stacked into one column so a single histogram-narrowed
+    median job serves all four; no group's values sit in one task's buffer,
+    even when one station pair carries a large share of all trips.
+    """
+    from .stats import exact_median
+    counts = data.groupBy(*keys).agg(F.count("ride_id").alias("flow_count"))
+    stacked = data.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("coord"), F.col(c).cast("double").alias("coord_value")) for c in COORDS
+    ])).alias("_p")).select(*keys, "_p.coord", "_p.coord_value")
+    med = exact_median(stacked, keys + ["coord"], "coord_value", "_m").groupBy(*keys).agg(
+        *[F.max(F.when(F.col("coord") == c, F.col("_m"))).alias(c) for c in COORDS])
+    return counts.join(med, keys, "left").select(*keys, "flow_count", *COORDS)
 
 
 def _ranked_top(flows: DataFrame, top_per_group: int) -> DataFrame:
@@ -27,19 +40,17 @@ def flow_summary(trips: DataFrame, top_per_group: int = FLOW_TOP_PER_GROUP, with
     """A24 (with_all=True) / A25 (with_all=False, end-station id not required).
 
     Flow counts per (weekday, hour, rider, start, end) with median coordinates;
-    the 'all' rider rows come from the same pass through grouping sets.
+    the 'all' rider rows come from the same pass (each trip exploded into its
+    rider type and 'all').
     """
     need = (["end_station_id"] if require_end_station_id else []) + ["end_station_name", "end_lat", "end_lng"]
     data = trips.dropna(subset=need).withColumns({
         "hour": F.hour("started_at"), "day_of_week": F.weekday("started_at")})
+    data = data.dropna(subset=PAIR)
     if with_all:
-        flows = data.groupingSets(
-            [GROUP + PAIR, ["day_of_week", "hour"] + PAIR], *GROUP, *PAIR
-        ).agg(*_flow_aggs(), F.grouping("rider_type").alias("_rollup"))
-        flows = flows.withColumn("rider_type", F.when(F.col("_rollup") == 1, F.lit("all"))
-                                 .otherwise(F.col("rider_type"))).drop("_rollup")
-    else:
-        flows = data.groupBy(*GROUP, *PAIR).agg(*_flow_aggs())
+        # each trip counts for its own rider type and for 'all'
+        data = data.withColumn("rider_type", F.explode(F.array(F.col("rider_type"), F.lit("all"))))
+    flows = _flow_counts_and_medians(data.dropna(subset=["rider_type"]), GROUP + PAIR)
     return _ranked_top(flows, top_per_group)
 
 
@@ -66,5 +77,4 @@ def predict_flow_trends(trips: DataFrame, day_of_week: int, hour: int, rider_typ
         data = data.filter(F.col("rider_type") == rider_type)
     data = data.filter((F.col("hour") == hour) & (F.col("day_of_week") == day_of_week))
     data = data.dropna(subset=["end_station_id"]).dropna(subset=PAIR)
-    return (data.groupBy(*PAIR).agg(*_flow_aggs())
-            .orderBy(F.desc("flow_count"), *PAIR).limit(top_k))
+    return _flow_counts_and_medians(data, PAIR).orderBy(F.desc("flow_count"), *PAIR).limit(top_k)
