@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, link_trust, sharding
+from . import chat_format, exact_dedup, licenses, link_trust, sentencepiece_bpe, sharding
 from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM esc GROUP BY conv_id"""
 
 
+# ---------------------------------------------------------------------------
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op3_sentencepiece")
+def op3(spark, sf_dir):
+    small_batches(spark)
+    return sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"),
+                                           tokenizer_path("piece_bpe_32k.model"), digests=True)
+
+
+# ---------------------------------------------------------------------------
+@query("op5_license_scan")
+def op5(spark, sf_dir):
+    small_batches(spark)
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 # ---------------------------------------------------------------------------
 def _link_trust_sql(steps: int = link_trust.STEPS, damping: float = link_trust.DAMPING) -> str:
     """The same walk, each step a CTE."""
