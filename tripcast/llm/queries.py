@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, licenses, link_trust, sentencepiece_bpe, sharding
+from . import chat_format, exact_dedup, licenses, link_trust, sentencepiece_bpe, sharding, toxicity
 from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,14 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# ---------------------------------------------------------------------------
+@query("op1_toxicity")
+def op1(spark, sf_dir):
+    small_batches(spark)
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 # ---------------------------------------------------------------------------
 TWO_TURNS = "<|im_end|><|im_start|>assistant ok"
 
