@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, licenses, link_trust, sentencepiece_bpe, sharding, toxicity
+from . import chat_format, exact_dedup, licenses, link_trust, packing, sentencepiece_bpe, sharding, toxicity
 from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,13 @@ def op3(spark, sf_dir):
                                            tokenizer_path("piece_bpe_32k.model"), digests=True)
 
 
+# ---------------------------------------------------------------------------
+@query("op4_packing")
+def op4(spark, sf_dir):
+    small_batches(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 # ---------------------------------------------------------------------------
 @query("op5_license_scan")
 def op5(spark, sf_dir):
