@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, fingerprints, licenses, link_trust, packing, sentencepiece_bpe, sharding, toxicity
+from . import chat_format, exact_dedup, fingerprints, licenses, link_trust, ngram_join, packing, sentencepiece_bpe, sharding, toxicity
 from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,13 @@ def op6(spark, sf_dir):
     return link_trust.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+# ---------------------------------------------------------------------------
+@query("op7_ngram_join")
+def op7(spark, sf_dir):
+    small_batches(spark)
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 # ---------------------------------------------------------------------------
 @query("op8_fingerprint")
 def op8(spark, sf_dir):
