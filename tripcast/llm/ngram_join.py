@@ -72,15 +72,12 @@ def size_classes(num: int, den: int, largest: int = 1 << 31) -> Classes:
         top = (after - 1) + (after - 1) * den // num  # largest size of both sets together
         d = max(0, max(s - 2 * least_overlap(s, num, den) for s in range(max(2, top - 60), top + 1)))
         e = 2
-        while True:
-            m = d + 1 + e
-            expected = m * np.exp(-low / m)
-            need = max(2, int(np.ceil(expected + 2.5 * expected ** 0.5)))
-            if need <= e or e > d + 2:
-                break
-            e += 1
+        for _ in range(20):  # room for the empty slices that e itself makes likelier
+            expected = (d + 1 + e) * np.exp(-low / (d + 1 + e))
+            e = max(e, min(d + 2, int(np.ceil(expected + expected ** 0.5))))
+        m = d + 1 + e
         differ.append(d)
-        slices.append(d + 1 + e)
+        slices.append(m)
         empty.append(e)
     return Classes(np.array(first[:-1]), np.array(differ), np.array(slices), np.array(empty))
 
@@ -142,7 +139,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, classes: Classes, num: int, de
         for i in np.flatnonzero(use & (classes.slices[own] - used > classes.empty[own])):
             m = int(classes.slices[own[i]])
             missing = np.setdiff1d(np.arange(m, dtype=np.uint64), slice_[who == i])
-            out.append(mix64(mix64(np.uint64(classes.first[own[i]]) * _C1 + missing)))
+            out.append(mix64(mix64(classes.first[own[i:i + 1]].astype(np.uint64) * _C1 + missing)))
             sets.append(np.full(len(missing), i))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
