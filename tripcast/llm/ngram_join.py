@@ -374,3 +374,12 @@ def join_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 1
     out = places.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(of_key, "key", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The row of the least id of each component, with all its columns; of repeated rows one."""
+    found = join_components(docs, words, num, den, id_col, text_col)
+    heads = found.select(F.col("component_id").alias("__head")).distinct()
+    kept = docs.join(heads, F.col(id_col).eqNullSafe(F.col("__head")), "left_semi")
+    return kept.dropDuplicates([id_col, text_col]).select(*docs.columns)

@@ -346,3 +346,19 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     out = _with_features(rows, shared, id_col, curve).withColumn("held_out", held_out(F.col(id_col)))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).select(
         id_col, "held_out", "score", "predicted", *FEATURES)
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, with all their columns; no row is shuffled."""
+    shared, curve = train(docs, labels, id_col, text_col)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(shared)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            keep = [apply_curve(curve, scorer.features(texts[a:b])) < threshold for a, b in chunks(texts)]
+            yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
+
+    return docs.mapInArrow(run, docs.schema)
