@@ -178,3 +178,11 @@ def chunks(items: list[bytes], limit: int = 4 * 1024 * 1024):
         total += len(x)
     if start < len(items):
         yield start, len(items)
+
+
+class Numbers(dict):
+    """Numbers new words in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n

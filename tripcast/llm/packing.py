@@ -26,54 +26,76 @@ table; other columns are not read.
 """
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import chunks, text_of, written
+from .common import Numbers, chunks, text_of, written
 
 WINDOW, BLOCK_WINDOWS, QUEUES, SEPARATOR = 1024, 1024, 65_536, 0
-CACHE_CHUNKS = 400_000
-# A token never goes on over a space or line feed that follows other characters, unless
-# those are white space too: then the text is encoded as a whole.
+CACHE_CHUNKS = 200_000
+# Fixed value: the split pattern of byte-level BPE tokenizers with this vocabulary.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# In texts of these characters only, a token never goes on over a space that stands between
+# others: they are cut there.  Texts with more kinds of white space are encoded as a whole.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile("[^\n -~¡-¬®-ɏ]")
-
-
-class _Numbers(dict):
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
+_OTHER = re.compile("[^\n -~¡-¬®-ɏ]")
+_START = "\x00"  # marks a chunk that has no space before it
 
 
 class Encoder:
-    """Ids of whole texts; each distinct chunk between spaces is encoded once."""
+    """Ids of whole texts; each distinct chunk between spaces is encoded once.
+
+    The tokenizer's own merge ranks run in a faster encoder for plain chunks; whatever
+    else a text holds goes to the tokenizer itself.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.whole = path, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        signs = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        added = {t["content"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(signs[c] for c in token): i for token, i in vocab.items() if token not in added}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        made = [vocab[a + b] for a, b in pairs]
+        pre = spec.get("pre_tokenizer") or {}
+        # only where ids rise with the merges do ids serve as ranks
+        self.fast = made == sorted(made) and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" \
+            and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        if self.fast:
+            import tiktoken
+            self.bpe = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.forget()
 
     def forget(self) -> None:
-        self.number = _Numbers()
+        self.number = Numbers()
         self.store, self.used = np.zeros(1 << 16, np.int32), 0
         self.at, self.len = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode_whole(self, text: str) -> np.ndarray:
+        if self.whole is None:
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(self.path)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32)
 
     def _learn(self, known: int) -> None:
-        new = list(islice(self.number, known, None))
-        lists = self._encode(new)
+        encode = self.bpe.encode_ordinary
+        new = [c[1:] if c[:1] == _START else " " + c for c in islice(self.number, known, None)]
+        lists = [encode(c) for c in new]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
         total = self.used + len(flat)
         if total > len(self.store):
             self.store = np.concatenate([self.store[:self.used], np.zeros(2 * total - self.used, np.int32)])
@@ -88,24 +110,27 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > CACHE_CHUNKS:
             self.forget()
-        plain = [not _OTHER_SPACE.search(t) and "<|" not in t for t in texts]
-        find, pieces, counts = _CHUNK.findall, [], np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            if plain[i] and t:
-                own = find(t)
-                counts[i] = len(own)
-                pieces += own
+        plain = [self.fast and not _OTHER.search(t) and "<|" not in t for t in texts]
         number, known = self.number, len(self.number)
-        index = np.array([number[p] for p in pieces], np.int64)
+        index, counts = [], np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if not plain[i] or not t:
+                continue
+            if "  " in t or t[0] == " " or t[-1] == " ":  # runs of spaces belong to what follows
+                own = [c[1:] if c[0] == " " and len(c) > 1 else _START + c for c in _CHUNK.findall(t)]
+            else:
+                own = t.split(" ")
+                own[0] = _START + own[0]
+            index += [number[c] for c in own]
+            counts[i] = len(own)
         if len(number) > known:
             self._learn(known)
+        index = np.array(index, np.int64)
         size = self.len[index]
         ends = np.concatenate([[0], np.cumsum(size)])
         flat = self.store[np.repeat(self.at[index] - ends[:-1], size) + np.arange(ends[-1])]
         bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
-        whole = iter(self._encode([t for t, p in zip(texts, plain) if not p]))
-        return [flat[bounds[i]:bounds[i + 1]] if plain[i] else np.array(next(whole), np.int32)
-                for i in range(len(texts))]
+        return [flat[bounds[i]:bounds[i + 1]] if plain[i] else self._encode_whole(t) for i, t in enumerate(texts)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -128,6 +153,8 @@ class Schedule:
         self.queues, self.totals = queues, totals.astype(np.int64)
         self.row = {int(q): i for i, q in enumerate(queues)}
         self.weights = [int(w) for w in (totals if weights is None else weights)]
+        if any(w < 1 for w in self.weights):
+            raise ValueError("target weights are whole numbers from 1 on")
         self.window, self.block = window, window * block_windows
         self.stride = block_windows + len(queues) // window + 2  # sequences a block can have
         self.n_blocks = max(1, -(-int(self.totals.sum()) // self.block))
@@ -139,7 +166,9 @@ class Schedule:
                 self.phases.append((paid, at, rate))
                 paid, at = paid + (t - at) * rate, t
             rate -= self.weights[i]
-        self.end = at
+        self.rough = [tuple(map(float, p)) for p in self.phases]
+        self.zero = np.zeros(len(self.totals), np.int64)
+        self.edges: dict[int, np.ndarray] = {}
         self.laid: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _time(self, paid: int) -> Fraction:
@@ -151,25 +180,26 @@ class Schedule:
     def boundary(self, block: int) -> np.ndarray:
         """Tokens that each queue has paid before this block (whole parts of the entitlements)."""
         if block <= 0:
-            return np.zeros(len(self.totals), np.int64)
+            return self.zero
         if block >= self.n_blocks:
             return self.totals
-        t = self._time(block * self.block)
-        return np.array([min(int(n), w * t.numerator // t.denominator) for n, w in zip(self.totals, self.weights)],
-                        np.int64)
+        if block not in self.edges:
+            if len(self.edges) > 1024:
+                self.edges.clear()
+            t = self._time(block * self.block)
+            self.edges[block] = np.array([min(int(n), w * t.numerator // t.denominator)
+                                          for n, w in zip(self.totals, self.weights)], np.int64)
+        return self.edges[block]
 
     def block_of(self, row: int, at: int) -> int:
-        """The block that holds token ``at`` of a queue."""
-        n, w = int(self.totals[row]), self.weights[row]
-        t = Fraction(at, w)
-        k = max(i for i, p in enumerate(self.phases) if p[1] <= t)
-        paid, start, rate = self.phases[k]
-        guess = min(self.n_blocks - 1, int((paid + (t - start) * rate) // self.block))
+        """The block that holds token ``at`` of a queue: a guess, then the exact boundaries."""
+        t = at / self.weights[row]
+        paid, start, rate = self.rough[bisect_right(self.rough, t, key=lambda p: p[1]) - 1]
+        guess = min(self.n_blocks - 1, max(0, int((paid + (t - start) * rate) / self.block)))
         while guess + 1 < self.n_blocks and self.boundary(guess + 1)[row] <= at:
             guess += 1
         while guess and self.boundary(guess)[row] > at:
             guess -= 1
-        assert 0 <= at < n
         return guess
 
     def lay(self, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +216,25 @@ class Schedule:
         # the deficit carried in: the part of each entitlement that was not paid
         deficit = np.array([float(w * t - int(s)) if s < n else 0.0
                             for w, s, n in zip(self.weights, start, self.totals)])
-        for i in range(windows):
+        # while no queue can run empty, a window is a few vector operations
+        each = share / share.sum() * self.window
+        safe = min(windows - 1, int((left // (np.floor(each) + 3)).min())) if (left > 0).all() else 0
+        i = 0
+        for i in range(safe):
+            deficit += each
+            take = np.maximum(np.floor(deficit), 0.0)
+            over = int(self.window - take.sum())
+            if over < 0 or over > len(take):
+                deficit -= each
+                break
+            if over:
+                take[np.argsort(take - deficit, kind="stable")[:over]] += 1
+            deficit -= take
+            taken[i] = take
+        else:
+            i = safe
+        left = left - taken[:i].sum(axis=0)
+        for i in range(i, windows):
             room = min(self.window, int(left.sum()))
             active = np.where(left > 0, share, 0.0)
             deficit = np.where(left > 0, deficit + active / active.sum() * self.window, 0.0)
@@ -217,22 +265,26 @@ class Schedule:
         self.laid[block] = paid, offset
         return paid, offset
 
-    def pieces(self, queue: int, at: int, n: int) -> list[tuple[int, int, int, int]]:
-        """(start, length, sequence, offset) of the n tokens of a queue from ``at`` on."""
+    def pieces(self, queue: int, at: int, n: int) -> np.ndarray:
+        """(start, length, sequence, offset) of the n tokens of a queue from ``at`` on, as rows."""
         row, out, done = self.row[queue], [], 0
         block = self.block_of(row, at)
         while done < n:
             paid, offset = self.lay(block)
             mine = paid[:, row]
-            w = int(np.searchsorted(mine, at + done, side="right")) - 1
-            while done < n and w < len(mine) - 1:
-                own = min(n - done, int(mine[w + 1]) - at - done)
-                if own > 0:
-                    out.append((done, own, block * self.stride + w, int(offset[w, row]) + at + done - int(mine[w])))
-                    done += own
-                w += 1
+            first = int(mine.searchsorted(at + done, side="right")) - 1
+            last = int(mine.searchsorted(at + n, side="left"))  # the window after the last one
+            last = min(last, len(mine) - 1)
+            edges = mine[first:last + 1]
+            begin = np.maximum(edges[:-1], at + done)
+            length = np.minimum(edges[1:], at + n) - begin
+            full = np.flatnonzero(length > 0)
+            window = full + first
+            out.append(np.column_stack([begin[full] - at, length[full], block * self.stride + window,
+                                        offset[window, row] + begin[full] - edges[full]]))
+            done += int(length[full].sum())
             block += 1
-        return out
+        return out[0] if len(out) == 1 else np.concatenate(out)
 
 
 # ---------------------------------------------------------------------------
@@ -297,16 +349,17 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, wind
         schedule = Schedule(*shared.value, window=window)
         for batch in batches:
             queue, at, n, blobs = (batch.column(i).to_pylist() for i in range(1, 5))
-            out, row, crcs = [], [], []
+            out, counts, crcs = [np.zeros((0, 4), np.int64)], [], []
             for i in range(len(n)):
                 blob = blobs[i]
                 ids = np.frombuffer(blob, "<u2" if len(blob) == 2 * n[i] else "<u4").astype("<u4").tobytes()
-                for piece in schedule.pieces(queue[i], at[i], n[i]):
-                    out.append(piece)
-                    row.append(i)
-                    crcs.append(zlib.crc32(ids[4 * piece[0]:4 * (piece[0] + piece[1])]))
-            cols = np.array(out, np.int64).reshape(-1, 4)
-            rows_ = pa.array(np.array(row, np.int64))
+                own = schedule.pieces(queue[i], at[i], n[i])
+                out.append(own)
+                counts.append(len(own))
+                crcs += [zlib.crc32(ids[4 * a:4 * b]) for a, b in zip(own[:, 0].tolist(), (own[:, 0] + own[:, 1]).tolist())]
+            cols = np.concatenate(out)
+            row = np.repeat(np.arange(len(n)), counts)
+            rows_ = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows_), pa.array(cols[:, 0]), pa.array(cols[:, 1]), pa.array(crcs, pa.int64()),
                  batch.column(3).take(rows_), pa.array(cols[:, 2]), pa.array(cols[:, 3])],

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import chunks, text_of
+from .common import Numbers, chunks, text_of
 
 MARK = "▁"
 UNKNOWN_SURFACE = " ⁇ "
@@ -35,14 +35,6 @@ _INF = np.int32(2**31 - 1)
 CACHE_WORDS = 300_000
 
 
-class _Numbers(dict):
-    """Numbers new words in the order in which they come."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 class BpeModel:
     """The merge table of a SentencePiece BPE model and its word cache."""
 
@@ -111,7 +103,7 @@ class BpeModel:
         self.forget()
 
     def forget(self) -> None:
-        self.cache = _Numbers()
+        self.cache = Numbers()
         self.store = np.zeros(1 << 16, np.int32)
         self.used = 0
         self.at, self.len = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
