@@ -361,6 +361,5 @@ def calendar_for_dates(dates: DataFrame, holidays: DataFrame | None, date_col: s
     if holidays is None:
         return out.withColumns({"is_holiday": F.lit(0), "holiday_name": F.lit(None).cast("string")})
     names = holidays.groupBy(F.col("date").alias("_hd")).agg(F.min("holiday_name").alias("holiday_name"))
-    from .enrich import bounded_broadcast
-    out = out.join(bounded_broadcast(names), F.col(date_col) == F.col("_hd"), "left")
+    out = out.join(names, F.col(date_col) == F.col("_hd"), "left")
     return out.withColumn("is_holiday", F.col("_hd").isNotNull().cast("int")).drop("_hd")

@@ -7,21 +7,6 @@ from ..constants import WEATHER_COLUMNS
 from ..functions.geo import area_label
 from ..functions.weather import add_weather_categories
 
-# Calendar-like dimensions have a proven size bound: at most one row per day
-# (holidays, daily weather) or per hour (hourly weather) of the covered span.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side only after checking its row count; else leave it to AQE.
-
-    Meant for small input dimensions (calendars, weather), whose count is a
-    cheap job over a small file.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def add_holiday_features(df: DataFrame, holidays: DataFrame | None, time_col: str = "hour_start") -> DataFrame:
     """``is_holiday`` = date in calendar, ``is_pre_holiday`` = next day in calendar.
 
@@ -29,7 +14,7 @@ def add_holiday_features(df: DataFrame, holidays: DataFrame | None, time_col: st
     """
     if holidays is None:
         return df.withColumns({"is_holiday": F.lit(0), "is_pre_holiday": F.lit(0)})
-    dates = bounded_broadcast(holidays.select(F.col("date").alias("_hday")).dropna().distinct())
+    dates = holidays.select(F.col("date").alias("_hday")).dropna().distinct()
     day = F.to_date(F.col(time_col))
     out = (df.withColumn("_day", day)
            .join(dates.withColumnRenamed("_hday", "_h1"), F.col("_day") == F.col("_h1"), "left")
@@ -40,24 +25,28 @@ def add_holiday_features(df: DataFrame, holidays: DataFrame | None, time_col: st
     }).drop("_day", "_h1", "_h2")
 
 
-def merge_weather(df: DataFrame, weather: DataFrame | None, kind: str = "daily") -> DataFrame:
+def merge_weather(df: DataFrame, weather: DataFrame | None, kind: str = "daily",
+                  duplicates: str = "mean") -> DataFrame:
     """Join weather on the hour (hourly) or the date (daily), then add categories.
 
+    Several readings of one hour or date give their mean (of the values there are),
+    so each fact row stays one row and the input's order does not matter;
+    ``duplicates="all"`` keeps a row for each reading, as a plain left join does.
+
     ``weather=None`` gives null weather columns and no category columns, as the
     reference does when no weather file is given.
     """
+    if duplicates not in ("mean", "all"):
+        raise ValueError("duplicates is 'mean' or 'all'")
     base = df.drop(*[c for c in WEATHER_COLUMNS if c in df.columns])
     if weather is None:
         return base.withColumns({c: F.lit(None).cast("double") for c in WEATHER_COLUMNS})
     values = [F.col(c).cast("double").alias(c) for c in WEATHER_COLUMNS]
-    if kind == "hourly":
-        w = bounded_broadcast(weather.select(F.col("hour_start").alias("_wkey"), *values)
-                              .dropna(subset=["_wkey"]).dropDuplicates(["_wkey"]))
-        key = F.col("hour_start")
-    else:
-        w = bounded_broadcast(weather.select(F.to_date("date").alias("_wkey"), *values)
-                              .dropna(subset=["_wkey"]).dropDuplicates(["_wkey"]))
-        key = F.to_date(F.col("hour_start"))
+    own, key = ((F.col("hour_start"), F.col("hour_start")) if kind == "hourly" else
+                (F.to_date("date"), F.to_date(F.col("hour_start"))))
+    w = weather.select(own.alias("_wkey"), *values).dropna(subset=["_wkey"])
+    if duplicates == "mean":
+        w = w.groupBy("_wkey").agg(*[F.avg(c).alias(c) for c in WEATHER_COLUMNS])
     merged = base.join(w, key == F.col("_wkey"), "left").drop("_wkey")
     return add_weather_categories(merged)
 

@@ -5,27 +5,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import FLOW_TOP_PER_GROUP
 from ..functions.geo import area_label
+from .stats import value_count_median
 
 GROUP = ["day_of_week", "hour", "rider_type"]
 PAIR = ["start_station_name", "end_station_name"]
 COORDS = ["start_lat", "start_lng", "end_lat", "end_lng"]
 
 
-def _flow_counts_and_medians(data: DataFrame, keys: list[str]) -> DataFrame:
-    """Trips per key with the exact median of the four coordinates.
+def _with_medians(data: DataFrame, flows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the exact median of the four coordinates of each flow's trips.
 
-    The coordinates are stacked into one column so a single histogram-narrowed
-    median job serves all four; no group's values sit in one task's buffer,
-    even when one station pair carries a large share of all trips.
+    The coordinates are stacked into one column so a single median job serves all four.
     """
-    from .stats import exact_median
-    counts = data.groupBy(*keys).agg(F.count("ride_id").alias("flow_count"))
     stacked = data.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("coord"), F.col(c).cast("double").alias("coord_value")) for c in COORDS
     ])).alias("_p")).select(*keys, "_p.coord", "_p.coord_value")
-    med = exact_median(stacked, keys + ["coord"], "coord_value", "_m").groupBy(*keys).agg(
+    med = value_count_median(stacked, keys + ["coord"], "coord_value", "_m").groupBy(*keys).agg(
         *[F.max(F.when(F.col("coord") == c, F.col("_m"))).alias(c) for c in COORDS])
-    return counts.join(med, keys, "left").select(*keys, "flow_count", *COORDS)
+    return flows.join(med, keys, "left").select(*keys, "flow_count", *COORDS)
 
 
 def _ranked_top(flows: DataFrame, top_per_group: int) -> DataFrame:
@@ -39,19 +36,27 @@ def flow_summary(trips: DataFrame, top_per_group: int = FLOW_TOP_PER_GROUP, with
                  require_end_station_id: bool = True) -> DataFrame:
     """A24 (with_all=True) / A25 (with_all=False, end-station id not required).
 
-    Flow counts per (weekday, hour, rider, start, end) with median coordinates;
-    the 'all' rider rows come from the same pass (each trip exploded into its
-    rider type and 'all').
+    Flow counts per (weekday, hour, rider, start, end) with median coordinates.
+    The 'all' rider rows are sums of the riders' counts.  Flows are ranked on their
+    counts first; only trips of the flows that stay (at most ``top_per_group`` per
+    weekday, hour and rider) go on to the medians.
     """
     need = (["end_station_id"] if require_end_station_id else []) + ["end_station_name", "end_lat", "end_lng"]
     data = trips.dropna(subset=need).withColumns({
         "hour": F.hour("started_at"), "day_of_week": F.weekday("started_at")})
-    data = data.dropna(subset=PAIR)
+    data = data.dropna(subset=PAIR + ["rider_type"])
+    time_pair = ["day_of_week", "hour", *PAIR]
+    counts = data.groupBy(*GROUP, *PAIR).agg(F.count("ride_id").alias("flow_count"))
     if with_all:
-        # each trip counts for its own rider type and for 'all'
-        data = data.withColumn("rider_type", F.explode(F.array(F.col("rider_type"), F.lit("all"))))
-    flows = _flow_counts_and_medians(data.dropna(subset=["rider_type"]), GROUP + PAIR)
-    return _ranked_top(flows, top_per_group)
+        both = counts.groupBy(*time_pair).agg(F.sum("flow_count").alias("flow_count"))
+        counts = counts.unionByName(both.withColumn("rider_type", F.lit("all")))
+    top = _ranked_top(counts, top_per_group)
+    wanted = top.select(*time_pair, F.col("rider_type").alias("_rider"))
+    own = data.select(*time_pair, "rider_type", *COORDS).join(wanted, time_pair)
+    own = own.filter(F.col("_rider").isin("all") | (F.col("_rider") == F.col("rider_type"))) if with_all else \
+        own.filter(F.col("_rider") == F.col("rider_type"))
+    own = own.drop("rider_type").withColumnRenamed("_rider", "rider_type")
+    return _with_medians(own, top, GROUP + PAIR)
 
 
 def flows_for_hour(flow_table: DataFrame, day_of_week: int, hour: int, rider_type: str = "all",
@@ -77,4 +82,6 @@ def predict_flow_trends(trips: DataFrame, day_of_week: int, hour: int, rider_typ
         data = data.filter(F.col("rider_type") == rider_type)
     data = data.filter((F.col("hour") == hour) & (F.col("day_of_week") == day_of_week))
     data = data.dropna(subset=["end_station_id"]).dropna(subset=PAIR)
-    return _flow_counts_and_medians(data, PAIR).orderBy(F.desc("flow_count"), *PAIR).limit(top_k)
+    top = data.groupBy(*PAIR).agg(F.count("ride_id").alias("flow_count")).orderBy(F.desc("flow_count"), *PAIR).limit(top_k)
+    own = data.join(top.select(*PAIR), PAIR, "left_semi")
+    return _with_medians(own, top, PAIR).orderBy(F.desc("flow_count"), *PAIR)

@@ -16,15 +16,15 @@ def station_metadata(trips: DataFrame, one_name_per_id: bool = True, n_clusters:
     name with most trips (then the smaller name).  ``one_name_per_id=False``
     keeps one row per (id, name).
     """
-    from .stats import exact_median
+    from .stats import value_count_median
     keys = ["start_station_id", "start_station_name"]
     named = trips.dropna(subset=keys)
-    # a station may hold a large share of all trips: exact medians without a per-task value buffer
+    # a station may hold a large share of all trips: medians from the counts of its distinct coordinates
     # lat and lng stacked into one column so one median job serves both
     coords = F.explode(F.array(F.struct(F.lit("lat").alias("coord"), F.col("start_lat").alias("coord_value")),
                                F.struct(F.lit("lng").alias("coord"), F.col("start_lng").alias("coord_value"))))
     stacked = named.select(*keys, coords.alias("_p")).select(*keys, "_p.coord", "_p.coord_value")
-    med = exact_median(stacked, keys + ["coord"], "coord_value", "_m").groupBy(*keys).agg(
+    med = value_count_median(stacked, keys + ["coord"], "coord_value", "_m").groupBy(*keys).agg(
         F.max(F.when(F.col("coord") == "lat", F.col("_m"))).alias("station_lat"),
         F.max(F.when(F.col("coord") == "lng", F.col("_m"))).alias("station_lng"))
     per_name = (named.groupBy(*keys).agg(F.count("ride_id").alias("trips")).join(med, keys)

@@ -14,12 +14,13 @@ def enriched_station_hour(trips: DataFrame, holidays: DataFrame | None = None,
                           weather: DataFrame | None = None, weather_kind: str = "daily",
                           stations: DataFrame | None = None, fill: str = "median",
                           densify: bool = False, one_name_per_id: bool = True,
-                          cut_lineage: bool = True) -> DataFrame:
+                          cut_lineage: bool = False) -> DataFrame:
     """clean trips -> fact (+ station dimension, calendar) -> holidays -> lags/profiles -> weather.
 
     The base fact feeds the series windows, two area aggregates and the global
-    median; ``cut_lineage`` writes it once to the checkpoint folder so those
-    branches read it back instead of re-aggregating the trips.
+    median.  By default the plan stays lazy, so that projections and filters reach
+    the scan and equal shuffles are reused; ``cut_lineage`` writes the base fact once
+    to the checkpoint folder (batch builds that store every column anyway).
     """
     if stations is None:
         stations = station_metadata(trips, one_name_per_id=one_name_per_id)

@@ -36,26 +36,45 @@ def scratch(spark, name: str) -> str:
 
 
 def _write_trip_csvs(spark, sf: str) -> str:
-    """Trip view as text CSV files: one folder per source file, headers in two spellings."""
+    """Trip view as text CSV: one file per source file, sorted by ride id, headers in two spellings."""
     root = scratch(spark, "raw-trips")
     raw = trip_view(spark, sf)
     text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns if c != "source_file"],
-                      "source_file")
-    cols = [c for c in text.columns if c != "source_file"]
-    # files of part-0 keep the canonical header; the others get "Title Case-with-dashes" headers
-    canon = text.filter(F.col("source_file") == "part-0.csv").drop("source_file")
-    other = text.filter(F.col("source_file") != "part-0.csv").drop("source_file")
+                      F.col("source_file").alias("f"))
+    cols = [c for c in text.columns if c != "f"]
     # keep surrounding spaces: the raw values carry them and cleaning must strip them
     w = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    canon.write.options(**w).csv(os.path.join(root, "2024", "canonical"))
-    fancy = other.toDF(*[c.replace("_", " ").title().replace("Id", "ID") for c in cols])
-    fancy = fancy.withColumnRenamed("Member Casual", "Member-Casual")
-    fancy.write.options(**w).csv(os.path.join(root, "2024", "renamed"))
+
+    def write(part, folder):
+        part.repartition("f").sortWithinPartitions("f", part.columns[0]).write.partitionBy("f").options(**w).csv(
+            os.path.join(root, "2024", folder))
+
+    # files of part-0 keep the canonical header; the others get "Title Case-with-dashes" headers
+    write(text.filter(F.col("f") == "part-0.csv"), "canonical")
+    fancy = text.filter(F.col("f") != "part-0.csv").toDF(
+        *[c.replace("_", " ").title().replace("Id", "ID") for c in cols], "f")
+    write(fancy.withColumnRenamed("Member Casual", "Member-Casual"), "renamed")
     # a generated folder that discovery must skip
-    canon.limit(5).write.options(**w).csv(os.path.join(root, "outputs", "skip_me"))
+    decoy = spark.range(1).select(*[F.lit("decoy").alias(c) for c in cols])
+    decoy.write.options(**w).csv(os.path.join(root, "outputs", "skip_me"))
     return root
 
 
+_RAW = O.with_ctes(O.TRIP_VIEW)
+_PICKED = "ride_id, rideable_type, start_station_id, end_station_id, member_casual"
+
+
+def _picked(df):
+    return df.select(*_PICKED.split(", "))
+
+
+def _sample_sql(order: str, quota: str) -> str:
+    return f"""{_RAW}
+SELECT {_PICKED} FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY {order}) AS rn FROM raw_trips)
+WHERE rn <= {quota}"""
+
+
 _CSV_COLS = ["ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "start_station_name",
              "end_station_id", "end_station_name", "start_lat", "start_lng", "end_lat", "end_lng", "member_casual",
              "duration_min", "rider_type", "trip_distance_miles", "hour_start"]
@@ -70,19 +89,24 @@ def q_csv_round_trip(spark, sf):
     return clean_trips(raw).select(*_CSV_COLS)
 
 
-@register("csv_head_rows_per_file", None, [], ["S5"])
+_MD5 = "md5(ride_id || ':42'), ride_id"
+
+
+@register("csv_head_rows_per_file", _sample_sql("ride_id", "100"), [], ["S5"])
 def q_csv_head(spark, sf):
-    return read_trips(spark, _write_trip_csvs(spark, sf), sample_rows=100)
+    return _picked(read_trips(spark, _write_trip_csvs(spark, sf), sample_rows=100))
 
 
-@register("csv_sample_rows_per_file", None, [], ["S6", "Q1"])
+@register("csv_sample_rows_per_file", _sample_sql(_MD5, "500"), [], ["S6", "Q1"])
 def q_csv_sample(spark, sf):
-    return read_trips(spark, _write_trip_csvs(spark, sf), sample_rows_per_file=500)
+    return _picked(read_trips(spark, _write_trip_csvs(spark, sf), sample_rows_per_file=500))
 
 
-@register("csv_balanced_sample", None, [], ["S7"])
+# 1,001 rows over three files: the two first files in path order get one more
+@register("csv_balanced_sample",
+          _sample_sql(_MD5, "CASE source_file WHEN 'part-2.csv' THEN 333 ELSE 334 END"), [], ["S7"])
 def q_csv_balanced(spark, sf):
-    return read_trips(spark, _write_trip_csvs(spark, sf), total_sample_rows=1001)
+    return _picked(read_trips(spark, _write_trip_csvs(spark, sf), total_sample_rows=1001))
 
 
 # ---------------------------------------------------------------------------
@@ -135,6 +159,39 @@ def q_weather_csv(spark, sf):
                                                                       "snow", "wind_speed")
 
 
+# several readings per hour (or date), some of them partly null: their mean, whatever the order
+def _repeated_weather(spark, sf, key):
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    return ev.filter("event_id % 2 = 0").select(
+        key, (F.col("value") / 10).alias("temperature"),
+        F.when(F.col("event_id") % 4 == 0, F.col("value") / 100).alias("precipitation"),
+        F.lit(None).cast("double").alias("snow"), (F.col("event_id") % 7).cast("double").alias("wind_speed"))
+
+
+def _repeated_sql(key: str, fact_key: str) -> str:
+    return E + f"""
+SELECT e.hour_start, e.start_station_id, e.rider_type, w.temperature, w.precipitation, w.snow, w.wind_speed
+FROM enriched e LEFT JOIN (
+  SELECT {key} AS k, avg(value / 10) AS temperature, avg(value / 100) FILTER (event_id % 4 = 0) AS precipitation,
+         CAST(NULL AS DOUBLE) AS snow, avg(event_id % 7) AS wind_speed
+  FROM events WHERE event_id % 2 = 0 GROUP BY 1) w ON {fact_key} = w.k"""
+
+
+_W4 = ["temperature", "precipitation", "snow", "wind_speed"]
+
+
+@register("weather_hourly_duplicates", _repeated_sql("date_trunc('hour', ts)", "e.hour_start"), _W4, ["J3"])
+def q_weather_hourly_duplicates(spark, sf):
+    weather = _repeated_weather(spark, sf, F.date_trunc("hour", "ts").cast("timestamp").alias("hour_start"))
+    return merge_weather(enriched_of(spark, sf), weather, "hourly").select(*KEYS, *_W4)
+
+
+@register("weather_daily_duplicates", _repeated_sql("CAST(ts AS DATE)", "CAST(e.hour_start AS DATE)"), _W4, ["J4"])
+def q_weather_daily_duplicates(spark, sf):
+    weather = _repeated_weather(spark, sf, F.to_date("ts").alias("date"))
+    return merge_weather(enriched_of(spark, sf), weather, "daily").select(*KEYS, *_W4)
+
+
 # ---------------------------------------------------------------------------
 # fact sink and pruned read
 # ---------------------------------------------------------------------------

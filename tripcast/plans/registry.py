@@ -17,7 +17,6 @@ from ..operators.demand import station_hour_demand
 from ..operators.stations import station_metadata
 from ..sources.fixtures import fixture_holidays, fixture_weather, trip_view
 from .facts import enriched_station_hour
-from ..session import materialize
 
 ROUND_DIGITS = 6
 
@@ -59,8 +58,8 @@ def rounded_sql(sql: str, doubles: list[str], digits: int = ROUND_DIGITS) -> str
 # shared building blocks
 # ---------------------------------------------------------------------------
 def trips_of(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean trips, written once to the checkpoint folder (as the batch build writes them)."""
-    return materialize(clean_trips(trip_view(spark, sf)))
+    """Clean trips as a lazy plan: what a query does not read is pruned from the scan on."""
+    return clean_trips(trip_view(spark, sf))
 
 
 def stations_of(trips: DataFrame) -> DataFrame:
@@ -74,10 +73,10 @@ def fact_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched_of(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    """Enriched fact, written once; every analysis query reads it back."""
+    """Enriched fact as a lazy plan; columns and joins that a query does not use are pruned."""
     trips = trips_of(spark, sf)
-    return materialize(enriched_station_hour(trips, fixture_holidays(spark), fixture_weather(spark),
-                                             stations=stations_of(trips), **kw))
+    return enriched_station_hour(trips, fixture_holidays(spark), fixture_weather(spark),
+                                 stations=stations_of(trips), **kw)
 
 
 TRIP_COLS = ["ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "start_station_name",

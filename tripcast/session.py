@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,7 +51,9 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# a shuffle of m map and r reduce tasks has m * r blocks to keep track of
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
@@ -59,11 +62,13 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
 
     AQE only coalesces partitions, so the starting count must cover the
     biggest shuffle (the trip-level de-dup): about one partition per
-    ``bytes_per_partition`` of input.  Later, smaller stages are coalesced
+    ``bytes_per_partition`` of input, and at most ``MAX_SHUFFLE_PARTITIONS`` (beyond
+    it partitions grow, and sorts spill).  Later, smaller stages are coalesced
     back to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
     static = spark.sparkContext.getConf()
-    n = max(int(input_bytes // bytes_per_partition) + 1, spark.sparkContext.defaultParallelism)
+    n = max(min(int(input_bytes // bytes_per_partition) + 1, MAX_SHUFFLE_PARTITIONS),
+            spark.sparkContext.defaultParallelism)
     if not static.contains("spark.sql.shuffle.partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
     if not static.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
@@ -80,12 +85,14 @@ def materialize(df):
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    tests) do we create one of our own.
+    A cluster names it in ``spark.checkpoint.dir``; only in local mode, where the
+    driver is the only machine, do we create one of our own when it is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tripcast-ckpt-", dir=os.environ.get("TRIPCAST_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path

@@ -112,9 +112,14 @@ def head_rows_per_file(raw: DataFrame, n: int) -> DataFrame:
     return raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def _sample_order(key: str, seed: int) -> list:
+    """Seeded order of rows that other engines can repeat: md5 of key and seed, then the key."""
+    return [F.md5(F.concat(F.col(key), F.lit(f":{seed}"))), F.col(key)]
+
+
 def sample_per_file(raw: DataFrame, k: int, seed: int = 42, key: str = "ride_id") -> DataFrame:
     """``k`` rows per file chosen by a seeded hash -- reproducible (Q1); whole file if smaller."""
-    w = Window.partitionBy("_file_path").orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    w = Window.partitionBy("_file_path").orderBy(*_sample_order(key, seed))
     return raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
@@ -131,7 +136,7 @@ def balanced_sample(raw: DataFrame, paths: list[str], total: int, seed: int = 42
     spark = raw.sparkSession
     table = spark.createDataFrame(quotas, "_file_path string, _quota int")  # one row per input file
     top = max(q for _, q in quotas)
-    w = Window.partitionBy("_file_path").orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    w = Window.partitionBy("_file_path").orderBy(*_sample_order(key, seed))
     ranked = raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top)
     return (ranked.join(F.broadcast(table), "_file_path", "left")
             .filter(F.col("_rn") <= F.coalesce(F.col("_quota"), F.lit(top))).drop("_rn", "_quota"))
