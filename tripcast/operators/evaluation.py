@@ -137,12 +137,19 @@ def linear_calibration(pred: DataFrame, group: list[str] | None = None) -> DataF
     )
 
 
-def isotonic_calibration(pred: DataFrame, model_name: str):
-    """Isotonic fit of y on pred for one model, pre-aggregated to distinct predictions
-    with weights so the pooled fit never sees more points than distinct values."""
+ISOTONIC_STEP = 0.01  # trips
+
+
+def isotonic_calibration(pred: DataFrame, model_name: str, step: float = ISOTONIC_STEP):
+    """Isotonic fit of y on pred for one model, on predictions rounded to ``step``.
+
+    Predictions lie in [0, cap], so the pooled fit, which MLlib finishes on the driver,
+    sees at most cap / step + 1 weighted points, however many rows there are.
+    """
     from pyspark.ml.regression import IsotonicRegression
 
-    points = (pred.filter(F.col("model") == model_name).groupBy("pred")
+    own = pred.filter(F.col("model") == model_name).withColumn("pred", F.round(F.col("pred") / step) * step)
+    points = (own.groupBy("pred")
               .agg(F.avg("y").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
     return IsotonicRegression(featuresCol="pred", labelCol="label", weightCol="weight",
                               predictionCol="iso_pred").fit(points)
@@ -263,10 +270,14 @@ def hotspot_classification(pred: DataFrame) -> DataFrame:
     return out.withColumn("hotspot_f1", F.when(p + r == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r)))
 
 
-def backtest_wide(pred: DataFrame, keys: list[str], models: list[str]) -> DataFrame:
-    """One column ``pred_<model>`` per model, for export."""
+def backtest_wide(pred: DataFrame, keys: list[str], models: list[str], names: DataFrame | None = None) -> DataFrame:
+    """One column ``pred_<model>`` per model, for export.
+
+    ``names`` (start_station_id, start_station_name, one row per id) adds the station's name.
+    """
     wide = pred.groupBy(*keys, "y").pivot("model", models).agg(F.first("pred"))
-    return wide.select(*keys, "y", *[F.col(m).alias(f"pred_{m}") for m in models])
+    out = wide.select(*keys, "y", *[F.col(m).alias(f"pred_{m}") for m in models])
+    return out.join(names, "start_station_id", "left") if names is not None else out
 
 
 def scatter_points(pred: DataFrame, model: str) -> DataFrame:

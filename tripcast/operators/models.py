@@ -43,8 +43,9 @@ def encoder_stages(cats: list[str], nums: list[str]) -> list:
     metadata), so trees split on them as ordered values rather than needing
     ``maxBins`` >= the number of stations.
     """
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                            stringOrderType="alphabetAsc") for c in cats]
+    # one indexer: a single pass over the training rows for all categories
+    stages = [StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats], handleInvalid="keep",
+                            stringOrderType="alphabetAsc")] if cats else []
     return stages, [f"{c}__code" for c in cats] + nums
 
 
@@ -149,8 +150,8 @@ class DemandModel:
             scored = scored.withColumn("_p", F.lit(self.slope) * F.col("_p") + F.lit(self.intercept))
         scored = scored.withColumn("_p", F.least(F.greatest(F.col("_p"), F.lit(0.0)), F.lit(self.prediction_cap)))
         if self.residual_keys and self.residual_table is not None:
-            # small (count-filtered segments of a few categorical keys); null-safe on every key
-            table = F.broadcast(self.residual_table)
+            # count-filtered segments of a few categorical keys; null-safe on every key; AQE picks the join
+            table = self.residual_table
             cond = None
             for k in self.residual_keys:
                 c = scored[k].eqNullSafe(table[f"_rk_{k}"])
@@ -216,7 +217,7 @@ def fit_model(train: DataFrame, name: str, spec, cap: float, target: str = "dema
     cats, nums = feature_columns(train)
     idx_stages, feature_names = encoder_stages(cats, nums)
     encoder = Pipeline(stages=idx_stages).fit(train)
-    labels = {c: list(stage.labels) for c, stage in zip(cats, encoder.stages)}
+    labels = {c: list(own) for c, own in zip(cats, encoder.stages[0].labelsArray)} if cats else {}
     data = add_codes(encoder.transform(train), cats, labels)
     label = F.log1p(F.col(target).cast("double")) if log_target else F.col(target).cast("double")
     data = VectorAssembler(inputCols=feature_names, outputCol="features", handleInvalid="keep") \
@@ -247,10 +248,16 @@ def long_predictions(model: DemandModel, df: DataFrame, keys: list[str], target:
 # ---------------------------------------------------------------------------
 def residual_corrections(calibration: DataFrame, key_columns: list[str],
                          min_rows: int = RESIDUAL_MIN_SEGMENT_ROWS) -> DataFrame:
-    """Median residual per segment with >= min_rows rows, shrunk by n / (n + min_rows)."""
-    grouped = calibration.groupBy(*key_columns).agg(F.median("residual").alias("_med"),
-                                                    F.count(F.lit(1)).alias("_n"))
-    grouped = grouped.filter(F.col("_n") >= min_rows)
+    """Median residual per segment with >= min_rows rows, shrunk by n / (n + min_rows).
+
+    Small segments go first; medians come from value counts in spillable windows, so
+    no segment's residuals are held in one task's buffer.
+    """
+    from .stats import value_count_median
+    sizes = calibration.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
+    medians = value_count_median(calibration, key_columns, "residual", "_med")
+    same = [sizes[k].eqNullSafe(medians[k]) for k in key_columns]
+    grouped = sizes.join(medians, same).select(*[sizes[k] for k in key_columns], "_n", "_med")
     return grouped.select(*[F.col(k).alias(f"_rk_{k}") for k in key_columns],
                           (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
 

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import DEFAULT_CONTEXT_HOURS
 from ..operators import analysis as A
+from ..operators import evaluation as EV
 from ..operators.clean import clean_trips
 from ..operators.flows import flow_summary
 from ..operators.stations import station_metadata
 from ..sources.holidays import holiday_table, read_holiday_table, save_holiday_table
-from ..sources.sinks import path_exists, read_table, write_fact, write_small_csv, write_table
+from ..sources.sinks import path_exists, read_table, write_csv_copy, write_fact, write_small_csv, write_table
 from ..sources.trips import read_trips
 from ..sources.weather import read_weather_csv
 from .facts import enriched_area_hour, enriched_station_hour
+from .training import save_models
 
 
 def _p(out_dir: str, name: str) -> str:
@@ -57,12 +59,15 @@ def run_pipeline(spark: SparkSession, out_dir: str, raw_dir: str | None = None,
     weather, kind = None, "daily"
     if weather_path:
         kind, weather = read_weather_csv(spark, weather_path)
-    fact = enriched_station_hour(trips, holidays, weather, kind, stations=stations)
+    # every column is stored, so the base fact is worth writing once
+    fact = enriched_station_hour(trips, holidays, weather, kind, stations=stations, cut_lineage=True)
     write_fact(fact, _p(out_dir, "station_hour_demand"))
     fact = read_table(spark, _p(out_dir, "station_hour_demand")).drop("date")
 
     write_fact(enriched_area_hour(fact, holidays), _p(out_dir, "area_hour_demand"))
     area = read_table(spark, _p(out_dir, "area_hour_demand")).drop("date")
+    write_csv_copy(fact, _p(out_dir, "station_hour_demand_csv"))
+    write_csv_copy(area, _p(out_dir, "area_hour_demand_csv"))
 
     publish_app_artifacts(spark, out_dir, fact, area, trips, app_recent_hours, with_all_flows=True)
     write_small_csv(A.rider_type_summary(trips), _p(out_dir, "app_rider_summary"))
@@ -85,6 +90,7 @@ def publish_app_artifacts(spark: SparkSession, out_dir: str, fact: DataFrame, ar
     write_table(A.station_context(fact, recent_hours), _p(out_dir, "app_station_context"))
     write_table(A.station_map_hour(fact), _p(out_dir, "app_station_map_hour"))
     write_table(A.area_map_hour(area), _p(out_dir, "app_area_map_hour"))
+    write_table(area, _p(out_dir, "app_area_hour"))
     write_table(A.demand_pattern(fact, "hour"), _p(out_dir, "app_hourly_patterns"))
     write_table(A.demand_pattern(fact, "is_weekend"), _p(out_dir, "app_weekday_patterns"))
     write_table(A.demand_pattern(fact, "is_holiday"), _p(out_dir, "app_holiday_patterns"))
@@ -106,8 +112,9 @@ def publish_training(spark: SparkSession, out_dir: str, res: dict) -> None:
                                           "feature string, importance double"), _p(out_dir, "feature_importance"))
     if res.get("rider_metrics") is not None:
         write_small_csv(res["rider_metrics"], _p(out_dir, "rider_specific_model_metrics"))
+    write_small_csv(EV.metric_explanations(spark), _p(out_dir, "metric_explanations"))
     best = res["models"][res["best_model_name"]]
-    best.save(_p(out_dir, "models/best_station_demand_model"))
+    save_models(_p(out_dir, "models"), best, res.get("rider_models", {}))
     config = {"categorical": best.cats, "numeric": best.nums, "features": best.cats + best.nums,
               "best_model": res["best_model_name"], "prediction_cap": res["prediction_cap"],
               "blend_weights": {n: m.blend_weight for n, m in res["models"].items()}}
@@ -141,15 +148,34 @@ def rebuild_app_artifacts(spark: SparkSession, processed_dir: str, recent_hours:
 def load_artifacts(spark: SparkSession, processed_dir: str) -> dict:
     """App inputs with fallbacks (context -> full fact; app area -> area fact; patterns recomputed)."""
     from ..sources.sinks import read_first_existing
-    station = read_first_existing(spark, [_p(processed_dir, "app_station_context"),
-                                          _p(processed_dir, "station_hour_demand")])
-    area = read_first_existing(spark, [_p(processed_dir, "app_area_hour"), _p(processed_dir, "area_hour_demand")])
+    read = lambda *names, columns=None: read_first_existing(
+        spark, [_p(processed_dir, n) for n in names], columns)
+    station = read("app_station_context", "station_hour_demand")
+    area = read("app_area_hour", "area_hour_demand")
     if station is None or area is None:
         raise FileNotFoundError("Processed artifacts are missing.")
-    holiday = read_first_existing(spark, [_p(processed_dir, "app_holiday_patterns")])
-    if holiday is None:
-        full = read_first_existing(spark, [_p(processed_dir, "station_hour_demand")],
-                                   ["is_holiday", "rider_type", "area_label", "demand"]) or station
-        holiday = A.demand_pattern(full, "is_holiday")
-    return {"station_hour": station, "area_hour": area, "holiday_patterns": holiday,
-            "flow": read_first_existing(spark, [_p(processed_dir, "app_flow_summary")])}
+    pattern_cols = ["hour", "is_weekend", "is_holiday", "rider_type", "area_label", "demand"]
+    full = read("station_hour_demand", columns=pattern_cols)
+    full = station if full is None else full
+
+    def pattern(name: str, by: str) -> DataFrame:
+        found = read(name)
+        return A.demand_pattern(full, by) if found is None else found
+
+    rider = _p(processed_dir, "app_rider_summary")
+    rider_summary = (spark.read.option("header", True).option("inferSchema", True).csv(rider)
+                     if path_exists(spark, rider) else A.rider_summary_from_fact(station))
+    top = read("app_top_station_summary")
+    return {"station_hour": station, "area_hour": area, "rider_summary": rider_summary,
+            "station_map": read("app_station_map_hour"), "area_map": read("app_area_map_hour"),
+            "hourly_patterns": pattern("app_hourly_patterns", "hour"),
+            "weekday_patterns": pattern("app_weekday_patterns", "is_weekend"),
+            "holiday_patterns": pattern("app_holiday_patterns", "is_holiday"),
+            "top_stations": A.top_station_summary(station) if top is None else top,
+            "flow": read("app_flow_summary")}
+
+
+def write_scored(predictions: DataFrame, areas: DataFrame, out_dir: str) -> None:
+    """Scored stations and area totals of a scenario, as the app exports them."""
+    write_small_csv(predictions, _p(out_dir, "predicted_stations"))
+    write_small_csv(areas, _p(out_dir, "predicted_areas"))

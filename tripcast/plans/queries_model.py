@@ -29,7 +29,7 @@ def clustered_fact(spark, sf):
     """Enriched fact with KMeans cluster ids, materialised once (lineage cut)."""
     trips = trips_of(spark, sf)
     fact = enriched_station_hour(trips, fixture_holidays(spark), fixture_weather(spark),
-                                 stations=station_metadata(trips, cluster=True))
+                                 stations=station_metadata(trips, cluster=True), cut_lineage=True)
     return materialize(fact)
 
 
@@ -42,6 +42,11 @@ def trained(spark, sf):
     return _TRAINED[key]
 
 
+def written_fact(spark, sf):
+    """Enriched fact for scenario plans, which read it once per grain: written once, all columns used."""
+    return materialize(enriched_of(spark, sf, cut_lineage=True))
+
+
 SCENARIO = Scenario(future_time=dt.datetime(2024, 2, 1, 8, 30), rider_type="member", temperature=5.0)
 
 
@@ -83,8 +88,7 @@ def q_rider_models(spark, sf):
     from .training import rider_specific_models
     fact, res = trained(spark, sf)
     best = res["best_model_name"]
-    out = rider_specific_models(prepare_numeric(fact), best, model_specs(fast=True)[best], res["prediction_cap"])
-    return out if out is not None else spark.createDataFrame([], "rider_type string")
+    return rider_specific_models(prepare_numeric(fact), best, model_specs(fast=True)[best], res["prediction_cap"])[0]
 
 
 @register("scenario_predictions", None, [], ["P5", "P1", "J9", "M14"])
@@ -230,6 +234,133 @@ SELECT f3.*, 'Cold' AS temperature_band, 'No rain' AS rain_intensity FROM f3"""
 @register("scenario_feature_frame", _FRAME_SQL, _FRAME_DOUBLES,
           ["P1", "P2", "P3", "P4", "C15", "W8", "W9", "J6", "J7", "J8", "Q11", "Q15", "Q18"])
 def q_frame(spark, sf):
-    fact = enriched_of(spark, sf)  # already written once
+    fact = written_fact(spark, sf)
     frame = build_scenario_frame(fact, [SCENARIO], fixture_holidays(spark))
     return frame.select(*_FRAME_COLS)
+
+
+# ---------------------------------------------------------------------------
+# the scoring chain on fixed predictions, checked against DuckDB
+# ---------------------------------------------------------------------------
+_CAP = "greatest(quantile_cont(demand, 0.999) * 1.25, max(demand), 1.0)"
+
+
+@register("prediction_cap", E + f"\nSELECT {_CAP} AS prediction_cap FROM enriched", ["prediction_cap"], ["M4"])
+def q_prediction_cap(spark, sf):
+    from ..operators.models import prediction_cap
+    return spark.createDataFrame([(float(prediction_cap(enriched_of(spark, sf))),)], "prediction_cap double")
+
+
+@register("ordinal_codes", E + """,
+known AS (
+  SELECT start_station_id, dense_rank() OVER (ORDER BY start_station_id) - 1 AS code
+  FROM (SELECT DISTINCT start_station_id FROM enriched WHERE start_station_id < 'S15')),
+riders AS (
+  SELECT rider_type, dense_rank() OVER (ORDER BY rider_type) - 1 AS code
+  FROM (SELECT DISTINCT rider_type FROM enriched WHERE start_station_id < 'S15' AND rider_type <> 'casual'))
+SELECT e.hour_start, e.start_station_id, e.rider_type, CAST(coalesce(k.code, -1) AS DOUBLE) AS station_code,
+       CAST(coalesce(r.code, -1) AS DOUBLE) AS rider_code
+FROM enriched e LEFT JOIN known k USING (start_station_id) LEFT JOIN riders r USING (rider_type)""",
+          ["station_code", "rider_code"], ["M3"])
+def q_ordinal_codes(spark, sf):
+    from pyspark.ml import Pipeline
+    from ..operators.models import add_codes, encoder_stages
+    fact = enriched_of(spark, sf).select("hour_start", "start_station_id", "rider_type")
+    cats = ["start_station_id", "rider_type"]
+    known = fact.filter("start_station_id < 'S15' AND rider_type <> 'casual'")
+    encoder = Pipeline(stages=encoder_stages(cats, [])[0]).fit(known)
+    labels = {c: list(own) for c, own in zip(cats, encoder.stages[0].labelsArray)}
+    out = add_codes(encoder.transform(fact), cats, labels)
+    return out.select("hour_start", "start_station_id", "rider_type",
+                      F.col("start_station_id__code").alias("station_code"),
+                      F.col("rider_type__code").alias("rider_code"))
+
+
+# a fixed raw prediction that is off by a station-dependent amount
+_RAW = "least(demand * 0.8 + (hour % 5) * 0.31719 + 0.51313, 6.0)"
+_SEGMENTS = """
+scored AS (SELECT *, {raw} AS raw_p FROM enriched),
+chain AS (
+  SELECT *, least(greatest(1.0371737 * (0.75 * raw_p + 0.25 * historical_profile_demand) - 0.2137131, 0.0), 6.0) AS p FROM scored),
+segments AS (
+  SELECT rider_type, hour, median(demand - p) * (count(*) / (count(*) + 20.0)) AS correction
+  FROM chain GROUP BY rider_type, hour HAVING count(*) >= 20)""".format(raw=_RAW)
+
+
+def _fixed_chain(spark, sf):
+    """A model without a regressor: the chain starts at ``_raw``."""
+    from ..operators.models import DemandModel
+    model = DemandModel(name="fixed", pipeline=None, cats=[], nums=[], labels={}, log_target=False, prediction_cap=6.0,
+                        blend_weight=0.75, calibration="linear", slope=1.0371737, intercept=-0.2137131)
+    fact = written_fact(spark, sf).withColumn("_raw", F.expr(_RAW).cast("double"))
+    return model, fact
+
+
+def _fixed_corrections(spark, sf):
+    from ..operators.models import residual_corrections
+    model, fact = _fixed_chain(spark, sf)
+    scored = model.finish(fact, out="_base").withColumn("residual", F.col("demand") - F.col("_base"))
+    return model, fact, residual_corrections(scored, ["rider_type", "hour"], min_rows=20)
+
+
+@register("residual_corrections", E + "," + _SEGMENTS + "\nSELECT * FROM segments", ["correction"], ["M13"])
+def q_residual_corrections(spark, sf):
+    table = _fixed_corrections(spark, sf)[2]
+    return table.select(F.col("_rk_rider_type").alias("rider_type"), F.col("_rk_hour").alias("hour"),
+                        F.col("_correction").alias("correction"))
+
+
+@register("scoring_chain", E + "," + _SEGMENTS + """
+SELECT hour_start, start_station_id, rider_type,
+       least(greatest(p + 0.35 * coalesce(correction, 0.125), 0.0), 6.0) AS predicted_demand
+FROM chain LEFT JOIN segments USING (rider_type, hour)""", ["predicted_demand"], ["M5", "M12", "M14", "J9"])
+def q_scoring_chain(spark, sf):
+    model, fact, table = _fixed_corrections(spark, sf)
+    model.residual_keys, model.residual_table, model.residual_bias = ["rider_type", "hour"], table, 0.125
+    return model.finish(fact).select("hour_start", "start_station_id", "rider_type", "predicted_demand")
+
+
+class FixedScorer:
+    """A linear scorer in place of fitted trees: scenario scores then have an SQL form."""
+
+    def predict(self, frame, out="predicted_demand"):
+        return frame.withColumn(out, F.expr("0.5 * historical_profile_demand + 0.1 * hour + 0.2 * day_of_week"
+                                            " + 0.01 * temperature + 0.02 * precipitation"))
+
+
+_SCORED = ("0.5 * historical_profile_demand + 0.1 * hour + 0.2 * day_of_week + 0.01 * temperature"
+           " + 0.02 * precipitation")
+
+
+@register("scenario_scores", _FRAME_SQL.rsplit("SELECT f3.*", 1)[0]
+          + f"SELECT start_station_id, {_SCORED} AS predicted_demand FROM f3", ["predicted_demand"], ["P5", "P1"])
+def q_scenario_scores(spark, sf):
+    preds = predict_station_demand(written_fact(spark, sf), [SCENARIO], FixedScorer(), fixture_holidays(spark))
+    return preds.select("start_station_id", "predicted_demand")
+
+
+@register("trend_168h", E + """,
+hist AS (SELECT * FROM enriched WHERE rider_type = 'member'),
+hours AS (SELECT TIMESTAMP '2024-02-01 08:00:00' + i * INTERVAL 1 HOUR AS hour_start FROM range(168) t(i)),
+grid AS (SELECT hour_start, isodow(hour_start) - 1 AS day_of_week, hour(hour_start) AS hour, start_station_id
+         FROM hours CROSS JOIN (SELECT DISTINCT start_station_id FROM hist)),
+prof AS (SELECT start_station_id, day_of_week, hour, avg(demand) AS v FROM hist GROUP BY ALL),
+overall AS (SELECT avg(demand) AS v FROM hist)
+SELECT hour_start, sum(0.5 * coalesce(prof.v, overall.v) + 0.1 * hour + 0.2 * day_of_week + 0.05) AS predicted_demand
+FROM grid LEFT JOIN prof USING (start_station_id, day_of_week, hour) CROSS JOIN overall
+GROUP BY hour_start""", ["predicted_demand"], ["P6", "P9", "U4"])
+def q_trend_168h(spark, sf):
+    return forecast_trend(written_fact(spark, sf), SCENARIO, FixedScorer(), periods=168, holidays=fixture_holidays(spark))
+
+
+@register("intensity_totals", _FRAME_SQL.rsplit("SELECT f3.*", 1)[0] + """
+SELECT weather_intensity, round(total, 2) AS predicted_demand, round(total - chosen, 2) AS difference_from_selected
+FROM (SELECT i.weather_intensity,
+             sum(0.5 * historical_profile_demand + 0.1 * hour + 0.2 * day_of_week + 0.01 * 11.0 + 0.02 * i.rain) AS total,
+             sum(0.5 * historical_profile_demand + 0.1 * hour + 0.2 * day_of_week + 0.01 * 5.0) AS chosen
+      FROM f3 CROSS JOIN (VALUES ('Light rain (0-2.5 mm)', 1.5), ('Moderate rain (2.5-10 mm)', 6.0),
+                                 ('Heavy rain (>10 mm)', 15.0)) AS i(weather_intensity, rain)
+      GROUP BY i.weather_intensity)""", ["predicted_demand", "difference_from_selected"], ["P8"])
+def q_intensity_totals(spark, sf):
+    typical = {"temperature": 11.0, "precipitation": 0.5, "snow": 0.0, "wind_speed": 4.0}
+    return intensity_comparison(written_fact(spark, sf), SCENARIO, FixedScorer(), "Rain", typical, fixture_holidays(spark))

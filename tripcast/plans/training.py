@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import RIDER_MODEL_MIN_ROWS, RIDER_MODEL_TYPES
 from ..operators import evaluation as EV
-from ..operators.models import (fit_model, feature_importance, long_predictions, maybe_add_residual_adjustment,
+from ..operators.models import (DemandModel, fit_model, feature_importance, long_predictions, maybe_add_residual_adjustment,
                                 model_specs, prediction_cap, prepare_numeric)
 from ..operators.split import latest_rows, temporal_train_calibration_test_split, temporal_train_test_split
 from ..session import checkpoint_dir, materialize
+from ..sources.sinks import path_exists
 
 KEYS = ["hour_start", "start_station_id", "rider_type"]
 
@@ -40,6 +41,14 @@ def _calibrate(model, calibration: DataFrame, target: str):
             "residual_adjustment": residual}
 
 
+def _station_names(data: DataFrame) -> DataFrame | None:
+    """One name per station: that of its latest hour."""
+    if "start_station_name" not in data.columns:
+        return None
+    return data.groupBy("start_station_id").agg(
+        F.max_by("start_station_name", F.struct("hour_start", "start_station_name")).alias("start_station_name"))
+
+
 def train_models(station_hour: DataFrame, target: str = "demand", max_train_rows: int | None = None,
                  fast: bool = False, selection_metric: str = "combined", train_rider_models: bool = True,
                  names: list[str] | None = None) -> dict:
@@ -78,21 +87,28 @@ def train_models(station_hour: DataFrame, target: str = "demand", max_train_rows
         "metrics": metrics, "ranking": ranking, "top3": EV.top_models(ranking),
         "best_summary": EV.best_model_summary(ranking),
         "hotspot": EV.hotspot_classification(preds),
-        "backtest": EV.backtest_wide(preds, KEYS, list(fitted)),
+        "backtest": EV.backtest_wide(preds, KEYS, list(fitted), _station_names(data)),
         "feature_importance": feature_importance(fitted[best]),
         "test_predictions": preds,
     }
     if train_rider_models:
-        out["rider_metrics"] = rider_specific_models(data, best, specs[best], cap, target)
+        out["rider_metrics"], out["rider_models"] = rider_specific_models(data, best, specs[best], cap, target)
     return out
 
 
-def rider_specific_models(data: DataFrame, best: str, spec, cap: float, target: str = "demand") -> DataFrame | None:
-    """The best model type refit per rider type (>= 1000 rows), 80/20, blend tuned on test (Q13)."""
-    rows = []
+def rider_specific_models(data: DataFrame, best: str, spec, cap: float, target: str = "demand",
+                          min_rows: int = RIDER_MODEL_MIN_ROWS) -> tuple[DataFrame, dict]:
+    """The best model type refit per rider type, 80/20, blend tuned on test (Q13).
+
+    Returns the metrics (one row per rider type; ``trained`` is false, and the metrics
+    null, where fewer than ``min_rows`` rows exist) and the fitted models by rider type.
+    """
+    rows, models = [], {}
     for rider in RIDER_MODEL_TYPES:
         rider_data = data.filter(F.col("rider_type") == rider)
-        if rider_data.count() < RIDER_MODEL_MIN_ROWS:
+        n = rider_data.count()
+        if n < min_rows:
+            rows.append({"rider_type": rider, "model": best, "trained": False, "n_rows": n})
             continue
         split = temporal_train_test_split(rider_data).checkpoint(eager=True)
         model = fit_model(split.filter(F.col("split") == "train"), best, spec, cap, target)
@@ -100,12 +116,35 @@ def rider_specific_models(data: DataFrame, best: str, spec, cap: float, target:
         pred = long_predictions(model, test, KEYS, target, scored=True)
         model.blend_weight = float(EV.optimize_blend_weight(pred).first()["blend_weight"])
         m = EV.regression_metrics(long_predictions(model, test, KEYS, target, scored=True)).first().asDict()
-        m.update({"rider_type": rider, "model": best, "blend_weight": model.blend_weight})
-        rows.append(m)
-    if not rows:
-        return None
+        rows.append(m | {"rider_type": rider, "model": best, "blend_weight": model.blend_weight, "trained": True,
+                         "n_rows": n})
+        models[rider] = model
     spark = data.sparkSession
-    cols = ["MAE", "RMSE", "R2", "WAPE", "SMAPE", "MAPE_nonzero", "rider_type", "model", "blend_weight"]
-    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows],
-                                 "MAE double, RMSE double, R2 double, WAPE double, SMAPE double, "
-                                 "MAPE_nonzero double, rider_type string, model string, blend_weight double")
+    cols = ["MAE", "RMSE", "R2", "WAPE", "SMAPE", "MAPE_nonzero", "rider_type", "model", "blend_weight", "trained",
+            "n_rows"]
+    table = spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows],
+                                  "MAE double, RMSE double, R2 double, WAPE double, SMAPE double, "
+                                  "MAPE_nonzero double, rider_type string, model string, blend_weight double, "
+                                  "trained boolean, n_rows long")
+    return table, models
+
+
+def rider_model_path(models_dir: str, rider_type: str) -> str:
+    return f"{models_dir}/{rider_type}_station_demand_model"
+
+
+def general_model_path(models_dir: str) -> str:
+    return f"{models_dir}/best_station_demand_model"
+
+
+def save_models(models_dir: str, best, rider_models: dict) -> None:
+    """The general model and one per rider type that has its own."""
+    best.save(general_model_path(models_dir))
+    for rider, model in rider_models.items():
+        model.save(rider_model_path(models_dir, rider))
+
+
+def load_model(spark, models_dir: str, rider_type: str = "all"):
+    """The rider type's own model if it was saved, else the general one."""
+    own = rider_model_path(models_dir, rider_type)
+    return DemandModel.load(spark, own if path_exists(spark, own) else general_model_path(models_dir))

@@ -27,6 +27,12 @@ def write_small_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_csv_copy(df: DataFrame, path: str) -> str:
+    """The whole table as CSV, one file per task."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Column-pruned read; Catalyst pushes the projection into the parquet scan."""
     df = spark.read.parquet(path)
