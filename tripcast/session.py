@@ -51,9 +51,9 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 # a shuffle of m map and r reduce tasks has m * r blocks to keep track of
-MAX_SHUFFLE_PARTITIONS = 20_000
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
