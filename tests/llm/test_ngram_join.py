@@ -73,12 +73,14 @@ def test_chain_of_links_is_one_component(docs_of):
 
 def test_rtree_finds_what_the_bound_admits():
     rng = np.random.default_rng(3)
-    vec = rng.poisson(3, (300, 16))
-    vec[150:] = vec[:150] + rng.integers(0, 2, (150, 16)) * (rng.random((150, 16)) < 0.2)
-    size = vec.sum(axis=1)
+    vec = rng.poisson(3, (300, 16)).astype(np.uint8)
+    vec[150:] = vec[:150] + (rng.random((150, 16)) < 0.1)
+    vec[:, 0] = 255
+    size = vec.sum(axis=1, dtype=np.int64) + rng.integers(0, 9, 300)
+    over = ngram_join.excess(size, vec)
     tree = ngram_join.RTree(size, vec)
     for i in range(300):
-        want = np.flatnonzero(np.minimum(vec, vec[i]).sum(axis=1) >= ngram_join.least_overlap(size + size[i], 85, 100))
+        want = np.flatnonzero(np.minimum(vec, vec[i]).sum(axis=1, dtype=np.int64) + np.minimum(over, over[i]) >= ngram_join.least_overlap(size + size[i], 85, 100))
         assert sorted(tree.search(int(size[i]), vec[i], 85, 100)) == want.tolist()
 
 

@@ -7,7 +7,8 @@ share a component.
 
 1. *Copies.*  Texts with the same set are one node, named by a 64-bit hash of the set.
 2. *Points.*  Shingles are hashed into ``DIMENSIONS`` groups; a node's point holds its
-   count in each.  The overlap of two sets is at most the sum of the coordinate minima.
+   count in each (up to 255, and what exceeds that together in one more coordinate).
+   The overlap of two sets is at most the sum of the coordinate minima.
 3. *Dealing.*  Points that may link differ in at most D shingles, D following from the
    threshold and the size class.  The hash range is cut into m > D slices: two linked
    sets hold the same shingles in at least m - D of them, so nodes meet in the tasks of
@@ -17,9 +18,13 @@ share a component.
    group unless it is all that they have in a slice.
 4. *Stars.*  In each group all nodes are held against one; pairs that the bound admits
    are verified on their texts, and the components found.
+   Then, in groups with nodes of several components, a few more pivots are tried by
+   their points, so that large families of copies grow together early.
 5. *R-tree.*  Groups with nodes of several components are searched by R-tree (leaves of
    near points, bounded by the minima against the leaf's largest coordinates) for the
    pairs that remain between components, in blocks if a group is large, and verified.
+   Nodes carry the slices that they had just before in order: a pair that also shares
+   one of those was searched there already and is not given again.
 
 After 5 every pair that links lies in one component: pairs left out are in the same
 component already, or refuted by bound or by text.
@@ -36,13 +41,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import chunks, distinct_per_text, mix64, shingle_hashes, text_of, word_hashes, written
 
-DIMENSIONS = 64
+DIMENSIONS = 256
 BLOCK = 2048  # nodes of a group that one R-tree holds
 LEAF = 16
+PIVOTS = 3  # nodes of a group that the second round of stars tries
+SMALL = 24  # groups of so many nodes are compared without a tree
+MEMORY = 16  # earlier slices of a node by which repeated pairs are told
 _GROWTH = 0.7  # size classes begin at l, l / 0.7, ...
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -74,7 +82,7 @@ def size_classes(num: int, den: int, largest: int = 1 << 31) -> Classes:
         e = 2
         for _ in range(20):  # room for the empty slices that e itself makes likelier
             expected = (d + 1 + e) * np.exp(-low / (d + 1 + e))
-            e = max(e, min(d + 2, int(np.ceil(expected + expected ** 0.5))))
+            e = max(e, min(d + 2, int(np.ceil(expected + 3 * expected ** 0.5))))
         m = d + 1 + e
         differ.append(d)
         slices.append(m)
@@ -106,11 +114,16 @@ def set_keys(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def points(h: np.ndarray, bounds: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """Counts of each set's shingles by group."""
+    """Counts of each set's shingles by group, 255 at most; what is cut off is the size less their sum."""
     n = len(bounds) - 1
     owner = np.repeat(np.arange(n), np.diff(bounds))
     group = (mix64(h ^ _C2) % np.uint64(dimensions)).astype(np.int64)
-    return np.bincount(owner * dimensions + group, minlength=n * dimensions).reshape(n, dimensions).astype("<u4")
+    count = np.bincount(owner * dimensions + group, minlength=n * dimensions).reshape(n, dimensions)
+    return np.minimum(count, 255).astype(np.uint8)
+
+
+def excess(size: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    return size - vec.sum(axis=1, dtype=np.int64)
 
 
 def signatures(h: np.ndarray, bounds: np.ndarray, classes: Classes, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,21 +168,24 @@ class RTree:
     def __init__(self, size: np.ndarray, vec: np.ndarray, leaf: int = LEAF):
         spread = vec.var(axis=0)
         axes = np.argsort(-spread)[:2]
-        order = np.lexsort((vec[:, axes[1]] if len(axes) > 1 else size, vec[:, axes[0]], size))
+        order = np.lexsort((vec[:, axes[-1]], vec[:, axes[0]], size))
         self.order, self.size, self.vec, self.leaf = order, size[order], vec[order], leaf
+        self.over = excess(self.size, self.vec)
         starts = np.arange(0, len(order), leaf)
         self.top = np.maximum.reduceat(self.vec, starts, axis=0)
+        self.top_over = np.maximum.reduceat(self.over, starts)
         self.small = np.minimum.reduceat(self.size, starts)
 
     def search(self, size: int, vec: np.ndarray, num: int, den: int) -> np.ndarray:
         """Indices of points whose bound admits a link with the given one."""
-        most = np.minimum(self.top, vec).sum(axis=1)
+        over = size - int(vec.sum(dtype=np.int64))
+        most = np.minimum(self.top, vec).sum(axis=1, dtype=np.int64) + np.minimum(self.top_over, over)
         leaves = np.flatnonzero(most >= least_overlap(self.small + size, num, den))
         if not len(leaves):
             return np.zeros(0, np.int64)
         at = (leaves[:, None] * self.leaf + np.arange(self.leaf)).ravel()
         at = at[at < len(self.order)]
-        bound = np.minimum(self.vec[at], vec).sum(axis=1)
+        bound = np.minimum(self.vec[at], vec).sum(axis=1, dtype=np.int64) + np.minimum(self.over[at], over)
         return self.order[at[bound >= least_overlap(self.size[at] + size, num, den)]]
 
 
@@ -232,10 +248,11 @@ def _bounded(pairs: DataFrame, pts: DataFrame, num: int, den: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            va, vb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1)
+            va, vb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                       for c in ("va", "vb"))
-            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            ok = np.minimum(va, vb).sum(axis=1) >= least_overlap(total, num, den)
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            bound = np.minimum(va, vb).sum(axis=1, dtype=np.int64) + np.minimum(excess(na, va), excess(nb, vb))
+            ok = bound >= least_overlap(na + nb, num, den)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))],
                                              names=["a", "b"])
 
@@ -293,48 +310,83 @@ def components(links: DataFrame) -> DataFrame:
         labels = moved.select("key", "label")
 
 
-def _residual(stars: DataFrame, labels: DataFrame, pts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs between components that share a slice and that the R-tree admits."""
+def admitted(size: np.ndarray, vec: np.ndarray, who: np.ndarray, among: np.ndarray, num: int, den: int):
+    """(i, places) for each i of ``who``: the places of ``among`` whose bound admits a link with i."""
+    if len(among) <= SMALL:
+        over = excess(size, vec)
+        both = np.minimum(vec[who][:, None], vec[among][None]).sum(axis=2, dtype=np.int64)
+        both += np.minimum(over[who][:, None], over[among][None])
+        ok = both >= least_overlap(size[who][:, None] + size[among][None], num, den)
+        for i, row in zip(who, ok):
+            if row.any():
+                yield i, among[row]
+        return
+    tree = RTree(size[among], vec[among])
+    for i in who:
+        yield i, among[tree.search(int(size[i]), vec[i], num, den)]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]):
+    """The rows of each (sig, x, y) in turn, as columns."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:3] != at:
+                if len(held) > 1:
+                    yield at[0], list(zip(*held))
+                at, held = row[:3], []
+            held.append(row[3:])
+    if len(held) > 1:
+        yield at[0], list(zip(*held))
+
+
+def _between(stars: DataFrame, labels: DataFrame, pts: DataFrame, num: int, den: int, pivots: int = 0) -> DataFrame:
+    """Pairs between components that share a slice and that the bound admits.
+
+    With ``pivots`` only so many nodes of each group are held against the others.
+    """
     members = stars.select("sig", "key").unionByName(stars.select("sig", F.col("pivot").alias("key")).distinct())
     label = F.coalesce("label", "key").alias("label")
     members = members.join(labels, "key", "left").select("sig", "key", label)
     mixed = (members.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
              .where("lo <> hi").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = members.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = members.join(mixed, "sig")
+    w = Window.partitionBy("key").orderBy("sig").rowsBetween(-MEMORY, -1)
+    rows = rows.withColumn("before", F.collect_list("sig").over(w) if not pivots else F.array().cast("array<long>"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     # a large group is cut into blocks; each pair of blocks is a cell of its own
     cell = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("sig", "key", "label", "block", cell.alias("other")).select(
-        "sig", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "key", "label")
+    rows = rows.select("sig", "key", "label", "block", "before", cell.alias("other")).select(
+        "sig", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "key", "label",
+        "before")
     rows = rows.join(pts.select("key", "n", "vec"), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held = None, []
-
-        def search() -> pa.RecordBatch | None:
-            block, key, label, n = (np.array([r[i] for r in held], np.int64) for i in (0, 1, 2, 3))
-            vec = np.frombuffer(b"".join(r[4] for r in held), "<u4").reshape(len(held), -1).astype(np.int64)
-            tree_rows = np.flatnonzero(block == block.max())
-            tree = RTree(n[tree_rows], vec[tree_rows])
-            a, b = [], []
-            for i in np.flatnonzero(block == block.min()):
-                got = tree_rows[tree.search(int(n[i]), vec[i], num, den)]
-                got = got[(label[got] != label[i]) & ((block[got] != block[i]) | (key[got] > key[i]))]
+        a, b = [], []
+        for sig, cols in _cells(batches):
+            block, key, label, size = (np.array(c, np.int64) for c in cols[:4])
+            vec = np.frombuffer(b"".join(cols[4]), np.uint8).reshape(len(key), -1)
+            among, who = np.flatnonzero(block == block.max()), np.flatnonzero(block == block.min())
+            if pivots:
+                order = mix64(key[who].view(np.uint64) ^ np.int64(sig).view(np.uint64))
+                who = who[np.argsort(order, kind="stable")[:pivots]]
+            for i, got in admitted(size, vec, who, among, num, den):
+                got = got[label[got] != label[i]]
+                if not pivots:
+                    got = got[(block[got] != block[i]) | (key[got] > key[i])]
+                    if len(got) and cols[5][i]:
+                        own = set(cols[5][i])
+                        got = got[[own.isdisjoint(cols[5][j]) for j in got]]
                 a.append(np.minimum(key[i], key[got]))
                 b.append(np.maximum(key[i], key[got]))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
-                if row[:3] != cell:
-                    if len(held) > 1:
-                        yield search()
-                    cell, held = row[:3], []
-                held.append(row[3:])
-        if len(held) > 1:
-            yield search()
+            if len(a) > 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     cells = rows.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-    return cells.select("sig", "x", "y", "block", "key", "label", "n", "vec").mapInArrow(
+    return cells.select("sig", "x", "y", "block", "key", "label", "n", "vec", "before").mapInArrow(
         run, "a long, b long").distinct()
 
 
@@ -358,12 +410,16 @@ def join_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 1
     dealt = _deal(nodes, words, classes, num, den).repartition("sig").sortWithinPartitions("sig", "key")
     stars = written(dealt.mapInArrow(_stars, "sig long, pivot long, key long"), "stars")
     pairs = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    links = written(_verified(_bounded(pairs, pts, num, den), by_key, nodes, words, num, den), "links")
-    labels = components(links)
-    rest = _residual(stars, labels, pts, num, den).join(pairs, ["a", "b"], "left_anti")
-    more = written(_verified(rest, by_key, nodes, words, num, den), "links")
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    links = written(_verified(written(_bounded(pairs, pts, num, den), "pairs"), by_key, nodes, words, num, den), "links")
+    # a second round of stars, then whatever is left between components
+    tried, labels = pairs, components(links)
+    for pivots in (PIVOTS, 0):
+        rest = written(_between(stars, labels, pts, num, den, pivots).join(tried, ["a", "b"], "left_anti"), "rest")
+        more = written(_verified(rest, by_key, nodes, words, num, den), "links")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            labels = components(links)
+        tried = tried.unionByName(rest)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     # least id by node, then by component; groups of copies meet as one row each
