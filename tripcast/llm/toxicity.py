@@ -325,11 +325,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     hash_ = fold(F.col("doc_id"))
     half = F.pmod(F.floor(hash_ / 4), F.lit(HALVES)).cast("int").alias("half")
     marks = marks.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic", half)
-    usable = own.where(~held_out(F.col("doc_id"))).join(marks, "doc_id")
+    usable = own.where(~held_out(F.col("doc_id"))).join(marks.hint("merge"), "doc_id")
     grams, contexts = map(slotted, ratios(gram_counts(usable)))
     send = lambda m: _Shared(spark.sparkContext.broadcast((grams[m], contexts[m])))
     sample = marks.orderBy(hash_, "doc_id", "toxic").limit(curve_rows)
-    fit = own.join(sample, "doc_id").withColumn("__key", F.struct("doc_id", "toxic"))
+    # at most curve_rows small rows
+    fit = own.join(F.broadcast(sample), "doc_id").withColumn("__key", F.struct("doc_id", "toxic"))
     x, y = [np.zeros((0, 4))], []
     for m in range(HALVES):
         got = _with_features(fit.where(F.col("half") == m).select("__key", "text"), send(m), "__key").toArrow()
