@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import oracle as O
 from .registry import KEYS, enriched_of, register
+from ..session import materialize
 from ..operators import evaluation as EV
 from ..operators.split import split_summary, temporal_train_calibration_test_split, temporal_train_test_split, \
     latest_rows
@@ -29,7 +30,8 @@ def fixture_predictions(enriched: DataFrame) -> DataFrame:
 
 
 def preds_of(spark, sf) -> DataFrame:
-    return fixture_predictions(enriched_of(spark, sf))
+    # read several times by each evaluation: written once, with these few columns only
+    return materialize(fixture_predictions(enriched_of(spark, sf)))
 
 
 PREDS = E + """,
@@ -92,16 +94,21 @@ labelled AS (
 )"""
 
 
+def keys_of(spark, sf):
+    """The fact's keys, which a split reads for its cuts and again for its rows: written once."""
+    return materialize(enriched_of(spark, sf).select(*KEYS))
+
+
 @register("temporal_split", _SPLIT_SQL + "\nSELECT hour_start, start_station_id, rider_type, split FROM labelled",
           [], ["M1", "H2", "Q17"])
 def q_split(spark, sf):
-    return temporal_train_calibration_test_split(enriched_of(spark, sf).select(*KEYS))
+    return temporal_train_calibration_test_split(keys_of(spark, sf))
 
 
 @register("temporal_split_80_20", _SPLIT_SQL + "\nSELECT hour_start, start_station_id, rider_type, split2 AS split FROM labelled",
           [], ["M2"])
 def q_split2(spark, sf):
-    return temporal_train_test_split(enriched_of(spark, sf).select(*KEYS))
+    return temporal_train_test_split(keys_of(spark, sf))
 
 
 @register("split_summary", _SPLIT_SQL + """
@@ -109,7 +116,7 @@ SELECT split, count(*) AS row_count, min(hour_start) AS start_hour, max(hour_sta
 FROM labelled GROUP BY split""",
           [], ["A29"])
 def q_split_summary(spark, sf):
-    return split_summary(temporal_train_calibration_test_split(enriched_of(spark, sf).select(*KEYS)))
+    return split_summary(temporal_train_calibration_test_split(keys_of(spark, sf)))
 
 
 @register("latest_training_rows", E + """
@@ -117,7 +124,7 @@ SELECT hour_start, start_station_id, rider_type FROM enriched
 QUALIFY row_number() OVER (ORDER BY hour_start DESC, start_station_id DESC, rider_type DESC) <= 5000""",
           [], ["T9"])
 def q_latest_rows(spark, sf):
-    return latest_rows(enriched_of(spark, sf).select(*KEYS), 5000)
+    return latest_rows(keys_of(spark, sf), 5000)
 
 
 # ---------------------------------------------------------------------------

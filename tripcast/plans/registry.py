@@ -156,7 +156,7 @@ def q_station_hour_demand(spark, sf):
           LAG_DOUBLES, ["W1", "W2", "W3", "W4", "W5", "A4", "A5", "A6", "A7", "A8", "A9", "F24", "J2", "S10",
                         "F8", "F9", "J5", "F12"])
 def q_station_hour_lags(spark, sf):
-    return enriched_of(spark, sf).select(*KEYS, *LAG_COLS, "is_holiday", "is_pre_holiday")
+    return enriched_of(spark, sf, cut_lineage=True).select(*KEYS, *LAG_COLS, "is_holiday", "is_pre_holiday")
 
 
 @register("station_hour_weather",
