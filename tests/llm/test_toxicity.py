@@ -111,3 +111,56 @@ def test_without_labels_and_empty_tables(spark, docs_of):
     docs = docs_of(ODD)
     kept = toxicity.keep_ordinary(docs, none)
     assert kept.columns == docs.columns and kept.count() == len(ODD)
+
+
+def plain_features(words, seen, contexts, m):
+    """mean_ratio, over_1, over_2, words by looking each n-gram up under its own name."""
+    def ratio(w):
+        s, out = "\x01" + w + "\x02", 0.0
+        for i in range(1, len(s)):
+            g = s[max(0, i - toxicity.ORDER + 1):i + 1]
+            out += seen.get((m, g), contexts.get((m, g[:-1]), 0.0))
+        return out
+
+    r = [ratio(w) for w in words]
+    n = max(len(r), 1)
+    return [sum(r) / n, *(sum(min(max(x - k, 0.0), 6.0) for x in r) / n for k in (1, 2)), len(r)]
+
+
+@pytest.mark.parametrize("dictionary_bytes", [toxicity.DICTIONARY_BYTES, 2_000, 0])
+def test_every_ngram_keeps_its_own_ratio(spark, docs_of, dictionary_bytes):
+    """Also n-grams that shared a slot of the hash, and words that no dictionary holds."""
+    def slot(g):
+        h = 0
+        for c in g:
+            h = (h * toxicity._BASE + ord(c) + 1) % toxicity._PRIME
+        return h % toxicity.SLOTS
+
+    # begins of words that share a slot, one in the toxic texts and one in the ordinary ones
+    rng, first, pair = random.Random(1), {}, None
+    for _ in range(200_000):
+        w = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(toxicity.ORDER - 1))
+        if first.setdefault(slot("\x01" + w), w) != w:
+            pair = (first[slot("\x01" + w)], w)
+            break
+    assert pair
+    texts, toxic = corpus(200, seed=9)
+    texts = [t + " " + pair[1 - bad] for t, bad in zip(texts, toxic)] + ODD + [pair[0], pair[1], "unseen" * 3]
+    docs = docs_of(texts, clash=True)
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, labels, dictionary_bytes=dictionary_bytes).collect()}
+    train = [(t, toxic[i], zlib.crc32(str(i).encode()) // 4 % 2) for i, t in enumerate(texts[:200])
+             if zlib.crc32(str(i).encode()) % 4 != 2]
+    seen, contexts = ({(r["m"], r["g"]): r["llr"] for r in t.collect()} for t in toxicity.ratios(
+        toxicity.gram_counts(spark.createDataFrame(train, "text string, toxic int, half int"))))
+    for i, t in enumerate(texts):
+        want = plain_features(toxicity.words_of(t or ""), seen, contexts, toxicity.ALL)
+        assert np.allclose([got[i][c] for c in toxicity.FEATURES], want, atol=1e-9), (i, t)
+
+
+def test_kept_rows_are_those_below_the_threshold(spark, docs_of, scored):
+    got, toxic, texts, labels = scored
+    docs = docs_of(texts, clash=True)
+    for most in (toxicity.DICTIONARY_BYTES, 2_000):
+        kept = toxicity.keep_ordinary(docs, labels, dictionary_bytes=most).collect()
+        assert sorted(r["doc_id"] for r in kept) == sorted(i for i, r in got.items() if not r["predicted"])

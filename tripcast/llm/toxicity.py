@@ -16,8 +16,13 @@ It is fitted by crossing two halves: a bounded sample of the training rows, each
 scored by a model that counted the other half only.
 
 Where an n-gram was seen in neither class the shared backoff cancels, so that a
-log-likelihood ratio needs the seen n-grams and their contexts only.  Both go into
-``SLOTS`` hashed slots: that bounds what is broadcast, whatever the corpus.
+log-likelihood ratio needs the seen n-grams and their contexts only.  Both stay
+tables keyed by the n-gram itself and grow with the corpus: the distinct words of all
+documents are cut into n-grams, joined to them, and summed to one ratio per word.
+The most frequent words, up to ``DICTIONARY_BYTES``, are broadcast with their ratios;
+the words of a document that are not among them come out as (row, word, count) and
+are joined to the table of words.  So what is broadcast is bounded, and no n-gram
+or word takes another one's ratio.
 
 Defined cases: a null or wordless text has features 0 and the score of the
 curve's lower end; labels that are null are ignored; a document labelled several
@@ -34,21 +39,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialize
-from .common import chunks, text_of
+from .common import chunks, text_of, written
 
 ORDER = 5
 DISCOUNT = 0.75
-SLOTS = 1 << 22
 #: the models built side by side: of either half of the training rows, and of all
 HALVES, ALL = 2, 2
 #: the curve is fitted on this many rows at most, those of the smallest id hashes
 CURVE_ROWS = 20_000
 THRESHOLD = 0.3
 CACHE_WORDS = 400_000
+#: what the broadcast words weigh at most, at WORD_BYTES each besides their text
+DICTIONARY_BYTES, WORD_BYTES = 32 << 20, 64
 _WORDS = re.compile("[0-9a-zµ-\U0010ffff]+")
 _BEGIN, _END = "\x01", "\x02"
-_BASE, _PRIME = 1_000_003, (1 << 31) - 1
+# the hash of n-grams into slots; the model does not use it (tests hold it against Python's)
+SLOTS, _BASE, _PRIME = 1 << 22, 1_000_003, (1 << 31) - 1
 
 
 def words_of(text: str) -> list[str]:
@@ -137,7 +143,7 @@ def shared_model(counts: DataFrame) -> list[DataFrame]:
 
 def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Log-likelihood ratios toxic : ordinary of seen n-grams (m, g, llr), and of contexts before unseen ones."""
-    counts = materialize(counts)
+    counts = written(counts, "toxicity-counts")
     tables = shared_model(counts)
     backoff = tables[0]
     for t in tables[1:]:
@@ -167,89 +173,137 @@ def _slot(g: Column) -> Column:
     return F.pmod(h, F.lit(SLOTS)).cast("int")
 
 
-Slots = tuple[np.ndarray, np.ndarray]
+# ---------------------------------------------------------------------------
+# one ratio per distinct word
+# ---------------------------------------------------------------------------
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of a partition's texts with their count."""
+    seen: Counter = Counter()
+
+    def flush():
+        words = list(seen)
+        for a, b in chunks(words):
+            yield pa.RecordBatch.from_arrays([pa.array(words[a:b], pa.string()),
+                                              pa.array([seen[w] for w in words[a:b]], pa.int64())], names=["w", "n"])
+        seen.clear()
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            seen.update(words_of(text))
+            if len(seen) > CACHE_WORDS:
+                yield from flush()
+    yield from flush()
 
 
-def slotted(table: DataFrame) -> list[Slots]:
-    """Per model at most SLOTS values on the driver; n-grams that share a slot get their mean."""
-    got = (table.select("m", _slot(F.col("g")).alias("slot"), "llr").groupBy("m", "slot")
-           .agg(F.avg("llr").cast("float").alias("llr")).toArrow())
-    m = got.column("m").to_numpy()
-    slot, llr = got.column("slot").to_numpy().astype(np.int32), got.column("llr").to_numpy().astype(np.float32)
-    return [(slot[m == i], llr[m == i]) for i in range(ALL + 1)]
+def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(wid, g) for each n-gram of the words (wid, w)."""
+    for batch in batches:
+        ids, grams = [], []
+        for wid, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            s = _BEGIN + w + _END
+            ids += [wid] * (len(s) - 1)
+            grams += [s[max(0, i - ORDER + 1):i + 1] for i in range(1, len(s))]
+            if len(ids) > 50_000:
+                yield _gram_batch(ids, grams)
+                ids, grams = [], []
+        yield _gram_batch(ids, grams)
+
+
+def _gram_batch(ids: list[int], grams: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.string())], names=["wid", "g"])
+
+
+MODELS = range(ALL + 1)
+RATIOS = [f"r{m}" for m in MODELS]
+
+
+def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(wid, r0, r1, ...): each word's log-likelihood ratio under each model, from words (wid, w).
+
+    An n-gram has the ratio of ``ratios``'s first table, one not seen that of its context
+    in the second, and 0 if that was not seen either.
+    """
+    # dealt by n-gram while narrow: three columns of ratios would go over the wire mostly empty
+    wide = lambda t, key, to: t.repartition("g").groupBy(F.col("g").alias(key)).agg(
+        *[F.max(F.when(F.col("m") == m, F.col("llr"))).alias(f"{to}{m}") for m in MODELS])
+    grams = words.select("wid", "w").mapInArrow(_cut_words, "wid long, g string")
+    value = (grams.select("g").distinct().withColumn("h", _head(F.col("g")))
+             .join(wide(seen, "g", "s"), "g", "left").join(wide(contexts, "h", "c"), "h", "left")
+             .select("g", *[F.coalesce(f"s{m}", f"c{m}", F.lit(0.0)).alias(r) for m, r in zip(MODELS, RATIOS)]))
+    return grams.join(value, "g").groupBy("wid").agg(*[F.sum(r).alias(r) for r in RATIOS])
+
+
+def _dictionary_floor(words: DataFrame, most: int) -> int:
+    """The least count class such that its words and all more frequent ones weigh ``most`` bytes at most."""
+    weights = words.groupBy("class").agg(F.sum(F.octet_length("w") + WORD_BYTES).alias("bytes")).collect()
+    total, floor = 0, 1 << 30
+    for r in sorted(weights, key=lambda r: -r["class"]):
+        total += r["bytes"]
+        if total > most:
+            break
+        floor = r["class"]
+    return floor
+
+
+class WordModel:
+    """Ratios of all distinct words: a broadcast dictionary of frequent ones and a table of the others."""
+
+    def __init__(self, texts: DataFrame, seen: DataFrame, contexts: DataFrame, most: int = DICTIONARY_BYTES):
+        counts = texts.select("text").mapInArrow(_count_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+        # eight classes of counts per power of two
+        words = written(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int"))
+                        .withColumn("wid", F.monotonically_increasing_id()), "toxicity-words")
+        table = written(words.select("wid", "w", "class").join(word_ratios(words, seen, contexts), "wid"), "toxicity-ratios")
+        floor = _dictionary_floor(table, most)
+        frequent = table.where(F.col("class") >= floor).select("w", *RATIOS).toArrow()
+        ratio = np.stack([frequent.column(r).to_numpy() for r in RATIOS])
+        self.shared = _Shared(texts.sparkSession.sparkContext.broadcast((frequent.column("w").to_pylist(), ratio)))
+        others = table.where(F.col("class") < floor).select("w", *RATIOS)
+        self.others = None if others.isEmpty() else others
 
 
 class Scorer:
-    """Features of texts from the slot tables; keeps the ratio of words it has seen."""
-
-    def __init__(self, grams: Slots, contexts: Slots):
-        self.grams, self.contexts = np.full(SLOTS, np.nan, np.float32), np.zeros(SLOTS, np.float32)
-        self.grams[grams[0]] = grams[1]
-        self.contexts[contexts[0]] = contexts[1]
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.llr = np.zeros(0, np.float64)
-
-    def word_ratios(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood ratio of each word, all words at once."""
-        flat = _BEGIN + (_END + _BEGIN).join(words) + _END
-        point = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
-        size = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        place = np.arange(len(point)) - np.repeat(first, size)
-        head = np.zeros(len(point), np.int64)  # hash of up to ORDER - 1 characters before
-        for back in range(ORDER - 1, 0, -1):
-            before = np.zeros(len(point), np.int64)
-            before[back:] = point[:-back]
-            head = np.where(place >= back, (head * _BASE + before) % _PRIME, head)
-        whole = (head * _BASE + point) % _PRIME
-        value = self.grams[whole % SLOTS].astype(np.float64)
-        value = np.where(np.isnan(value), self.contexts[head % SLOTS], value)
-        value[first] = 0.0
-        return np.add.reduceat(value, first)
-
-    def features(self, texts: list[str]) -> np.ndarray:
-        """Per text: mean ratio of its words, mean excess over 1 and over 2 nats, words."""
-        if len(self.number) > CACHE_WORDS:
-            self.forget()
-        number, index, counts = self.number, [], np.zeros(len(texts), np.int64)
-        known = len(number)
-        fresh: list[str] = []
+    """Sums over the dictionary words of texts, and the words of each text that are not in it."""
+
+    def __init__(self, words: list[str], ratio: np.ndarray):
+        self.number = {w: i for i, w in enumerate(words)}
+        self.ratio = ratio
+
+    def sums(self, texts: list[str], models: np.ndarray) -> tuple[np.ndarray, list[Counter]]:
+        """Per text: ratios summed, their excess over 1 and over 2 nats summed, words; and the other words."""
+        get, index, others = self.number.get, [], []
+        counts, known = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
             own = words_of(t)
-            counts[i] = len(own)
-            for w in own:
-                n = number.get(w)
-                if n is None:
-                    number[w] = n = known + len(fresh)
-                    fresh.append(w)
-                index.append(n)
-        if fresh:
-            self.llr = np.concatenate([self.llr, self.word_ratios(fresh)])
+            numbers = [n for n in map(get, own) if n is not None]
+            counts[i], known[i] = len(own), len(numbers)
+            index += numbers
+            others.append(Counter(w for w in own if w not in self.number) if len(numbers) < len(own) else Counter())
         out = np.zeros((len(texts), 4))
         out[:, 3] = counts
-        if not index:
-            return out
-        value = self.llr[np.array(index, np.int64)]
-        has = counts > 0
-        starts = (np.cumsum(counts) - counts)[has]
-        out[has, 0] = np.add.reduceat(value, starts) / counts[has]
-        for k, least in ((1, 1.0), (2, 2.0)):
-            out[has, k] = np.add.reduceat(np.clip(value - least, 0.0, 6.0), starts) / counts[has]
-        return out
+        if index:
+            value = self.ratio[np.repeat(models, known), np.array(index, np.int64)]
+            has = known > 0
+            starts = (np.cumsum(known) - known)[has]
+            out[has, 0] = np.add.reduceat(value, starts)
+            for k, least in ((1, 1.0), (2, 2.0)):
+                out[has, k] = np.add.reduceat(np.clip(value - least, 0.0, 6.0), starts)
+        return out, others
 
 
 def curve_inputs(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x[:, 0], np.log(x[:, 1] + 0.02), np.log(x[:, 2] + 0.01), np.log1p(x[:, 3])])
 
 
-def apply_curve(curve: dict | None, x: np.ndarray) -> np.ndarray:
+def curve_column(curve: dict | None) -> Column:
+    """The score from the columns FEATURES."""
     if curve is None:
-        return np.zeros(len(x))
-    z = (curve_inputs(x) - curve["mean"]) / curve["scale"]
-    return 1 / (1 + np.exp(-np.clip(curve["w"][0] + z @ np.array(curve["w"][1:]), -30, 30)))
+        return F.lit(0.0)
+    x = [F.col("mean_ratio"), F.log(F.col("over_1") + 0.02), F.log(F.col("over_2") + 0.01), F.log1p("words")]
+    z = F.lit(curve["w"][0])
+    for value, mean, scale, w in zip(x, curve["mean"], curve["scale"], curve["w"][1:]):
+        z = z + (value - mean) / scale * w
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> dict[str, list[float]] | None:
@@ -296,70 +350,87 @@ class _Shared:
 
 
 FEATURES = ["mean_ratio", "over_1", "over_2", "words"]
+SUMS = FEATURES[:3]
 
 
-def _with_features(rows: DataFrame, shared: _Shared, id_col: str, curve: dict | None = None) -> DataFrame:
-    """id, features and score of rows (id, text)."""
-    kind = dict(rows.dtypes)[id_col]
+def _with_features(rows: DataFrame, model: WordModel, id_col: str) -> DataFrame:
+    """id and features of rows (id, m, text), each under its model m."""
+    kind, shared = dict(rows.dtypes)[id_col], model.shared
+    other = pa.list_(pa.struct([("w", pa.string()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts, m = batch.column(2).to_pylist(), batch.column(1).to_numpy()
             for a, b in chunks(texts):
-                x = scorer.features(texts[a:b])
+                x, others = scorer.sums(texts[a:b], m[a:b])
+                others = [[{"w": w, "n": n} for w, n in c.items()] for c in others]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), *[pa.array(x[:, i]) for i in range(4)],
-                     pa.array(apply_curve(curve, x))], names=["id", *FEATURES, "score"])
-
-    out = rows.mapInArrow(run, f"id {kind}, " + ", ".join(f"{c} double" for c in [*FEATURES, "score"]))
-    return out.withColumnRenamed("id", id_col)
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                     *[pa.array(x[:, i]) for i in range(4)], pa.array(others, other)],
+                    names=["id", "m", *FEATURES, "others"])
+
+    out = rows.select(id_col, "m", "text").mapInArrow(
+        run, f"id {kind}, m int, " + ", ".join(f"{c} double" for c in FEATURES) + ", others array<struct<w:string,n:long>>")
+    if model.others is not None:
+        out = written(out.withColumn("__row", F.monotonically_increasing_id()), "toxicity-sums")
+        single = out.select("__row", "m", F.explode("others").alias("o")).select("__row", "m", "o.w", "o.n")
+        ratio = F.get(F.array(*RATIOS), F.col("m"))
+        over = lambda least: F.least(F.greatest(F.col("r") - least, F.lit(0.0)), F.lit(6.0))
+        added = (single.join(model.others, "w").withColumn("r", ratio).groupBy("__row").agg(
+            *[F.sum(F.col("n") * c).alias(f"__{s}") for s, c in zip(SUMS, (F.col("r"), over(1.0), over(2.0)))]))
+        out = out.join(added, "__row", "left").withColumns(
+            {s: F.col(s) + F.coalesce(f"__{s}", F.lit(0.0)) for s in SUMS})
+    out = out.select(F.col("id").alias(id_col), *[F.when(F.col("words") > 0, F.col(s) / F.col("words")).otherwise(0.0).alias(s)
+                                                 for s in SUMS], "words")
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          curve_rows: int = CURVE_ROWS) -> tuple[_Shared, dict | None]:
-    """Slot tables (broadcast) and curve from the labelled rows that are not held out."""
-    spark = docs.sparkSession
+          curve_rows: int = CURVE_ROWS, dictionary_bytes: int = DICTIONARY_BYTES) -> tuple[WordModel, dict | None]:
+    """Ratios of the documents' words, and curve, from the labelled rows that are not held out."""
     own = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
     marks = labels.select(labels["doc_id"], labels["toxic"].cast("int").alias("toxic")).where("toxic in (0, 1)")
     hash_ = fold(F.col("doc_id"))
     half = F.pmod(F.floor(hash_ / 4), F.lit(HALVES)).cast("int").alias("half")
     marks = marks.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic", half)
     usable = own.where(~held_out(F.col("doc_id"))).join(marks.hint("merge"), "doc_id")
-    grams, contexts = map(slotted, ratios(gram_counts(usable)))
-    send = lambda m: _Shared(spark.sparkContext.broadcast((grams[m], contexts[m])))
+    model = WordModel(own, *ratios(gram_counts(usable)), dictionary_bytes)
     sample = marks.orderBy(hash_, "doc_id", "toxic").limit(curve_rows)
     # at most curve_rows small rows
-    fit = own.join(F.broadcast(sample), "doc_id").withColumn("__key", F.struct("doc_id", "toxic"))
-    x, y = [np.zeros((0, 4))], []
-    for m in range(HALVES):
-        got = _with_features(fit.where(F.col("half") == m).select("__key", "text"), send(m), "__key").toArrow()
-        x.append(np.column_stack([got.column(c).to_numpy() for c in FEATURES]))
-        y += [k["toxic"] for k in got.column("__key").to_pylist()]
-    return send(ALL), fit_curve(curve_inputs(np.concatenate(x)), np.array(y, np.float64))
+    fit = own.join(F.broadcast(sample), "doc_id").select(F.struct("doc_id", "toxic").alias("__key"),
+                                                         F.col("half").alias("m"), "text")
+    got = _with_features(fit, model, "__key").toArrow()
+    x = np.column_stack([got.column(c).to_numpy() for c in FEATURES])
+    y = [k["toxic"] for k in got.column("__key").to_pylist()]
+    return model, fit_curve(curve_inputs(x), np.array(y, np.float64))
+
+
+def _scored(rows: DataFrame, model: WordModel, curve: dict | None, id_col: str) -> DataFrame:
+    """id, features and score of rows (id, text)."""
+    out = _with_features(rows.withColumn("m", F.lit(ALL)), model, id_col)
+    return out.withColumn("score", curve_column(curve))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
+          threshold: float = THRESHOLD, dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:
     """id, held_out, score, predicted and the length-normalised ratios of each document."""
-    shared, curve = train(docs, labels, id_col, text_col)
-    rows = docs.select(docs[id_col].alias(id_col), text_of(docs, text_col).alias("__t"))
-    out = _with_features(rows, shared, id_col, curve).withColumn("held_out", held_out(F.col(id_col)))
+    model, curve = train(docs, labels, id_col, text_col, dictionary_bytes=dictionary_bytes)
+    rows = docs.select(docs[id_col].alias(id_col), text_of(docs, text_col).alias("text"))
+    out = _scored(rows, model, curve, id_col).withColumn("held_out", held_out(F.col(id_col)))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int")).select(
         id_col, "held_out", "score", "predicted", *FEATURES)
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that score below the threshold, with all their columns; no row is shuffled."""
-    shared, curve = train(docs, labels, id_col, text_col)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            keep = [apply_curve(curve, scorer.features(texts[a:b])) < threshold for a, b in chunks(texts)]
-            yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
-
-    return docs.mapInArrow(run, docs.schema)
+                  threshold: float = THRESHOLD, dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:
+    """The rows that score below the threshold, with all their columns.
+
+    The score depends on the text alone, so the toxic texts' SHA-256 tells which rows go.
+    """
+    model, curve = train(docs, labels, id_col, text_col, dictionary_bytes=dictionary_bytes)
+    digest = F.sha2(text_of(docs, text_col), 256)
+    rows = docs.select(digest.alias("__digest"), text_of(docs, text_col).alias("text"))
+    toxic = _scored(rows, model, curve, "__digest").where(F.col("score") >= threshold).select("__digest").distinct()
+    toxic = written(toxic, "toxicity-toxic")
+    return docs.join(toxic, digest == toxic["__digest"], "left_anti")
