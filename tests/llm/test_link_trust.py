@@ -45,3 +45,26 @@ def test_matches_sql(spark):
 
 def test_empty_table(spark):
     assert link_trust.judge(frame(spark, [])).count() == 0
+
+
+def test_a_chain_longer_than_ten_hosts(spark):
+    """Host 0 leads to a blocked host over 23 links; the last links back, so that the walk also has a cycle."""
+    n = 23
+    rows = [(i, f"https://h{i}.net/", f'<a href="http://h{i + 1}.net/">next</a>') for i in range(n - 1)]
+    rows += [(n - 1, f"https://h{n - 1}.net/", f'<a href="http://bad.com/de/1">x</a><a href="http://h{n - 3}.net/">y</a>'),
+             (n, "http://bad.com/de/1", None), (n + 1, "http://bad.com/fr/1", "")]
+    got = {r["page_id"]: r for r in link_trust.judge(frame(spark, rows)).collect()}
+    assert all(got[i]["verdict"] == "block" for i in range(n + 1)) and got[n + 1]["verdict"] == "allow"
+    # the scores solve d = 0.85 W d + 0.15 s over the reversed links
+    hosts = [f"h{i}.net" for i in range(n)] + ["bad.com"]
+    reverse = {i + 1: {i: 1.0} for i in range(n)}
+    reverse[n - 3] = {n - 4: 0.5, n - 1: 0.5}
+    want = [0.0] * n + [1.0]
+    for _ in range(2000):
+        step = [0.0] * n + [1 - link_trust.DAMPING]
+        for f, targets in reverse.items():
+            for t, w in targets.items():
+                step[t] += link_trust.DAMPING * w * want[f]
+        want = step
+    score = {r["host"]: r["distrust"] for r in got.values()}
+    assert all(abs(score[h] - w) < 1e-5 * w for h, w in zip(hosts, want))

@@ -11,7 +11,10 @@ reached the host, else allowed (also when nothing reached it).
 Both walks are one DataFrame iteration: edges (from, to) with a forward and a
 backward weight, joined on the current scores and summed per host.  Links are
 summed per host pair before the first step.  The walk gives no mass back from
-hosts without links.
+hosts without links.  It goes on until, between two lineage cuts (``CUT_EVERY``
+steps), no host is newly reached and no host's trust or distrust changes by more
+than ``TOLERANCE`` of itself, so also hosts far from every seed get their scores;
+the changes summed over all hosts are then below ``TOLERANCE`` of the mass.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path, no
 rule, and is allowed; relative links and links within a host are no edges; null
@@ -29,7 +32,9 @@ from ..session import materialize
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-STEPS, DAMPING, THRESHOLD, CUT_EVERY = 10, 0.85, 0.5, 5
+DAMPING, THRESHOLD, CUT_EVERY, TOLERANCE = 0.85, 0.5, 5, 1e-6
+#: steps of the SQL form only, which cannot test for convergence
+STEPS = 10
 
 
 def _after_scheme(url: Column) -> Column:
@@ -85,7 +90,15 @@ def _edges(links: DataFrame) -> DataFrame:
     return forward.unionByName(backward)
 
 
-def propagate(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def _settled(old: DataFrame, new: DataFrame, tolerance: float) -> bool:
+    """Whether every host of the new state was there with the same scores up to the relative tolerance."""
+    was = old.select(F.col("host").alias("__host"), F.col("trust").alias("__trust"), F.col("distrust").alias("__distrust"))
+    moved = reduce(lambda a, b: a | b, [F.abs(F.col(c) - F.coalesce(f"__{c}", F.lit(0.0))) > tolerance * F.col(c)
+                                        for c in ("trust", "distrust")])
+    return new.join(was, F.col("host") == F.col("__host"), "left").where(moved).isEmpty()
+
+
+def propagate(links: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Scores (host, trust, distrust) from seeds (host, allowed, blocked) over links (src, dst, n)."""
     sums = seeds.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).first()
     a, b = max(sums["a"] or 0, 1), max(sums["b"] or 0, 1)
@@ -95,19 +108,21 @@ def propagate(links: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: f
     back = start.select("host", (F.col("trust") * (1 - damping)).alias("trust"),
                         (F.col("distrust") * (1 - damping)).alias("distrust"))
     state = start
-    for step in range(1, steps + 1):
-        moved = edges.join(state, edges["from"] == state["host"]).select(
-            F.col("to").alias("host"), (F.col("trust") * F.col("w_trust") * damping).alias("trust"),
-            (F.col("distrust") * F.col("w_distrust") * damping).alias("distrust"))
-        state = moved.unionByName(back).groupBy("host").agg(F.sum("trust").alias("trust"),
-                                                            F.sum("distrust").alias("distrust"))
-        if step % CUT_EVERY == 0:
-            state = materialize(state)
-    return state
+    while True:
+        before = state
+        for _ in range(CUT_EVERY):
+            moved = edges.join(state, edges["from"] == state["host"]).select(
+                F.col("to").alias("host"), (F.col("trust") * F.col("w_trust") * damping).alias("trust"),
+                (F.col("distrust") * F.col("w_distrust") * damping).alias("distrust"))
+            state = moved.unionByName(back).groupBy("host").agg(F.sum("trust").alias("trust"),
+                                                                F.sum("distrust").alias("distrust"))
+        state = materialize(state)
+        if _settled(before, state, tolerance):
+            return state
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, threshold: float = THRESHOLD,
-          steps: int = STEPS, damping: float = DAMPING, id_col: str = "page_id", url_col: str = "url",
+          tolerance: float = TOLERANCE, damping: float = DAMPING, id_col: str = "page_id", url_col: str = "url",
           html_col: str = "html") -> DataFrame:
     """id, host, path, rule, verdict, and the host's trust and distrust."""
     urls = pages.select(pages[id_col].alias(id_col), pages[url_col].cast("string").alias("__u"))
@@ -117,7 +132,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, threshold: flo
     seeds = urls.where("host <> ''").groupBy("host").agg(
         F.count(F.when(F.col("ruled") == "allow", 1)).alias("allowed"),
         F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked"))
-    scores = propagate(host_links(pages, url_col, html_col), seeds, steps, damping)
+    scores = propagate(host_links(pages, url_col, html_col), seeds, tolerance, damping)
     bad = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust"))
     return urls.join(scores, "host", "left").select(
         id_col, "host", "path", "rule",
