@@ -50,3 +50,45 @@ def test_scenarios(spark):
     assert {r[0] for r in frame.select("is_holiday").distinct().collect()} == {1.0}
     preds = predict_station_demand(fact, [base], model)
     assert preds.filter(F.col("predicted_demand") < 0).count() == 0
+
+
+CANDIDATES = ["random_forest", "gbt", "gbt_smooth", "gbt_robust", "glm_tweedie"]
+
+
+def test_registered_queries_train_every_candidate_at_full_settings(spark, monkeypatch):
+    from tripcast.operators import models
+    from tripcast.plans import queries_model as Q, training
+
+    asked = []
+    monkeypatch.setattr(training, "model_specs", lambda fast=False: asked.append(fast) or models.model_specs(fast))
+    fitted = []
+
+    class Fitted(Exception):
+        pass
+
+    def fit(train, name, spec, cap, target):
+        fitted.append((name, spec))
+        if len(fitted) == len(CANDIDATES):
+            raise Fitted
+        return name
+
+    monkeypatch.setattr(training, "fit_model", fit)
+    monkeypatch.setattr(training, "_calibrate", lambda *a: {})
+    monkeypatch.setattr(training, "long_predictions", lambda *a: None)
+    monkeypatch.setattr(Q, "clustered_fact", lambda spark, sf: _fact(spark))
+    monkeypatch.setattr(Q, "_TRAINED", {})
+    try:
+        Q.trained(spark, "any")
+    except Fitted:
+        pass
+    assert asked == [False] and [name for name, _ in fitted] == CANDIDATES
+    made = {name: factory() for name, (factory, _) in fitted}
+    assert made["random_forest"].getNumTrees() == 160 and made["gbt"].getMaxIter() == 150
+
+
+def test_tweedie_candidate_fits_and_scores(spark):
+    fact = _fact(spark)
+    cap = prediction_cap(fact)
+    model = fit_model(fact, "glm_tweedie", model_specs()["glm_tweedie"], cap)
+    lo, hi = model.predict(fact).agg(F.min("predicted_demand"), F.max("predicted_demand")).first()
+    assert 0.0 <= lo <= hi <= cap

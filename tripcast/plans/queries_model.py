@@ -34,11 +34,11 @@ def clustered_fact(spark, sf):
 
 
 def trained(spark, sf):
-    """Fast model set trained once per session and input folder."""
+    """All candidates at full settings, trained once per session and input folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         fact = clustered_fact(spark, sf)
-        _TRAINED[key] = (fact, train_models(fact, fast=True, train_rider_models=False))
+        _TRAINED[key] = (fact, train_models(fact, train_rider_models=False))
     return _TRAINED[key]
 
 
@@ -88,7 +88,7 @@ def q_rider_models(spark, sf):
     from .training import rider_specific_models
     fact, res = trained(spark, sf)
     best = res["best_model_name"]
-    return rider_specific_models(prepare_numeric(fact), best, model_specs(fast=True)[best], res["prediction_cap"])[0]
+    return rider_specific_models(prepare_numeric(fact), best, model_specs()[best], res["prediction_cap"])[0]
 
 
 @register("scenario_predictions", None, [], ["P5", "P1", "J9", "M14"])
