@@ -69,3 +69,28 @@ def test_plan_has_no_python(spark):
     out = cf.format_chat(cf.canonical_turns(cf.records_from_rows(df, "conv_id", "turn", "role", "text"), ["conv_id"]))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_items_of_other_fields_are_of_unknown_layout(spark):
+    got = canonical(spark, [
+        {"messages": [{"from": "human", "value": "hi"}]},
+        {"conversations": [{"role": "user", "content": "hi"}]},
+        {"messages": [{"role": "user", "content": "a"}, {"from": "gpt", "value": "b"}]},
+        {"messages": [{"role": "user", "value": "hi"}]},
+    ])
+    assert all(r == (None, []) for r in got.values())
+
+
+def test_known_fields_beside_listed_turns(spark):
+    turns = [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]
+    listed = [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]
+    got = canonical(spark, [
+        {"system": "s", "conversations": turns}, {"prompt": "a", "messages": listed}, {"prompt": "p", "messages": listed},
+        {"system": "s", "prompt": "p", "messages": listed}, {"system": "s", "messages": []},
+        {"answer": "x", "messages": listed},
+    ])
+    own = [("user", "a"), ("assistant", "b")]
+    assert got[0] == ("share", [("system", "s")] + own)
+    assert got[1] == ("messages", own) and got[2] == ("messages", [("user", "p")] + own)
+    assert got[3] == ("messages", [("system", "s"), ("user", "p")] + own)
+    assert got[4] == ("messages", [("system", "s")]) and got[5] == (None, [])

@@ -13,8 +13,14 @@ hold a control string; ``unescape`` reverses it.  Roles are percent-encoded.
 The output keeps the formatted string as ``segments`` with a loss flag each (the
 assistants' texts), whose texts joined give ``formatted``.
 
-Defined cases: null role or text counts as empty; a record of unknown layout has
-a null ``layout`` and no turns; turns of a conversation are ordered by turn (null
+A listed field counts where some item of the record's array holds a value in it,
+and an item with a value in none of the fields is a path of its own (``messages[]{}``),
+so that items of other fields are of unknown layout.  A system text or prompt beside
+listed turns becomes their first turn unless they hold it already.
+
+Defined cases: null role or text counts as empty, but a non-empty list that holds no
+role or no text at all is of unknown layout (in ``turns``, made of table rows, not);
+a record of unknown layout has a null ``layout`` and no turns; turns of a conversation are ordered by turn (null
 first), then role and text, and repeated rows are kept; an empty table gives an
 empty table; columns the mapping does not name are ignored.
 """
@@ -38,8 +44,9 @@ class Mapping:
     """Where a layout keeps its turns.
 
     ``listed`` = (array path, role field, text field), or ``fields`` = pairs of
-    (role, column); ``optional`` names fields that a record may lack, and
-    ``order`` the field by which listed turns are sorted.
+    (role, column), beside listed turns such that may come with them; ``optional``
+    names fields that a record may lack, ``order`` the field by which listed turns are
+    sorted, and ``rows`` says that items are table rows, whose fields may all be null.
     """
     name: str
     listed: tuple[str, str, str] | None = None
@@ -47,25 +54,35 @@ class Mapping:
     optional: tuple[str, ...] = ()
     order: str | None = None
     rename: bool = True
+    rows: bool = False
 
     def path_sets(self) -> list[list[str]]:
         """The nested field paths of records in this layout, with and without the optional ones."""
+        sets = [[c for _, c in self.fields if c not in self.optional]]
         if self.listed:
             array, role, text = self.listed
-            own = [array, f"{array}[].{role}", f"{array}[].{text}"]
-            return [own + ([f"{array}[].{self.order}"] if self.order else [])]
-        need = [c for _, c in self.fields if c not in self.optional]
-        some = [c for _, c in self.fields if c in self.optional]
-        sets = [need]
-        for c in some:
+            items = [f"{array}[].{c}" for c in (role, text, self.order) if c]
+            lists = [[array], [array] + items]
+            if self.rows:
+                lists = [[array]]
+                for path in items + [_bare(array)]:
+                    lists += [s + [path] for s in lists]
+            sets = [s + own for s in sets for own in lists]
+        for c in dict.fromkeys(c for _, c in self.fields if c in self.optional):
             sets += [s + [c] for s in sets]
         return sets
 
 
+def _bare(array: str) -> str:
+    """The path of items that hold a value in no field."""
+    return f"{array}[]{{}}"
+
+
+_BESIDE = {"fields": (("system", "system"), ("user", "prompt")), "optional": ("system", "prompt")}
 MAPPINGS = [
-    Mapping("turns", listed=("turns", "role", "text"), order="turn", rename=False),
-    Mapping("messages", listed=("messages", "role", "content")),
-    Mapping("share", listed=("conversations", "from", "value")),
+    Mapping("turns", listed=("turns", "role", "text"), order="turn", rename=False, rows=True),
+    Mapping("messages", listed=("messages", "role", "content"), **_BESIDE),
+    Mapping("share", listed=("conversations", "from", "value"), **_BESIDE),
     Mapping("prompt", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")),
             optional=("system",)),
     Mapping("prompt_response", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")),
@@ -85,22 +102,33 @@ def fingerprint(paths: list[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
-def _paths(schema: T.StructType, known: set[str]) -> list[tuple[str, str]]:
-    """(top column, nested path) of every field that some mapping knows."""
+def _some_item(items: Column, fields: list[str], held: bool) -> Column:
+    """Whether some item holds a value (or none) in all the fields."""
+    return F.exists(items, lambda x: reduce(lambda a, b: a & b, [x[c].isNotNull() if held else x[c].isNull()
+                                                                 for c in fields]))
+
+
+def _paths(schema: T.StructType, mappings: list[Mapping]) -> list[tuple[str, Column]]:
+    """(nested path, whether it holds a value) of every field that some mapping knows."""
+    known = {p.split("[]")[0] for m in mappings for s in m.path_sets() for p in s}
+    listed = {m.listed[0]: m.listed[1:] for m in mappings if m.listed}
     out = []
     for f in schema.fields:
         if f.name not in known:
             continue
-        out.append((f.name, f.name))
+        own = F.col(f"`{f.name}`")
+        out.append((f.name, own.isNotNull()))
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
-            out += [(f.name, f"{f.name}[].{g.name}") for g in f.dataType.elementType.fields]
-    return sorted(out, key=lambda x: x[1])
+            out += [(f"{f.name}[].{g.name}", _some_item(own, [g.name], held=True)) for g in f.dataType.elementType.fields]
+            main = [c for c in listed.get(f.name, ()) if c in f.dataType.elementType.names]
+            if main:
+                out.append((_bare(f.name), _some_item(own, main, held=False)))
+    return sorted(out, key=lambda x: x[0])
 
 
 def row_fingerprint(df: DataFrame, mappings: list[Mapping]) -> Column:
     """SHA-256 of the sorted nested field paths that hold a value in this row."""
-    known = {p.split("[]")[0] for m in mappings for s in m.path_sets() for p in s}
-    held = [F.when(F.col(f"`{top}`").isNotNull(), F.lit(path)) for top, path in _paths(df.schema, known)]
+    held = [F.when(holds, F.lit(path)) for path, holds in _paths(df.schema, mappings)]
     return F.sha2(F.concat_ws("\n", *held), 256) if held else F.lit(None).cast("string")
 
 
@@ -119,7 +147,12 @@ def _canonical(mapping: Mapping) -> Column:
                 return r
             return reduce(lambda acc, kv: F.when(F.lower(r) == kv[0], kv[1]).otherwise(acc), ROLE_NAMES.items(), r)
 
-        return F.transform(items, lambda x: F.struct(named(x).alias("role"), text(x[body]).alias("text")))
+        turns = F.transform(items, lambda x: F.struct(named(x).alias("role"), text(x[body]).alias("text")))
+        for kind, c in reversed(mapping.fields):
+            lead = F.struct(F.lit(kind).alias("role"), text(F.col(f"`{c}`")).alias("text"))
+            said = F.array_contains(turns, lead)
+            turns = F.when(F.col(f"`{c}`").isNull() | said, turns).otherwise(F.concat(F.array(lead), turns))
+        return turns
     whole = [(r, [c for q, c in mapping.fields if q == r]) for r in dict.fromkeys(r for r, _ in mapping.fields)]
     turns = []
     for role, cols in whole:
@@ -140,7 +173,7 @@ def canonical_turns(records: DataFrame, keep: list[str], mappings: list[Mapping]
             continue
         missing = [c for c in columns if c not in named]
         usable = m if not missing else Mapping(m.name, m.listed, tuple((r, c) for r, c in m.fields if c in named),
-                                               tuple(c for c in m.optional if c in named), m.order, m.rename)
+                                               tuple(c for c in m.optional if c in named), m.order, m.rename, m.rows)
         mine = F.col("__print").isin([fingerprint(s) for s in usable.path_sets()])
         layout = F.when(mine, F.lit(m.name)).otherwise(layout)
         turns = F.when(mine, _canonical(usable).cast(TURNS_TYPE)).otherwise(turns)
