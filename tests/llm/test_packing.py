@@ -96,3 +96,26 @@ def test_repeated_rows_and_empty_table(docs_of, library):
     rows = packing.pack(docs_of([(7, "same text"), (7, "same text"), (None, None)]), PATH).collect()
     assert sorted((r["doc_id"] or 0, r["doc_tokens"]) for r in rows) == [(0, 1), (7, 3), (7, 3)]
     assert packing.pack(docs_of([]), PATH).count() == 0
+
+
+def test_sources_of_one_hash_keep_their_own_targets(spark, docs_of, library):
+    from pyspark.sql import functions as F
+    names = spark.range(3000).select(F.concat(F.lit("site-"), "id").alias("s"))
+    same = names.groupBy(F.pmod(F.xxhash64("s"), F.lit(packing.QUEUES))).agg(F.sort_array(F.collect_list("s")).alias("s"))
+    a, b = same.where(F.size("s") > 1).orderBy("s").first()["s"][:2]
+    texts = {i: "some words of a text " * 30 for i in range(200)}
+    # all of a's documents come first, so that a shared queue would pack them first
+    sources = {i: a if i < 100 else b for i in texts}
+    for targets, share in ((None, 512), ({a: 3, b: 1}, 768)):
+        rows = packing.pack(docs_of(list(texts.items()), sources), PATH, targets=targets).collect()
+        by_seq, _ = check(rows, texts, library)
+        first = by_seq[min(by_seq)]
+        assert abs(sum(r["length"] for r in first if sources[r["doc_id"]] == a) - share) <= 1
+
+
+def test_null_source_is_a_queue_of_its_own(docs_of, library):
+    texts = {i: "some words of a text " * 30 for i in range(100)}
+    sources = {i: None if i % 2 else "a" for i in texts}
+    rows = packing.pack(docs_of(list(texts.items()), sources), PATH).collect()
+    by_seq, _ = check(rows, texts, library)
+    assert abs(sum(r["length"] for r in by_seq[min(by_seq)] if sources[r["doc_id"]] is None) - 512) <= 1

@@ -17,8 +17,9 @@ end together; with other targets an empty queue's share goes to the rest.
 Documents are cut wherever a window ends.  Only a block's last sequence can be
 short: less than one in ``BLOCK_WINDOWS`` sequences has padding.
 
-Sources are dealt to ``QUEUES`` queues by hash, which bounds the vector of totals
-that each task gets; sources that share a queue share its target.
+Each distinct source has a queue and a target of its own, so the vector of totals that
+each task gets has one entry per source.  Queues are ordered by their sources' hash
+(modulo ``QUEUES``), then by name.
 
 Defined cases: a null text has its separator only; a null source is a queue of its
 own; a null id is kept; repeated rows are packed each; an empty table gives an empty
@@ -42,6 +43,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import Numbers, chunks, text_of, written
 
 WINDOW, BLOCK_WINDOWS, QUEUES, SEPARATOR = 1024, 1024, 65_536, 0
+#: what the laid blocks that a task keeps weigh at most, beside the last one
+LAID_BYTES = 256 << 20
 CACHE_CHUNKS = 200_000
 # Fixed value: the split pattern of byte-level BPE tokenizers with this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -260,7 +263,7 @@ class Schedule:
             taken[i] = take
         paid = start + np.vstack([np.zeros((1, len(left)), np.int64), np.cumsum(taken, axis=0)])
         offset = np.cumsum(taken, axis=1) - taken
-        if len(self.laid) > 64:
+        if len(self.laid) > 64 or len(self.laid) * 2 * paid.nbytes > LAID_BYTES:
             self.laid.clear()
         self.laid[block] = paid, offset
         return paid, offset
@@ -291,19 +294,18 @@ class Schedule:
 # Spark
 # ---------------------------------------------------------------------------
 def tokenised(docs: DataFrame, path: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(id, queue, part, before, n, ids): tokens of each document and those of its queue before it in its part."""
-    source = docs[source_col].cast("string")
-    queue = F.when(source.isNull(), F.lit(QUEUES)).otherwise(F.pmod(F.xxhash64(source), F.lit(QUEUES))).cast("int")
-    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"), queue.alias("queue"))
+    """(id, source, part, before, n, ids): tokens of each document and those of its source before it in its part."""
+    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"),
+                       docs[source_col].cast("string").alias("source"))
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seen = encoder(path), TaskContext.get().partitionId(), {}
         for batch in batches:
-            texts, queues = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            texts, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for a, b in chunks(texts, 2_000_000):
                 before, size, blobs = [], [], []
-                for ids, q in zip(enc.encode(texts[a:b]), queues[a:b]):
+                for ids, q in zip(enc.encode(texts[a:b]), sources[a:b]):
                     n = len(ids) + 1
                     before.append(seen.get(q, 0))
                     seen[q] = before[-1] + n
@@ -313,9 +315,9 @@ def tokenised(docs: DataFrame, path: str, id_col: str, text_col: str, source_col
                     [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
                      pa.array(np.full(b - a, part, np.int32)), pa.array(before, pa.int64()),
                      pa.array(size, pa.int64()), pa.array(blobs, pa.binary())],
-                    names=["id", "queue", "part", "before", "n", "ids"])
+                    names=["id", "source", "part", "before", "n", "ids"])
 
-    return rows.mapInArrow(run, f"id {kind}, queue int, part int, before long, n long, ids binary")
+    return rows.mapInArrow(run, f"id {kind}, source string, part int, before long, n long, ids binary")
 
 
 def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, window: int = WINDOW,
@@ -327,33 +329,32 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, wind
     """
     spark = docs.sparkSession
     tokens = written(tokenised(docs, path, id_col, text_col, source_col), "tokens")
-    # per partition and queue: small beside the tokens; written to give Spark its true size for the join
-    per_part = written(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-totals")
-    # at most QUEUES + 1 rows
-    totals = per_part.groupBy("queue").agg(F.sum("n").alias("n")).orderBy("queue").toArrow()
-    queues, sums = totals.column("queue").to_numpy(), totals.column("n").to_numpy()
-    weights = sums.copy()
-    if targets:
-        named = spark.createDataFrame(list(targets.items()), "s string, w long").select(
-            F.pmod(F.xxhash64("s"), F.lit(QUEUES)).cast("int").alias("q"), "w").collect()
-        by_queue = {r["q"]: r["w"] for r in named}
-        weights = np.array([by_queue.get(int(q), int(n)) for q, n in zip(queues, sums)])
-    shared = spark.sparkContext.broadcast((queues, sums, weights))
-    order = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = written(per_part.select("queue", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base")), "queue-bases")
-    rows = tokens.join(base, ["queue", "part"]).select(
-        "id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
+    # per partition and source: small beside the tokens; written to give Spark its true size for the join
+    per_part = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")), "queue-totals")
+    # one row per source, a null source last
+    order = F.when(F.col("source").isNull(), F.lit(QUEUES)).otherwise(F.pmod(F.xxhash64("source"), F.lit(QUEUES)))
+    totals = per_part.groupBy("source").agg(F.sum("n").alias("n")).orderBy(order, "source").toArrow()
+    sources, sums = totals.column("source").to_pylist(), totals.column("n").to_numpy()
+    weights = np.array([(targets or {}).get(s, int(n)) for s, n in zip(sources, sums)], np.int64)
+    shared = spark.sparkContext.broadcast((sources, sums, weights))
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = written(per_part.select(F.col("source").alias("s"), F.col("part").alias("p"),
+                                   F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "queue-bases")
+    rows = tokens.join(base, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select(
+        "id", "source", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schedule = Schedule(*shared.value, window=window)
+        sources, sums, weights = shared.value
+        queue_of = {s: q for q, s in enumerate(sources)}
+        schedule = Schedule(np.arange(len(sources)), sums, weights, window=window)
         for batch in batches:
-            queue, at, n, blobs = (batch.column(i).to_pylist() for i in range(1, 5))
+            source, at, n, blobs = (batch.column(i).to_pylist() for i in range(1, 5))
             out, counts, crcs = [np.zeros((0, 4), np.int64)], [], []
             for i in range(len(n)):
                 blob = blobs[i]
                 ids = np.frombuffer(blob, "<u2" if len(blob) == 2 * n[i] else "<u4").astype("<u4").tobytes()
-                own = schedule.pieces(queue[i], at[i], n[i])
+                own = schedule.pieces(queue_of[source[i]], at[i], n[i])
                 out.append(own)
                 counts.append(len(own))
                 crcs += [zlib.crc32(ids[4 * a:4 * b]) for a, b in zip(own[:, 0].tolist(), (own[:, 0] + own[:, 1]).tolist())]
