@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, fingerprints, licenses, link_trust, ngram_join, packing, sentencepiece_bpe, sharding, toxicity
+from . import (chat_format, exact_dedup, fingerprints, hash_search, licenses, link_trust, lloyd_codes, ngram_join, packing,
+               sentencepiece_bpe, sharding, toxicity, tree_search)
 from .common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +183,79 @@ def op10(spark, sf_dir):
     out = sharding.byte_shards(table(spark, sf_dir, "documents"), shards=40)
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+# ---------------------------------------------------------------------------
+@query("op11_hash_search")
+def op11(spark, sf_dir):
+    return hash_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+# ---------------------------------------------------------------------------
+def _lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The same rounds, each two CTEs: nearest entries, then whole-number means."""
+    distance = "list_sum([(q[1] - q[2]) * (q[1] - q[2]) for q in list_zip(m.v, b.c)])"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT m.vec_id, m.p, any_value(m.v) AS v, min({{'d': CAST({distance} AS BIGINT), 'e': b.e}}) AS near
+  FROM members m JOIN b{i} b ON m.p = b.p GROUP BY m.vec_id, m.p)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+  SELECT p, near.e AS e, i, sum(v[i]) AS s, count(*) AS n
+  FROM a{i}, range(1, 4097) t(i) WHERE i <= len(v) GROUP BY ALL),
+m{i} AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{i} GROUP BY p, e),
+b{i + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{i} b LEFT JOIN m{i} m ON b.p = m.p AND b.e = m.e)""")
+    last = f"a{rounds}"
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, [CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+members AS (
+  SELECT vec_id, p, x[len(x) * p // {parts} + 1 : len(x) * (p + 1) // {parts}] AS v FROM kept, range({parts}) t(p)),
+b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v AS c FROM members
+  QUALIFY e < {entries}),
+{', '.join(steps)},
+coded AS (
+  SELECT a.vec_id, string_agg(format('{{:02x}}', a.near.e), '' ORDER BY a.p) AS code,
+    CAST(sum(a.near.d) AS BIGINT) AS error FROM {last} a GROUP BY a.vec_id),
+flat AS (SELECT string_agg(array_to_string(c, ','), ',' ORDER BY p, e) AS t FROM b{rounds})
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+  sha256(flat.t) AS codebooks_sha256
+FROM coded c JOIN kept k ON c.vec_id = k.vec_id, flat"""
+
+
+@query("op12_lloyd_codes", _lloyd_sql())
+def op12(spark, sf_dir):
+    return lloyd_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+# ---------------------------------------------------------------------------
+_TERMS_SQL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@query("op13_tree_search", f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS_SQL} AS terms FROM documents),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0),
+counts AS (
+  SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM docs)
+  GROUP BY r, doc_id, n, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, n_docs),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark),
+scored AS (
+  SELECT a.item_id, c.r, c.doc_id, CAST(sum(w.w * ((1000000000 * c.tf)
+    // (1000 * c.tf + 20 * (100 - 50 + ((50 * c.n * t.n_docs) // t.n_terms))))) AS BIGINT) AS score
+  FROM asked a JOIN counts c ON a.term = c.term JOIN weights w ON a.term = w.term, totals t
+  GROUP BY a.item_id, c.r, c.doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""")
+def op13(spark, sf_dir):
+    return tree_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
