@@ -1,5 +1,6 @@
 """Model invariants: predictions inside [0, cap], monotone isotonic, save/load, scenarios."""
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -52,43 +53,46 @@ def test_scenarios(spark):
     assert preds.filter(F.col("predicted_demand") < 0).count() == 0
 
 
-CANDIDATES = ["random_forest", "gbt", "gbt_smooth", "gbt_robust", "glm_tweedie"]
+CANDIDATES = ["random_forest", "gbt", "gbt_smooth", "gbt_robust", "gbt_tweedie"]
 
 
-def test_registered_queries_train_every_candidate_at_full_settings(spark, monkeypatch):
-    from tripcast.operators import models
-    from tripcast.plans import queries_model as Q, training
-
-    asked = []
-    monkeypatch.setattr(training, "model_specs", lambda fast=False: asked.append(fast) or models.model_specs(fast))
-    fitted = []
+def test_candidates_at_full_settings():
+    full = model_specs()
+    assert list(full) == CANDIDATES
+    assert full["random_forest"].trees == 160 and full["random_forest"].regressor().getNumTrees() == 160
+    assert {n: s.loss for n, s in full.items() if n != "random_forest"} == {
+        "gbt": "squared", "gbt_smooth": "squared", "gbt_robust": "pseudo_huber", "gbt_tweedie": "tweedie"}
+    assert {n: round(s.rounds * s.eta, 6) for n, s in full.items() if n in CANDIDATES[1:4]} == {
+        "gbt": 16.0, "gbt_smooth": 16.8, "gbt_robust": 18.0}
+    assert not full["gbt_tweedie"].log_target and full["gbt"].log_target
 
-    class Fitted(Exception):
-        pass
 
-    def fit(train, name, spec, cap, target):
-        fitted.append((name, spec))
-        if len(fitted) == len(CANDIDATES):
-            raise Fitted
-        return name
+def test_registered_queries_train_every_candidate_once(spark, monkeypatch):
+    from tripcast.plans import queries_model as Q, training
 
-    monkeypatch.setattr(training, "fit_model", fit)
-    monkeypatch.setattr(training, "_calibrate", lambda *a: {})
-    monkeypatch.setattr(training, "long_predictions", lambda *a: None)
+    asked = []
+    few = {n: (replace(s, rounds=3) if n != "random_forest" else replace(s, trees=3, depth=3))
+           for n, s in model_specs().items()}
+    monkeypatch.setattr(training, "model_specs", lambda fast=False: asked.append(fast) or few)
     monkeypatch.setattr(Q, "clustered_fact", lambda spark, sf: _fact(spark))
-    monkeypatch.setattr(Q, "_TRAINED", {})
-    try:
-        Q.trained(spark, "any")
-    except Fitted:
-        pass
-    assert asked == [False] and [name for name, _ in fitted] == CANDIDATES
-    made = {name: factory() for name, (factory, _) in fitted}
-    assert made["random_forest"].getNumTrees() == 160 and made["gbt"].getMaxIter() == 150
-
-
-def test_tweedie_candidate_fits_and_scores(spark):
+    cap = Q.Trained(spark, "any").table("about").first()["prediction_cap"]
+    ranking = Q.Trained(spark, "any").table("ranking")
+    assert asked == [False]  # saved, then read
+    assert {r["model"] for r in ranking.collect()} == set(CANDIDATES)
+    preds = Q.Trained(spark, "any").table("predictions")
+    lo, hi = preds.agg(F.min("pred"), F.max("pred")).first()
+    assert 0.0 <= lo <= hi <= cap and preds.select("model").distinct().count() == 5
+    riders = Q.Trained(spark, "any", riders=True).table("riders").collect()
+    assert asked == [False, False] and {r["rider_type"] for r in riders} == {"member", "casual"}
+    for r in riders:
+        assert r["trained"] == (r["n_rows"] >= 1000) and (r["MAE"] is not None) == r["trained"]
+
+
+def test_tweedie_candidate_scores_on_the_demand_scale(spark):
     fact = _fact(spark)
     cap = prediction_cap(fact)
-    model = fit_model(fact, "glm_tweedie", model_specs()["glm_tweedie"], cap)
-    lo, hi = model.predict(fact).agg(F.min("predicted_demand"), F.max("predicted_demand")).first()
+    model = fit_model(fact, "gbt_tweedie", replace(model_specs()["gbt_tweedie"], rounds=10), cap)
+    lo, mean, hi = model.predict(fact).agg(F.min("predicted_demand"), F.avg("predicted_demand"),
+                                           F.max("predicted_demand")).first()
     assert 0.0 <= lo <= hi <= cap
+    assert abs(mean - fact.agg(F.avg("demand")).first()[0]) < 0.2 * mean

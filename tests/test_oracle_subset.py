@@ -3,7 +3,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from data_folders import SF_SMALL
 
 NAMES = ["clean_trips", "station_hour_demand", "station_hour_lags", "station_hotspots", "flow_summary",
          "regression_metrics", "temporal_split", "scenario_feature_frame"]

@@ -53,10 +53,39 @@ def test_blend_and_calibration_fallbacks(spark):
     assert 0.0 <= w["blend_weight"] <= 1.0
     lines = EV.linear_calibration(pred).first()  # constant prediction: minimum-norm solution
     assert abs(lines["slope"] * 1.0 + lines["intercept"] - 4.5) < 1e-9
-    choice = EV.optimize_prediction_calibration(pred, ["m"]).first()
+    choice = EV.optimize_prediction_calibration(pred).first()
     assert choice["method"] in ("none", "linear") and choice["isotonic_score"] is None
 
 
+def test_blend_curve_equals_all_weights_row_by_row(spark):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    y = rng.poisson(3, 300).astype(float)
+    pred, profile = y + rng.normal(size=300) * 2 - 1, rng.normal(2, 3, 300)  # some below 0
+    pred[:20] = profile[:20]
+    rows = [("m", *map(float, r)) for r in zip(y, pred, profile)]
+    df = spark.createDataFrame(rows, "model string, y double, pred double, profile double")
+    for r in EV.blend_curve(df, ["model"]).collect():
+        w = r["blend_weight"]
+        b = np.maximum(w * pred + (1 - w) * profile, 0)
+        assert abs(r["MAE"] - np.abs(y - b).mean()) < 1e-9
+        assert abs(r["R2"] - (1 - ((y - b) ** 2).sum() / ((y - y.mean()) ** 2).sum())) < 1e-9
+    same = df.withColumn("profile", F.col("pred")).where("pred >= 0")
+    assert EV.optimize_blend_weight(same).first()["blend_weight"] == 1.0  # nothing beats the prediction itself
+
+
+def test_residual_choice_takes_the_first_set_that_helps(spark):
+    # residuals depend on the hour alone: a = hour explains them, b is constant
+    rows = [("m", float(h % 2) * 4 + 1, 2.0, h, 0) for h in range(24) for _ in range(30)]
+    rows += [("fine", 2.0, 2.0, h, 0) for h in range(24) for _ in range(30)]
+    df = spark.createDataFrame(rows, "model string, y double, pred double, a int, b int")
+    trials = EV.residual_trials(df, [["b"], ["a"], ["a", "b"]], 50.0, 20, 0.35)
+    got = {r["model"]: r["key_set"] for r in EV.choose_residual_keys(trials).collect()}
+    assert got == {"m": 1, "fine": -1}
+    none = EV.choose_residual_keys(EV.residual_trials(df, [["a"]], 50.0, 1000, 0.35)).collect()
+    assert {r["key_set"] for r in none} == {-1}
+
+
 def test_hotspot_zero_predicted(spark):
     rows = [("m", float(y), 0.0) for y in range(20)]
     out = EV.hotspot_classification(spark.createDataFrame(rows, "model string, y double, pred double")).first()

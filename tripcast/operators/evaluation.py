@@ -2,9 +2,9 @@
 
 The long table has one row per (model, scored row): ``model``, ``y`` (actual),
 ``pred`` and, where blending is used, ``profile`` (historical profile demand).
-Every metric is one grouped aggregation; searches over candidate settings
-(41 blend weights) explode each row into candidates and aggregate per
-candidate, which stays map-side until the tiny per-candidate result.
+Every metric is one grouped aggregation.  The 41 blend weights are scored from one
+aggregate of the rows by the weights at which their error changes its form; all models
+and residual key sets are scored together.
 """
 from __future__ import annotations
 
@@ -56,6 +56,7 @@ def regression_metrics(pred: DataFrame, group: list[str] | None = None, y: str =
 
 
 def _score(weights: dict[str, float]) -> Column:
+    """Weighted sum of the metrics named; R2 counts by what it lacks to 1."""
     parts = {
         "MAE": F.col("MAE"),
         "RMSE": F.col("RMSE"),
@@ -73,6 +74,11 @@ def blend_score() -> Column:
     return _score(BLEND_SCORE_WEIGHTS)
 
 
+#: share of a score that the order of floating sums may account for
+ROUNDING = 1e-12
+SCORE_DIGITS = 12
+
+
 def calibration_score() -> Column:
     return _score(CALIBRATION_SCORE_WEIGHTS)
 
@@ -84,28 +90,63 @@ def _fill_profile(pred: DataFrame, group: list[str]) -> DataFrame:
             .withColumn("profile", F.coalesce(F.col("profile"), F.col("_mean_y"))).drop("_mean_y"))
 
 
+def _blend_sums(data: DataFrame, group: list[str]) -> DataFrame:
+    """Sums of rows whose blend w * pred + (1 - w) * profile passes the actual, and 0, at the same weights.
+
+    A row's blend is a straight line in w, so its error is one of three terms on each side of
+    two breakpoints.  Rows with the same breakpoints (as places among the weights) are added
+    up: at most 2 * 42 * 42 rows per group, whatever the input.
+    """
+    steps = BLEND_WEIGHT_STEPS - 1
+    y, q = F.col("y"), F.col("profile")
+    d = F.col("pred") - q
+
+    def passed(level: Column) -> Column:  # the first weight at which the line has reached the level
+        flat = F.when(q >= level, F.lit(0)).otherwise(F.lit(steps + 1))
+        place = F.ceil(F.least(F.greatest((level - q) / d * steps, F.lit(0.0)), F.lit(steps + 1.0)))
+        return F.when(d == 0, flat).otherwise(place).cast("int")
+
+    off = y - q
+    return data.groupBy(*group, (d >= 0).alias("_rising"), passed(y).alias("_at_y"), passed(F.lit(0.0)).alias("_at_0")).agg(
+        F.sum(F.abs(y)).alias("_abs_y"), F.sum(y * y).alias("_y2"), F.sum(off).alias("_s1"), F.sum(d).alias("_d1"),
+        F.sum(off * off).alias("_s2"), F.sum(off * d).alias("_sd"), F.sum(d * d).alias("_d2"))
+
+
+def blend_curve(data: DataFrame, group: list[str]) -> DataFrame:
+    """MAE, R2, WAPE of every blend weight from one aggregate over the rows."""
+    every = F.posexplode(F.array(*[F.lit(w) for w in blend_weights()])).alias("_i", "blend_weight")
+    sums = _blend_sums(data, group).select("*", every)
+    i, w, rising = F.col("_i"), F.col("blend_weight"), F.col("_rising")
+    clipped = F.when(rising, i < F.col("_at_0")).otherwise(i >= F.col("_at_0"))
+    above = F.when(rising, i >= F.col("_at_y")).otherwise(i < F.col("_at_y"))
+    short = F.col("_s1") - w * F.col("_d1")
+    errors = sums.groupBy(*group, "blend_weight").agg(
+        F.sum(F.when(clipped, F.col("_abs_y")).when(above, -short).otherwise(short)).alias("_abs_err"),
+        F.sum(F.when(clipped, F.col("_y2")).otherwise(
+            F.col("_s2") - 2 * w * F.col("_sd") + w * w * F.col("_d2"))).alias("_sq_err"))
+    totals = data.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.abs("y")).alias("_abs_y"),
+                                      F.var_pop("y").alias("_var_y"))
+    cols = _metric_cols()
+    return errors.join(F.broadcast(totals), group).select(  # one row per group
+        *group, "blend_weight", *[cols[m].alias(m) for m in ("MAE", "R2", "WAPE")])
+
+
 def optimize_blend_weight(pred: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Per model, the blend weight w in 0..1 (41 steps) minimising the blend score of
-    clip(w*pred + (1-w)*profile, 0).  A weight is taken only if it strictly beats the
-    unblended prediction; ties go to the lowest weight.  Null profile -> mean actual."""
+    clip(w*pred + (1-w)*profile, 0).  A weight is taken only if it beats the unblended
+    prediction by more than rounding; ties go to the lowest weight.  Null profile -> mean actual."""
     group = group or ["model"]
     data = _fill_profile(pred, group)
     base = regression_metrics(data, group).select(*group, blend_score().alias("base_score"))
-    weights = F.array(*[F.lit(w) for w in blend_weights()])
-    cand = data.select(*group, "y", "pred", "profile", F.explode(weights).alias("blend_weight"))
-    blended = F.greatest(F.col("blend_weight") * F.col("pred") + (1 - F.col("blend_weight")) * F.col("profile"),
-                         F.lit(0.0))
-    scored = (cand.withColumn("blended", blended)
-              .groupBy(*group, "blend_weight").agg(*_metric_aggs(F.col("y"), F.col("blended")))
-              .select(*group, "blend_weight", *[c.alias(n) for n, c in _metric_cols().items()])
-              .withColumn("score", blend_score()))
-    best = scored.groupBy(*group).agg(F.min(F.struct("score", "blend_weight")).alias("_best"))
+    scored = blend_curve(data, group).withColumn("score", blend_score())
+    least = scored.groupBy(*group).agg(F.min("score").alias("_least"))
+    near = F.col("score") <= F.col("_least") + ROUNDING * F.abs("_least")
+    best = scored.join(F.broadcast(least), group).where(near).groupBy(*group).agg(
+        F.min("blend_weight").alias("_weight"), F.min("_least").alias("_least"))
+    better = F.col("_least") < F.col("base_score") - ROUNDING * F.abs("base_score")
     return (best.join(base, group)
-            .select(*group,
-                    F.when(F.col("_best.score") < F.col("base_score"), F.col("_best.blend_weight"))
-                    .otherwise(F.lit(1.0)).alias("blend_weight"),
-                    F.least(F.col("_best.score"), F.col("base_score")).alias("blend_score"),
-                    "base_score"))
+            .select(*group, F.when(better, F.col("_weight")).otherwise(F.lit(1.0)).alias("blend_weight"),
+                    F.least("_least", "base_score").alias("blend_score"), "base_score"))
 
 
 def apply_blend(pred: DataFrame, weights: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -137,53 +178,26 @@ def linear_calibration(pred: DataFrame, group: list[str] | None = None) -> DataF
     )
 
 
-ISOTONIC_STEP = 0.01  # trips
-
-
-def isotonic_calibration(pred: DataFrame, model_name: str, step: float = ISOTONIC_STEP):
-    """Isotonic fit of y on pred for one model, on predictions rounded to ``step``.
-
-    Predictions lie in [0, cap], so the pooled fit, which MLlib finishes on the driver,
-    sees at most cap / step + 1 weighted points, however many rows there are.
-    """
-    from pyspark.ml.regression import IsotonicRegression
-
-    own = pred.filter(F.col("model") == model_name).withColumn("pred", F.round(F.col("pred") / step) * step)
-    points = (own.groupBy("pred")
-              .agg(F.avg("y").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
-    return IsotonicRegression(featuresCol="pred", labelCol="label", weightCol="weight",
-                              predictionCol="iso_pred").fit(points)
-
-
-def optimize_prediction_calibration(pred: DataFrame, models: list[str] | None = None) -> DataFrame:
+def optimize_prediction_calibration(pred: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
     """Choose none / linear / isotonic per model by calibration score, each only on a
-    strict improvement, in that order.  Linear output is floored at 0; isotonic needs
-    at least two distinct predictions.  Returns one row per model."""
+    strict improvement, in that order.  Linear output is floored at 0; isotonic needs at
+    least two distinct predictions, and its score comes from the fit's own values.  All
+    models are fitted and scored together; returns one row per model.  ``blocks`` may give
+    the isotonic fits (``isotonic_blocks``)."""
+    from .isotonic import interpolate, isotonic_blocks
+
+    blocks = isotonic_blocks(pred) if blocks is None else blocks
     lines = linear_calibration(pred)
     base = regression_metrics(pred).select("model", calibration_score().alias("none_score"))
     lin_pred = (pred.join(F.broadcast(lines), "model")  # one row per model
                 .withColumn("pred", F.greatest(F.col("slope") * F.col("pred") + F.col("intercept"), F.lit(0.0))))
     lin = regression_metrics(lin_pred).select("model", calibration_score().alias("linear_score"))
-    out = base.join(lin, "model").join(lines, "model")
-    distinct = pred.groupBy("model").agg(F.countDistinct("pred").alias("_distinct"))
-    out = out.join(distinct, "model")
-    iso_scores = []
-    names = models or [r["model"] for r in pred.select("model").distinct().collect()]  # model names only
-    for name in names:
-        n_distinct = out.filter(F.col("model") == name).select("_distinct").first()
-        if n_distinct is None or n_distinct[0] < 2:
-            continue
-        iso = isotonic_calibration(pred, name)
-        scored = iso.transform(pred.filter(F.col("model") == name)).withColumn(
-            "pred", F.greatest(F.col("iso_pred"), F.lit(0.0)))
-        iso_scores.append(regression_metrics(scored).select("model", calibration_score().alias("isotonic_score")))
-    if iso_scores:
-        iso_df = iso_scores[0]
-        for extra in iso_scores[1:]:
-            iso_df = iso_df.unionByName(extra)
-        out = out.join(iso_df, "model", "left")
-    else:
-        out = out.withColumn("isotonic_score", F.lit(None).cast("double"))
+    iso_pred = (interpolate(pred.select("model", "y", "pred"), blocks)
+                .withColumn("pred", F.greatest(F.col("fitted"), F.lit(0.0))))
+    iso = regression_metrics(iso_pred).select("model", calibration_score().alias("_iso"))
+    several = pred.groupBy("model").agg((F.min("pred") < F.max("pred")).alias("_several"))
+    out = base.join(lin, "model").join(lines, "model").join(iso, "model", "left").join(several, "model")
+    out = out.withColumn("isotonic_score", F.when(F.col("_several"), F.col("_iso")))
     after_linear = F.when(F.col("linear_score") < F.col("none_score"), F.col("linear_score")).otherwise(F.col("none_score"))
     method = (F.when(F.col("isotonic_score").isNotNull() & (F.col("isotonic_score") < after_linear), F.lit("isotonic"))
               .when(F.col("linear_score") < F.col("none_score"), F.lit("linear"))
@@ -195,6 +209,59 @@ def optimize_prediction_calibration(pred: DataFrame, models: list[str] | None =
         "none_score", "linear_score", "isotonic_score")
 
 
+# ---------------------------------------------------------------------------
+# residual correction
+# ---------------------------------------------------------------------------
+def _by_key_set(scored: DataFrame, key_sets: list[list[str]], *columns: str) -> DataFrame:
+    """Each row once per key set, with the values of the set's keys as one text (null-safe)."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
+    sets = [F.struct(F.lit(i).alias("key_set"), F.concat_ws("\u0001", *[text(c) for c in keys]).alias("key"))
+            for i, keys in enumerate(key_sets)]
+    return scored.select("model", *columns, F.explode(F.array(*sets)).alias("_k")).select(
+        "model", *columns, "_k.key_set", "_k.key")
+
+
+def residual_trials(scored: DataFrame, key_sets: list[list[str]], cap: float, min_rows: int, shrinkage: float) -> DataFrame:
+    """Every model's metrics before (key_set -1) and after each key set's correction.
+
+    ``scored`` has model, y, pred and the key columns.  A segment with at least ``min_rows``
+    rows is corrected by its median residual, shrunk by n / (n + min_rows); other rows by the
+    model's median residual.  All models and key sets go through the same jobs.
+    """
+    from .stats import exact_median, value_count_median
+
+    scored = scored.withColumn("residual", F.col("y") - F.col("pred"))
+    rows = _by_key_set(scored, key_sets, "y", "pred", "residual")
+    keys = ["model", "key_set", "key"]
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
+    medians = value_count_median(rows.join(sizes.select(*keys), keys, "left_semi"), keys, "residual", "_med")
+    table = sizes.join(medians, keys).select(
+        *keys, (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
+    bias = F.broadcast(exact_median(scored, ["model"], "residual", "_bias"))  # one row per model
+    used = F.broadcast(sizes.select("model", "key_set").distinct())  # a set without segments is no candidate
+    clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(cap))
+    adjusted = (rows.join(used, ["model", "key_set"]).join(table, keys, "left").join(bias, "model")
+                .withColumn("pred", clip(F.col("pred") + shrinkage * F.coalesce("_correction", "_bias"))))
+    before = scored.withColumn("key_set", F.lit(-1)).select("model", "key_set", "y", "pred")
+    both = before.unionByName(adjusted.select("model", "key_set", "y", "pred"))
+    return regression_metrics(both, ["model", "key_set"]).withColumn("score", calibration_score())
+
+
+def choose_residual_keys(trials: DataFrame) -> DataFrame:
+    """Per model the key set (-1: none) with the best score among those that do not worsen
+    MAE, WAPE or R2 and improve the score; of equal ones the first.  ``trials`` has a few rows
+    per model."""
+    base = trials.where("key_set = -1").select("model", *[F.col(c).alias(f"_{c}") for c in ("MAE", "WAPE", "R2", "score")])
+    kept = (F.col("MAE") <= F.col("_MAE")) & (F.col("WAPE") <= F.col("_WAPE")) & (F.col("R2") >= F.col("_R2")) & (
+        F.col("score") < F.col("_score"))
+    score = F.round("score", SCORE_DIGITS)
+    both = trials.where("key_set >= 0").join(base, "model", "right")
+    best = both.groupBy("model", F.col("_score").alias("base_score")).agg(
+        F.min(F.when(kept, F.struct(score.alias("near"), "key_set", "score"))).alias("_best"))
+    return best.select("model", F.coalesce("_best.key_set", F.lit(-1)).alias("key_set"), "base_score",
+                       F.coalesce("_best.score", "base_score").alias("score"))
+
+
 def build_model_selection_table(metrics: DataFrame) -> DataFrame:
     """Competition ranks of each metric and the weighted combined rank score.
 

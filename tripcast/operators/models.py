@@ -1,24 +1,29 @@
-"""Demand models with MLlib.
+"""Demand models.
 
-A fitted ``DemandModel`` is an MLlib ``PipelineModel`` (category indexing +
-vector assembly + regressor) plus small scoring parameters: target transform,
-prediction cap, blend weight, calibration (linear line or isotonic model) and
-an optional residual-correction table.  Scoring is one ``transform`` followed by
+A fitted ``DemandModel`` is a category encoder, a regressor (an MLlib forest or the
+boosted trees of ``boosting``) and small scoring parameters: target transform,
+prediction cap, blend weight, calibration (linear line or isotonic fit) and an
+optional residual-correction table.  Scoring is one pass of the regressor followed by
 column expressions, so it runs wherever the rows are.
 """
 from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import (CATEGORICAL_FEATURES, NUMERIC_FEATURES, PREDICTION_CAP_FACTOR, PREDICTION_CAP_QUANTILE,
-                         RESIDUAL_KEY_SETS, RESIDUAL_MIN_SEGMENT_ROWS, RESIDUAL_SHRINKAGE)
-from . import evaluation as EV
+                         RESIDUAL_MIN_SEGMENT_ROWS, RESIDUAL_SHRINKAGE)
+from . import boosting
+from .boosting import BoostedTrees, BoostSpec
+from .isotonic import IsotonicFit
+from ..session import ship_package
 
 
 # ---------------------------------------------------------------------------
@@ -58,32 +63,42 @@ def add_codes(df: DataFrame, cats: list[str], labels: dict[str, list[str]]) -> D
 # ---------------------------------------------------------------------------
 # model specifications (M6, M7, M8)
 # ---------------------------------------------------------------------------
+@dataclass(frozen=True)
+class ForestSpec:
+    """A random forest of MLlib on log1p(demand)."""
+    name: str
+    trees: int
+    subset: str
+    depth: int
+    bins: int
+    log_target: bool = True
+
+    def regressor(self):
+        from pyspark.ml.regression import RandomForestRegressor
+        return RandomForestRegressor(numTrees=self.trees, minInstancesPerNode=3, featureSubsetStrategy=self.subset,
+                                     maxDepth=self.depth, maxBins=self.bins, seed=42)
+
+
 def model_specs(fast: bool = False) -> dict:
-    """Candidate regressors: name -> (factory, log target?)."""
-    from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
-
-    # fast: shallower trees and fewer rounds (MLlib grows trees level by level;
-    # each level is one distributed histogram pass, so depth drives the cost)
-    rf_trees, rf_subset, rf_depth, rf_bins = (80, "0.85", 10, 32) if fast else (160, "0.75", 12, 64)
-    gbt_iter, gbt_depth = (40, 5) if fast else (150, 6)
-    specs = {
-        "random_forest": (lambda: RandomForestRegressor(numTrees=rf_trees, minInstancesPerNode=3,
-                                                        featureSubsetStrategy=rf_subset, maxDepth=rf_depth,
-                                                        maxBins=rf_bins, seed=42), True),
-        "gbt": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=gbt_depth, stepSize=0.1, subsamplingRate=0.94,
-                                     featureSubsetStrategy="0.92", maxBins=64, seed=42), True),
-        "gbt_smooth": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=4, stepSize=0.1, subsamplingRate=0.9,
-                                            featureSubsetStrategy="0.88", minInstancesPerNode=4,
-                                            minInfoGain=1e-4, maxBins=64, seed=42), True),
-        "gbt_robust": (lambda: GBTRegressor(maxIter=gbt_iter, maxDepth=5, stepSize=0.1, subsamplingRate=0.92,
-                                            featureSubsetStrategy="0.9", lossType="absolute",
-                                            minInstancesPerNode=2, maxBins=64, seed=42), True),
-        "glm_tweedie": (lambda: GeneralizedLinearRegression(family="tweedie", variancePower=1.5, linkPower=0.0,
-                                                            maxIter=50, regParam=1e-3), False),
-    }
+    """Candidates by name.  FIXED VALUES: the settings of the three boosted variants, but for
+    fewer rounds at a step that keeps rounds * step (16, 16.8 and 18)."""
     if fast:
-        return {k: specs[k] for k in ("random_forest", "gbt")}
-    return specs
+        return {"random_forest": ForestSpec("random_forest", 80, "0.85", 10, 32),
+                "gbt": BoostSpec("gbt", rounds=40, depth=5, eta=0.25, subsample=0.9, colsample=0.9,
+                                 min_child_weight=2, reg_lambda=1.5)}
+    specs = [
+        ForestSpec("random_forest", 160, "0.75", 12, 64),
+        BoostSpec("gbt", rounds=64, depth=6, eta=0.25, subsample=0.94, colsample=0.92, min_child_weight=1,
+                  gamma=0.015, reg_lambda=1.8, reg_alpha=0.01),
+        BoostSpec("gbt_smooth", rounds=64, depth=4, eta=0.2625, subsample=0.9, colsample=0.88, min_child_weight=4,
+                  gamma=0.08, reg_lambda=3.2, reg_alpha=0.12),
+        BoostSpec("gbt_robust", loss="pseudo_huber", rounds=64, depth=5, eta=0.28125, subsample=0.92, colsample=0.9,
+                  min_child_weight=2, gamma=0.04, reg_lambda=2.6, reg_alpha=0.06),
+        # the raw demand with the tweedie loss's own log link; settings of our own
+        BoostSpec("gbt_tweedie", loss="tweedie", rounds=64, depth=6, eta=0.25, subsample=0.94, colsample=0.92,
+                  gamma=0.015, reg_lambda=1.8, reg_alpha=0.01),
+    ]
+    return {s.name: s for s in specs}
 
 
 # ---------------------------------------------------------------------------
@@ -102,23 +117,21 @@ class DemandModel:
     calibration: str = "none"
     slope: float = 1.0
     intercept: float = 0.0
-    isotonic: object | None = None
+    isotonic: IsotonicFit | None = None
     residual_keys: list[str] = field(default_factory=list)
     residual_table: DataFrame | None = None
     residual_bias: float = 0.0
 
     # M12 + M14: one scoring chain that always ends on the demand scale (Q12)
     def raw(self, df: DataFrame) -> DataFrame:
-        data = add_codes(self.pipeline.transform(prepare_numeric(df)), self.cats, self.labels)
-        assembled = self._assembler().transform(data)
-        return self._regressor().transform(assembled)
+        return self.regress(add_codes(self.pipeline.transform(prepare_numeric(df)), self.cats, self.labels))
 
-    def _assembler(self):
-        return VectorAssembler(inputCols=[f"{c}__code" for c in self.cats] + self.nums, outputCol="features",
-                               handleInvalid="keep")
-
-    def _regressor(self):
-        return self.regressor_model
+    def regress(self, coded: DataFrame) -> DataFrame:
+        """The regressor's output in ``prediction``, from rows that have their category codes."""
+        if isinstance(self.regressor_model, BoostedTrees):
+            ship_package(coded.sparkSession)
+            return coded.withColumn("prediction", self.regressor_model.score())
+        return self.regressor_model.transform(assembled(coded, self.cats, self.nums))
 
     regressor_model: object = None
 
@@ -130,10 +143,7 @@ class DemandModel:
         materialise this once and call ``finish`` repeatedly.
         """
         scored = self.raw(df)
-        p = F.col("prediction")
-        if self.log_target:
-            p = F.expm1(p)
-        scored = scored.withColumn("_raw", F.least(F.greatest(p, F.lit(0.0)), F.lit(self.prediction_cap)))
+        scored = scored.withColumn("_raw", on_demand_scale(F.col("prediction"), self.log_target, self.prediction_cap))
         drop = [c for c in scored.columns if c.endswith("__idx") or c.endswith("__code")] + ["features", "prediction"]
         return scored.drop(*[c for c in drop if c in scored.columns])
 
@@ -144,8 +154,7 @@ class DemandModel:
             p = F.lit(self.blend_weight) * p + F.lit(1 - self.blend_weight) * F.col("historical_profile_demand")
         scored = scored.withColumn("_p", p)
         if self.calibration == "isotonic" and self.isotonic is not None:
-            scored = self.isotonic.setFeaturesCol("_p").setPredictionCol("_iso").transform(scored) \
-                .withColumn("_p", F.col("_iso")).drop("_iso")
+            scored = scored.withColumn("_p", self.isotonic.column(F.col("_p")))
         elif self.calibration == "linear":
             scored = scored.withColumn("_p", F.lit(self.slope) * F.col("_p") + F.lit(self.intercept))
         scored = scored.withColumn("_p", F.least(F.greatest(F.col("_p"), F.lit(0.0)), F.lit(self.prediction_cap)))
@@ -169,29 +178,35 @@ class DemandModel:
     # S17
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(os.path.join(path, "encoder"))
-        self.regressor_model.write().overwrite().save(os.path.join(path, "regressor"))
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+        if isinstance(self.regressor_model, BoostedTrees):
+            self.regressor_model.save(spark, os.path.join(path, "regressor"))
+        else:
+            self.regressor_model.write().overwrite().save(os.path.join(path, "regressor"))
         if self.isotonic is not None:
-            self.isotonic.write().overwrite().save(os.path.join(path, "isotonic"))
+            self.isotonic.save(spark, os.path.join(path, "isotonic"))
         if self.residual_table is not None:
             self.residual_table.write.mode("overwrite").parquet(os.path.join(path, "residuals"))
         meta = {k: getattr(self, k) for k in ("name", "cats", "nums", "labels", "log_target", "prediction_cap",
                                                "blend_weight", "calibration", "slope", "intercept",
                                                "residual_keys", "residual_bias")}
         meta["regressor_class"] = type(self.regressor_model).__name__
-        from pyspark.sql import SparkSession
-        SparkSession.getActiveSession().createDataFrame([(json.dumps(meta),)], "meta string") \
+        spark.createDataFrame([(json.dumps(meta),)], "meta string") \
             .coalesce(1).write.mode("overwrite").text(os.path.join(path, "meta"))
 
     @classmethod
     def load(cls, spark, path: str) -> "DemandModel":
         from pyspark.ml import regression as R
         meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
-        reg_cls = getattr(R, meta.pop("regressor_class"))
+        kind = meta.pop("regressor_class")
         iso_path = os.path.join(path, "isotonic")
         res_path = os.path.join(path, "residuals")
         model = cls(pipeline=PipelineModel.load(os.path.join(path, "encoder")), **meta)
-        model.regressor_model = reg_cls.load(os.path.join(path, "regressor"))
-        model.isotonic = R.IsotonicRegressionModel.load(iso_path) if _exists(spark, iso_path) else None
+        where = os.path.join(path, "regressor")
+        model.regressor_model = (BoostedTrees.load(spark, where) if kind == "BoostedTrees"
+                                 else getattr(R, kind).load(where))
+        model.isotonic = IsotonicFit.load(spark, iso_path) if _exists(spark, iso_path) else None
         model.residual_table = spark.read.parquet(res_path) if _exists(spark, res_path) else None
         return model
 
@@ -210,23 +225,73 @@ def prediction_cap(train: DataFrame, target: str = "demand") -> float:
     return max(q * PREDICTION_CAP_FACTOR, m, 1.0)
 
 
+def assembled(coded: DataFrame, cats: list[str], nums: list[str]) -> DataFrame:
+    return VectorAssembler(inputCols=feature_names(cats, nums), outputCol="features", handleInvalid="keep").transform(coded)
+
+
+def feature_names(cats: list[str], nums: list[str]) -> list[str]:
+    return [f"{c}__code" for c in cats] + nums
+
+
+def on_demand_scale(prediction, log_target: bool, cap: float):
+    """From the regressor's scale to demand, clipped to [0, cap]."""
+    p = F.expm1(prediction) if log_target else prediction
+    return F.least(F.greatest(p, F.lit(0.0)), F.lit(cap))
+
+
+@dataclass
+class Encoder:
+    """M3: category codes learned on the training rows, shared by all candidates."""
+    pipeline: PipelineModel
+    cats: list[str]
+    nums: list[str]
+    labels: dict[str, list[str]]
+
+    @classmethod
+    def fit(cls, train: DataFrame) -> "Encoder":
+        cats, nums = feature_columns(train)
+        pipeline = Pipeline(stages=encoder_stages(cats, nums)[0]).fit(train)
+        labels = {c: list(own) for c, own in zip(cats, pipeline.stages[0].labelsArray)} if cats else {}
+        return cls(pipeline, cats, nums, labels)
+
+    def codes(self, df: DataFrame) -> DataFrame:
+        out = add_codes(self.pipeline.transform(df), self.cats, self.labels)
+        return out.drop(*[f"{c}__idx" for c in self.cats])
+
+    def model(self, spec, cap: float, regressor) -> DemandModel:
+        out = DemandModel(name=spec.name, pipeline=self.pipeline, cats=self.cats, nums=self.nums, labels=self.labels,
+                          log_target=spec.log_target, prediction_cap=cap)
+        out.regressor_model = regressor
+        return out
+
+
+def fit_candidates(coded: DataFrame, encoder: Encoder, specs: list, cap: float, scopes: dict,
+                   target: str = "demand", trace: list | None = None) -> dict[tuple[str, str], DemandModel]:
+    """(candidate, scope) -> model.  All boosted candidates and scopes grow in the same jobs;
+    forests are fitted beside them, for the first scope only."""
+    first, rows = next(iter(scopes.items()))
+    label = F.log1p(F.col(target).cast("double"))
+    forests = [s for s in specs if isinstance(s, ForestSpec)]
+    boosted = {s.name: s for s in specs if isinstance(s, BoostSpec)}
+
+    def fit_forests():
+        train = assembled(coded.where(rows), encoder.cats, encoder.nums).select("features", label.alias("label"))
+        return {(s.name, first): encoder.model(s, cap, s.regressor().fit(train)) for s in forests}
+
+    # the forest's jobs run beside the boosted rounds, which are many and short
+    with ThreadPoolExecutor(1) as pool:
+        beside = pool.submit(inheritable_thread_target(coded.sparkSession)(fit_forests))
+        trees = boosting.fit(coded, feature_names(encoder.cats, encoder.nums), target, list(boosted.values()), scopes,
+                             trace=trace) if boosted else {}
+        out = beside.result()
+    return out | {key: encoder.model(boosted[key[0]], cap, t) for key, t in trees.items()}
+
+
 def fit_model(train: DataFrame, name: str, spec, cap: float, target: str = "demand") -> DemandModel:
-    """M3 + M5: index categories, assemble, fit on log1p(target) unless the model is count-scale."""
-    factory, log_target = spec
+    """M3 + M5: one candidate fitted on all rows given."""
     train = prepare_numeric(train)
-    cats, nums = feature_columns(train)
-    idx_stages, feature_names = encoder_stages(cats, nums)
-    encoder = Pipeline(stages=idx_stages).fit(train)
-    labels = {c: list(own) for c, own in zip(cats, encoder.stages[0].labelsArray)} if cats else {}
-    data = add_codes(encoder.transform(train), cats, labels)
-    label = F.log1p(F.col(target).cast("double")) if log_target else F.col(target).cast("double")
-    data = VectorAssembler(inputCols=feature_names, outputCol="features", handleInvalid="keep") \
-        .transform(data).withColumn("label", label)
-    regressor = factory().setFeaturesCol("features").setLabelCol("label")
-    model = DemandModel(name=name, pipeline=encoder, cats=cats, nums=nums, labels=labels,
-                        log_target=log_target, prediction_cap=cap)
-    model.regressor_model = regressor.fit(data)
-    return model
+    encoder = Encoder.fit(train)
+    return fit_candidates(encoder.codes(train), encoder, [spec], cap, {"all": F.lit(True)}, target)[name, "all"]
 
 
 def long_predictions(model: DemandModel, df: DataFrame, keys: list[str], target: str = "demand",
@@ -255,56 +320,15 @@ def residual_corrections(calibration: DataFrame, key_columns: list[str],
     """
     from .stats import value_count_median
     sizes = calibration.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    medians = value_count_median(calibration, key_columns, "residual", "_med")
-    same = [sizes[k].eqNullSafe(medians[k]) for k in key_columns]
-    grouped = sizes.join(medians, same).select(*[sizes[k] for k in key_columns], "_n", "_med")
-    return grouped.select(*[F.col(k).alias(f"_rk_{k}") for k in key_columns],
+    medians = value_count_median(calibration, key_columns, "residual", "_med").select(
+        *[F.col(k).alias(f"_rk_{k}") for k in key_columns], "_med")
+    grouped = sizes.join(medians, [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in key_columns])
+    return grouped.select(*[f"_rk_{k}" for k in key_columns],
                           (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
 
 
-def maybe_add_residual_adjustment(model: DemandModel, base_scored: DataFrame, keys: list[str],
-                                  target: str = "demand") -> tuple[DemandModel, str]:
-    """Try each candidate key set; accept one only when MAE and WAPE do not get worse,
-    R2 does not drop and the calibration score improves.
-
-    ``base_scored`` is the calibration split with ``base_scores`` already computed
-    (materialised), so each candidate costs two small aggregations and a join.
-    """
-    y = F.col(target).cast("double")
-    scored = model.finish(base_scored, out="_base").withColumn("residual", y - F.col("_base"))
-    from ..session import materialize
-    scored = materialize(scored)  # reused by every candidate below
-    base_pred = scored.select(F.lit("base").alias("model"), y.alias("y"), F.col("_base").alias("pred"))
-    base = EV.regression_metrics(base_pred).withColumn("score", EV.calibration_score()).first()
-    best_score, best_keys, best_table = base["score"], [], None
-    from .stats import exact_median
-    bias = exact_median(scored, [], "residual").first()[0] or 0.0
-    for key_set in RESIDUAL_KEY_SETS:
-        available = [c for c in key_set if c in scored.columns]
-        if not available:
-            continue
-        table = materialize(residual_corrections(scored, available))
-        if table.isEmpty():
-            continue
-        trial = DemandModel(**{**model.__dict__})
-        trial.residual_keys, trial.residual_table, trial.residual_bias = available, table, bias
-        adj = trial.finish(base_scored, out="_adj").select(
-            F.lit("adj").alias("model"), y.alias("y"), F.col("_adj").alias("pred"))
-        m = EV.regression_metrics(adj).withColumn("score", EV.calibration_score()).first()
-        preserved = m["MAE"] <= base["MAE"] and m["WAPE"] <= base["WAPE"] and m["R2"] >= base["R2"]
-        if preserved and m["score"] < best_score:
-            best_score, best_keys, best_table = m["score"], available, table
-    if not best_keys:
-        return model, "none"
-    model.residual_keys, model.residual_table, model.residual_bias = best_keys, best_table, bias
-    return model, "segment_median:" + ",".join(best_keys)
-
-
 def feature_importance(model: DemandModel) -> list[tuple[str, float]]:
-    """(feature, importance) sorted, for tree models."""
+    """(feature, importance) sorted."""
     reg = model.regressor_model
-    if not hasattr(reg, "featureImportances"):
-        return []
-    names = model.cats + model.nums
-    values = reg.featureImportances.toArray()
-    return sorted(zip(names, (float(v) for v in values)), key=lambda x: -x[1])
+    values = reg.importances() if isinstance(reg, BoostedTrees) else reg.featureImportances.toArray()
+    return sorted(zip(model.cats + model.nums, (float(v) for v in values)), key=lambda x: -x[1])

@@ -18,15 +18,16 @@ from ..operators.split import split_summary, temporal_train_calibration_test_spl
 E = O.BASE_ENRICHED
 
 
-def fixture_predictions(enriched: DataFrame) -> DataFrame:
+def fixture_predictions(enriched: DataFrame, more: list[str] | None = None) -> DataFrame:
     models = F.array(
         F.struct(F.lit("model_a").alias("model"), (F.lit(0.8) * F.col("demand") + F.lit(0.3)).alias("pred")),
         F.struct(F.lit("model_b").alias("model"), F.col("rolling_mean_24h").alias("pred")),
         F.struct(F.lit("model_c").alias("model"), F.lit(1.0).alias("pred")),
     )
-    return enriched.select(*KEYS, F.col("demand").cast("double").alias("y"),
+    columns = KEYS + (more or [])
+    return enriched.select(*columns, F.col("demand").cast("double").alias("y"),
                            F.col("historical_profile_demand").alias("profile"),
-                           F.explode(models).alias("_m")).select(*KEYS, "y", "profile", "_m.model", "_m.pred")
+                           F.explode(models).alias("_m")).select(*columns, "y", "profile", "_m.model", "_m.pred")
 
 
 def preds_of(spark, sf) -> DataFrame:
@@ -270,9 +271,112 @@ def q_linear_cal(spark, sf):
     return lines.join(lin_s, "model").join(none_s, "model")
 
 
-@register("prediction_calibration", None, [], ["M11", "H5"])
+# least upper and greatest lower means over all runs of predictions: no pooling
+_ISOTONIC = PREDS + """,
+points AS (SELECT model, pred, sum(y) AS s, count(*) AS w, row_number() OVER (PARTITION BY model ORDER BY pred) AS i
+           FROM preds GROUP BY model, pred),
+cum AS (SELECT *, sum(s) OVER (PARTITION BY model ORDER BY i) AS cs, sum(w) OVER (PARTITION BY model ORDER BY i) AS cw
+        FROM points),
+runs AS (SELECT a.model, a.i AS a, b.i AS b, (b.cs - a.cs + a.s) / CAST(b.cw - a.cw + a.w AS DOUBLE) AS m
+         FROM cum a JOIN cum b ON a.model = b.model AND b.i >= a.i),
+lower AS (SELECT model, a, b AS i, min(m) OVER (PARTITION BY model, a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS m FROM runs),
+fit AS (SELECT l.model, l.i, max(l.m) AS value FROM lower l GROUP BY l.model, l.i),
+fitted AS (SELECT p.model, p.pred, p.w, f.value FROM points p JOIN fit f ON p.model = f.model AND p.i = f.i)"""
+
+
+@register("isotonic_fit", _ISOTONIC + """
+SELECT model, min(pred) AS lo, max(pred) AS hi, value, CAST(sum(w) AS DOUBLE) AS weight FROM fitted
+GROUP BY model, value""", ["lo", "hi", "value", "weight"], ["M11"])
+def q_isotonic(spark, sf):
+    from ..operators.isotonic import isotonic_blocks
+    # many small chunks, so that blocks pool across their borders
+    return isotonic_blocks(preds_of(spark, sf), chunk_blocks=64)
+
+
+_CALIBRATION = _score_sql({"MAE": 0.55, "RMSE": 0.10, "WAPE_ratio": 0.25, "R2_penalty": 0.10})
+
+
+@register("prediction_calibration", _ISOTONIC + f""",
+lines AS (
+  SELECT model,
+    CASE WHEN var_pop(pred) = 0 OR regr_slope(y, pred) IS NULL THEN avg(pred) * avg(y) / (avg(pred) * avg(pred) + 1)
+         ELSE regr_slope(y, pred) END AS slope,
+    CASE WHEN var_pop(pred) = 0 OR regr_slope(y, pred) IS NULL THEN avg(y) / (avg(pred) * avg(pred) + 1)
+         ELSE regr_intercept(y, pred) END AS intercept,
+    min(pred) < max(pred) AS several
+  FROM preds GROUP BY model),
+lin AS (SELECT p.model, p.y, greatest(l.slope * p.pred + l.intercept, CAST(0.0 AS DOUBLE)) AS pred
+        FROM preds p JOIN lines l USING (model)),
+iso AS (SELECT p.model, p.y, greatest(f.value, CAST(0.0 AS DOUBLE)) AS pred
+        FROM preds p JOIN fitted f ON p.model = f.model AND p.pred = f.pred),
+lin_m AS ({metrics_sql("lin", "model")}), none_m AS ({metrics_sql("preds", "model")}), iso_m AS ({metrics_sql("iso", "model")}),
+scores AS (
+  SELECT l.*, (SELECT {_CALIBRATION} FROM none_m n WHERE n.model = l.model) AS none_score,
+         (SELECT {_CALIBRATION} FROM lin_m n WHERE n.model = l.model) AS linear_score,
+         CASE WHEN several THEN (SELECT {_CALIBRATION} FROM iso_m n WHERE n.model = l.model) END AS isotonic_score
+  FROM lines l),
+chosen AS (
+  SELECT *, CASE WHEN isotonic_score < least(none_score, linear_score) THEN 'isotonic'
+                 WHEN linear_score < none_score THEN 'linear' ELSE 'none' END AS method FROM scores)
+SELECT model, method, CASE WHEN method = 'linear' THEN slope ELSE 1.0 END AS slope,
+       CASE WHEN method = 'linear' THEN intercept ELSE 0.0 END AS intercept, none_score, linear_score, isotonic_score
+FROM chosen""", ["slope", "intercept", "none_score", "linear_score", "isotonic_score"], ["M11", "H5"])
 def q_calibration(spark, sf):
-    return EV.optimize_prediction_calibration(preds_of(spark, sf), ["model_a", "model_b", "model_c"])
+    return EV.optimize_prediction_calibration(preds_of(spark, sf))
+
+
+_TRIAL_KEYS = [["hour", "day_of_week", "rider_type", "station_demand_tier"],
+               ["month", "hour", "day_of_week", "rider_type", "station_demand_tier"],
+               ["hour", "day_of_week", "rider_type", "area_label", "station_demand_tier"],
+               ["hour", "day_of_week", "rider_type", "station_demand_tier", "rain_level"],
+               ["hour", "day_of_week", "rider_type", "station_demand_tier", "temperature_level"],
+               ["hour", "day_of_week", "rider_type", "area_label", "temperature_level"],
+               ["hour", "day_of_week", "rider_type", "station_demand_tier", "rain_level", "snow_level", "wind_level",
+                "temperature_level"]]
+_TRIAL_ROWS, _TRIAL_CAP = 20, 25.0
+
+
+def _trials_sql() -> str:
+    columns = sorted({c for keys in _TRIAL_KEYS for c in keys} - {"rider_type"})
+    parts = []
+    for i, keys in enumerate(_TRIAL_KEYS):
+        same = " AND ".join(f"r.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+        parts.append(f"""
+  SELECT r.model, {i} AS key_set, r.y, least(greatest(r.pred + 0.35 * coalesce(s.c, b.bias), 0.0), {_TRIAL_CAP}) AS pred
+  FROM keyed r JOIN bias b USING (model) LEFT JOIN (
+    SELECT model, {', '.join(keys)}, median(y - pred) * (count(*) / (count(*) + {_TRIAL_ROWS}.0)) AS c
+    FROM keyed GROUP BY ALL HAVING count(*) >= {_TRIAL_ROWS}) s ON r.model = s.model AND {same}
+  WHERE r.model IN (SELECT model FROM keyed GROUP BY model, {', '.join(keys)} HAVING count(*) >= {_TRIAL_ROWS})""")
+    return PREDS + f""",
+keyed AS (SELECT p.model, p.y, p.pred, p.rider_type, {', '.join('e.' + c for c in columns)}
+          FROM preds p JOIN enriched e USING (hour_start, start_station_id, rider_type)),
+bias AS (SELECT model, median(y - pred) AS bias FROM keyed GROUP BY model),
+tried AS (SELECT model, -1 AS key_set, y, pred FROM keyed UNION ALL {' UNION ALL '.join(parts)}),
+trial_m AS ({metrics_sql("tried", "model, key_set")}),
+trials AS (SELECT *, {_CALIBRATION} AS score FROM trial_m)"""
+
+
+def _trials(spark, sf):
+    columns = sorted({c for keys in _TRIAL_KEYS for c in keys} - set(KEYS))
+    enriched = enriched_of(spark, sf)
+    preds = materialize(fixture_predictions(enriched, columns))
+    return EV.residual_trials(preds, _TRIAL_KEYS, _TRIAL_CAP, _TRIAL_ROWS, 0.35)
+
+
+@register("residual_trials", _trials_sql() + "\nSELECT * FROM trials", METRIC_DOUBLES + ["score"], ["M13"])
+def q_trials(spark, sf):
+    return _trials(spark, sf)
+
+
+@register("residual_choice", _trials_sql() + """
+SELECT b.model, coalesce(first(t.key_set ORDER BY round(t.score, 12), t.key_set) FILTER (kept), -1) AS key_set,
+       any_value(b.score) AS base_score, coalesce(min(t.score) FILTER (kept), any_value(b.score)) AS score
+FROM trials b JOIN (
+  SELECT t.*, t.MAE <= n.MAE AND t.WAPE <= n.WAPE AND t.R2 >= n.R2 AND t.score < n.score AS kept
+  FROM trials t JOIN trials n ON t.model = n.model AND n.key_set = -1 WHERE t.key_set >= 0) t ON t.model = b.model
+WHERE b.key_set = -1 GROUP BY b.model""", ["base_score", "score"], ["M13"])
+def q_residual_choice(spark, sf):
+    return EV.choose_residual_keys(materialize(_trials(spark, sf)))
 
 
 @register("backtest_wide", E + """

@@ -252,16 +252,19 @@ def q_addresses(spark, sf):
 # ---------------------------------------------------------------------------
 # model persistence
 # ---------------------------------------------------------------------------
-@register("model_save_load", None, [], ["S17"])
+@register("model_save_load", E + """
+SELECT hour_start, start_station_id, rider_type, true AS same_after_loading, true AS within_cap FROM enriched""",
+          [], ["S17"])
 def q_model_io(spark, sf):
     from ..operators.models import DemandModel
-    from .queries_model import trained
-    fact, res = trained(spark, sf)
-    model = res["models"][res["best_model_name"]]
-    path = scratch(spark, "model")
+    from .queries_model import Trained
+    t = Trained(spark, sf)
+    model, path = t.model(), scratch(spark, "model")
     model.save(path)
     again = DemandModel.load(spark, path)
-    return again.predict(fact).select(*KEYS, "predicted_demand")
+    both = again.predict(model.predict(t.table("fact"), "first"), "second")
+    return both.select(*KEYS, (F.abs(F.col("first") - F.col("second")) < 1e-9).alias("same_after_loading"),
+                       F.col("second").between(0.0, model.prediction_cap).alias("within_cap"))
 
 
 # ---------------------------------------------------------------------------

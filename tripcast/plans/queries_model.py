@@ -7,22 +7,25 @@ the model sees -- does have one, and is checked against DuckDB.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
 from . import oracle as O
+from .queries_eval import _SPLIT_SQL
 from .registry import enriched_of, register, trips_of
 from ..operators.scenario import (Scenario, build_scenario_frame, forecast_trend, intensity_comparison,
                                   predict_station_demand, typical_weather_values, weather_profile_table)
 from ..operators import analysis as A
 from ..operators.stations import station_metadata
-from ..session import materialize
+from ..operators import evaluation as EV
+from ..session import checkpoint_dir, materialize
 from ..sources.fixtures import fixture_holidays, fixture_weather
+from ..sources.sinks import path_exists
 from .facts import enriched_station_hour
-from .training import train_models
+from .training import load_model, save_models, train_models
 
 E = O.BASE_ENRICHED
-_TRAINED: dict = {}
 
 
 def clustered_fact(spark, sf):
@@ -33,13 +36,35 @@ def clustered_fact(spark, sf):
     return materialize(fact)
 
 
-def trained(spark, sf):
-    """All candidates at full settings, trained once per session and input folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
+class Trained:
+    """All candidates at full settings, trained once per application, input folder and kind of
+    run; everything is saved in the shared folder and read from there."""
+
+    def __init__(self, spark, sf, riders: bool = False):
+        key = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf}|{riders}".encode()).hexdigest()
+        self.spark, self.folder = spark, f"{checkpoint_dir(spark).rstrip('/')}/trained-{key}"
+        if path_exists(spark, f"{self.folder}/about"):
+            return
         fact = clustered_fact(spark, sf)
-        _TRAINED[key] = (fact, train_models(fact, train_rider_models=False))
-    return _TRAINED[key]
+        res = train_models(fact, train_rider_models=riders)
+        best = res["models"][res["best_model_name"]]
+        tables = {"fact": fact, "ranking": res["ranking"], "predictions": res["test_predictions"],
+                  "backtest": res["backtest"], "importance": spark.createDataFrame(
+                      res["feature_importance"], "feature string, importance double")}
+        if riders:
+            tables["riders"] = res["rider_metrics"]
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        save_models(f"{self.folder}/models", best, res.get("rider_models", {}))
+        # written last: it says that the rest is complete
+        spark.createDataFrame([(best.name, float(res["prediction_cap"]))], "best string, prediction_cap double") \
+            .write.mode("overwrite").parquet(f"{self.folder}/about")
+
+    def table(self, name: str):
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def model(self, rider_type: str = "all"):
+        return load_model(self.spark, f"{self.folder}/models", rider_type)
 
 
 def written_fact(spark, sf):
@@ -63,64 +88,80 @@ def q_enriched_full(spark, sf):
 @register("model_ranking", None, [], ["M3", "M4", "M5", "M6", "M7", "M8", "M9", "M10", "M11", "M12", "M13",
                                       "M14", "M15", "H3", "H4", "Q12"])
 def q_model_ranking(spark, sf):
-    return trained(spark, sf)[1]["ranking"]
+    return Trained(spark, sf).table("ranking")
+
+
+_RIDER_ROWS = """
+riders AS (SELECT rider_type, count(*) AS n FROM enriched WHERE rider_type IN ('member', 'casual') GROUP BY rider_type)"""
+
+
+@register("model_invariants", _SPLIT_SQL + """
+SELECT model, (SELECT count(*) FROM labelled WHERE split = 'test') AS test_rows, true AS within_cap,
+       true AS beats_mean
+FROM (VALUES ('random_forest'), ('gbt'), ('gbt_smooth'), ('gbt_robust'), ('gbt_tweedie')) m(model)""", [],
+          ["M5", "M6", "M7", "M8", "M12"])
+def q_model_invariants(spark, sf):
+    t = Trained(spark, sf)
+    cap = t.table("about").select("prediction_cap").scalar()
+    return t.table("predictions").groupBy("model").agg(
+        F.count("*").alias("test_rows"), ((F.min("pred") >= 0) & (F.max("pred") <= F.max(cap))).alias("within_cap"),
+        (F.sum((F.col("y") - F.col("pred")) ** 2) < F.var_pop("y") * F.count("*")).alias("beats_mean"))
+
+
+@register("rider_model_invariants", E + "," + _RIDER_ROWS + """
+SELECT rider_type, n >= 1000 AS trained, n AS n_rows, CASE WHEN n >= 1000 THEN true END AS beats_mean FROM riders""",
+          [], ["M21"])
+def q_rider_invariants(spark, sf):
+    return Trained(spark, sf, riders=True).table("riders").select("rider_type", "trained", "n_rows",
+                                                                 (F.col("R2") > 0).alias("beats_mean"))
 
 
 @register("model_hotspot_metrics", None, [], ["M18"])
 def q_model_hotspot(spark, sf):
-    return trained(spark, sf)[1]["hotspot"]
+    return EV.hotspot_classification(Trained(spark, sf).table("predictions"))
 
 
 @register("model_backtest", None, [], ["M19", "U5"])
 def q_model_backtest(spark, sf):
-    return trained(spark, sf)[1]["backtest"]
+    return Trained(spark, sf).table("backtest")
 
 
 @register("feature_importance", None, [], ["M20"])
 def q_importance(spark, sf):
-    rows = trained(spark, sf)[1]["feature_importance"]
-    return spark.createDataFrame(rows or [("none", 0.0)], "feature string, importance double")
+    return Trained(spark, sf).table("importance")
 
 
 @register("rider_model_metrics", None, [], ["M21"])
 def q_rider_models(spark, sf):
-    from ..operators.models import model_specs, prepare_numeric
-    from .training import rider_specific_models
-    fact, res = trained(spark, sf)
-    best = res["best_model_name"]
-    return rider_specific_models(prepare_numeric(fact), best, model_specs()[best], res["prediction_cap"])[0]
+    return Trained(spark, sf, riders=True).table("riders")
 
 
 @register("scenario_predictions", None, [], ["P5", "P1", "J9", "M14"])
 def q_scenario_predictions(spark, sf):
-    fact, res = trained(spark, sf)
-    model = res["models"][res["best_model_name"]]
-    preds = predict_station_demand(fact, [SCENARIO], model, fixture_holidays(spark))
+    t = Trained(spark, sf)
+    preds = predict_station_demand(t.table("fact"), [SCENARIO], t.model(), fixture_holidays(spark))
     return preds.select("scenario_id", "start_station_id", "start_station_name", "area_label",
                         "predicted_demand").orderBy(F.desc("predicted_demand"), "start_station_id")
 
 
 @register("predicted_area_totals", None, [], ["A28", "P5"])
 def q_predicted_area_totals(spark, sf):
-    fact, res = trained(spark, sf)
-    model = res["models"][res["best_model_name"]]
-    preds = predict_station_demand(fact, [SCENARIO], model, fixture_holidays(spark))
+    t = Trained(spark, sf)
+    preds = predict_station_demand(t.table("fact"), [SCENARIO], t.model(), fixture_holidays(spark))
     return A.predicted_area_hotspots(preds).orderBy(F.desc("predicted_demand"))
 
 
 @register("forecast_trend_24h", None, [], ["P6", "U4", "P9"])
 def q_trend(spark, sf):
-    fact, res = trained(spark, sf)
-    return forecast_trend(fact, SCENARIO, res["models"][res["best_model_name"]], periods=24,
-                          holidays=fixture_holidays(spark))
+    t = Trained(spark, sf)
+    return forecast_trend(t.table("fact"), SCENARIO, t.model(), periods=24, holidays=fixture_holidays(spark))
 
 
 @register("intensity_comparison", None, [], ["P8", "P7"])
 def q_intensity(spark, sf):
-    fact, res = trained(spark, sf)
-    typical = typical_weather_values(fact)
-    return intensity_comparison(fact, SCENARIO, res["models"][res["best_model_name"]], "Rain", typical,
-                                fixture_holidays(spark))
+    t = Trained(spark, sf)
+    fact = t.table("fact")
+    return intensity_comparison(fact, SCENARIO, t.model(), "Rain", typical_weather_values(fact), fixture_holidays(spark))
 
 
 @register("weather_profiles", E + """,
@@ -364,3 +405,74 @@ FROM (SELECT i.weather_intensity,
 def q_intensity_totals(spark, sf):
     typical = {"temperature": 11.0, "precipitation": 0.5, "snow": 0.0, "wind_speed": 4.0}
     return intensity_comparison(written_fact(spark, sf), SCENARIO, FixedScorer(), "Rain", typical, fixture_holidays(spark))
+
+
+# ---------------------------------------------------------------------------
+# the first two levels of a tree for each loss, checked against DuckDB (M7, M8)
+# ---------------------------------------------------------------------------
+# few cuts that both engines can state: (column, cuts)
+_LEVEL_CUTS = [("hour", [3.0, 6.0, 9.0, 12.0, 15.0, 18.0, 21.0]), ("day_of_week", [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]),
+               ("rolling_mean_24h", [0.5, 1.0, 1.25, 1.5, 2.0, 3.0, 5.0]),
+               ("historical_profile_demand", [0.75, 1.0, 1.25, 1.5, 2.0, 3.0, 5.0]),
+               ("temperature", [-5.0, 0.0, 5.0, 10.0, 15.0, 20.0, 25.0])]
+_LEVEL_LOSSES = {"squared": ("m - ln(1 + y)", "1.0"),
+                 "pseudo_huber": ("(m - ln(1 + y)) / sqrt(1 + pow(m - ln(1 + y), 2))",
+                                  "pow(1 + pow(m - ln(1 + y), 2), -1.5)"),
+                 "tweedie": ("exp(0.5 * m) - y * exp(-0.5 * m)", "0.5 * exp(0.5 * m) + 0.5 * y * exp(-0.5 * m)")}
+
+
+def _level_sql() -> str:
+    """Sums left of every cut, the gain of each cut, and the best one per node; then its two halves."""
+    values = ", ".join(f"({f}, {c}, CAST({x} AS DOUBLE))" for f, (_, cuts) in enumerate(_LEVEL_CUTS)
+                       for c, x in enumerate(cuts))
+    x_of = "CASE f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(_LEVEL_CUTS))) + " END"
+    name = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, (c, _) in enumerate(_LEVEL_CUTS)) + " END"
+    xs = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS x{i}" for i, (c, _) in enumerate(_LEVEL_CUTS))
+    # the shrunk sum T(G) with alpha 0.06, lambda 2.6, gamma 0.04
+    worth = lambda g, h: f"pow(greatest(abs({g}) - 0.06, 0.0), 2) / ({h} + 2.6)"
+    leaf = lambda g, h: f"-sign({g}) * greatest(abs({g}) - 0.06, 0.0) / ({h} + 2.6)"
+
+    def level(i: int, rows: str) -> str:
+        return f"""sums{i} AS (
+  SELECT loss, node, f, c, cut, sum(g) AS g, sum(h) AS h, coalesce(sum(g) FILTER ({x_of} <= cut), 0.0) AS gl,
+         coalesce(sum(h) FILTER ({x_of} <= cut), 0.0) AS hl
+  FROM {rows} CROSS JOIN cand GROUP BY ALL),
+best{i} AS (
+  SELECT *, ({worth('gl', 'hl')} + {worth('(g - gl)', '(h - hl)')} - {worth('g', 'h')}) / 2 - 0.04 AS gain FROM sums{i}
+  WHERE hl >= 2 AND h - hl >= 2
+  QUALIFY row_number() OVER (PARTITION BY loss, node ORDER BY gain DESC, f, c) = 1)"""
+
+    losses = "\n  UNION ALL ".join(f"SELECT '{n}' AS loss, 0 AS node, *, {g} AS g, {h} AS h FROM base, "
+                                   f"(SELECT {'ln(avg(y))' if n == 'tweedie' else 'avg(ln(1 + y))'} AS m FROM base)"
+                                   for n, (g, h) in _LEVEL_LOSSES.items())
+    return E + f""",
+base AS (SELECT CAST(demand AS DOUBLE) AS y, {xs} FROM enriched),
+cand AS (SELECT * FROM (VALUES {values}) t(f, c, cut)),
+top AS ({losses}),
+{level(0, 'top')},
+halves AS (
+  SELECT t.* REPLACE (CASE WHEN {x_of} <= b.cut THEN 1 ELSE 2 END AS node)
+  FROM top t JOIN best0 b ON t.loss = b.loss AND b.gain > 0),
+{level(1, 'halves')},
+found AS (SELECT * FROM best0 UNION ALL SELECT * FROM best1)
+SELECT loss, node, {name} AS feature, cut, gain, {leaf('gl', 'hl')} AS left_value,
+       {leaf('(g - gl)', '(h - hl)')} AS right_value
+FROM found WHERE gain > 0"""
+
+
+@register("boosting_level_splits", _level_sql(), ["cut", "gain", "left_value", "right_value"], ["M7", "M8"])
+def q_level_splits(spark, sf):
+    import numpy as np
+    from ..operators import boosting
+    from ..operators.models import prepare_numeric
+    names = [c for c, _ in _LEVEL_CUTS]
+    specs = [boosting.BoostSpec(loss, loss=loss, rounds=1, depth=2, eta=1.0, min_child_weight=2, gamma=0.04,
+                                reg_lambda=2.6, reg_alpha=0.06) for loss in _LEVEL_LOSSES]
+    fact = prepare_numeric(enriched_of(spark, sf).select(*names, "demand"))
+    found = boosting.fit(fact, names, "demand", specs, {"all": F.lit(True)},
+                         cuts=[np.array(cuts) for _, cuts in _LEVEL_CUTS])
+    rows = [(loss, node, names[t.feature[0, node]], float(t.cut[0, node]), float(t.gain[0, node]),
+             float(t.value[0, 2 * node + 1]), float(t.value[0, 2 * node + 2]))
+            for (loss, _), t in found.items() for node in range(3) if t.feature[0, node] >= 0]
+    return spark.createDataFrame(rows, "loss string, node int, feature string, cut double, gain double, "
+                                       "left_value double, right_value double")

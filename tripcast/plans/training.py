@@ -1,7 +1,8 @@
-"""Model training, calibration, ranking and publishing as one driver of MLlib jobs.
+"""Model training, calibration, ranking and publishing.
 
-Only tiny results reach the driver: the row count, the prediction cap, one
-blend weight / calibration choice per model and the metric rows.
+All candidates are trained from one encoded table, scored in one long table (model, row)
+and calibrated together.  Only tiny results reach the driver: the row count, the
+prediction cap, a few settings per model and the metric rows.
 """
 from __future__ import annotations
 
@@ -9,36 +10,20 @@ import json
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import RIDER_MODEL_MIN_ROWS, RIDER_MODEL_TYPES
+from ..constants import (RESIDUAL_KEY_SETS, RESIDUAL_MIN_SEGMENT_ROWS, RESIDUAL_SHRINKAGE, RIDER_MODEL_MIN_ROWS,
+                         RIDER_MODEL_TYPES)
 from ..operators import evaluation as EV
-from ..operators.models import (DemandModel, fit_model, feature_importance, long_predictions, maybe_add_residual_adjustment,
-                                model_specs, prediction_cap, prepare_numeric)
+from ..operators.boosting import BoostedTrees, predictions
+from ..operators.isotonic import IsotonicFit, isotonic_blocks
+from ..operators.models import (DemandModel, Encoder, feature_importance, fit_candidates, model_specs, on_demand_scale,
+                                prediction_cap, prepare_numeric, residual_corrections)
 from ..operators.split import latest_rows, temporal_train_calibration_test_split, temporal_train_test_split
 from ..session import checkpoint_dir, materialize
 from ..sources.sinks import path_exists
 
 KEYS = ["hour_start", "start_station_id", "rider_type"]
-
-
-def _calibrate(model, calibration: DataFrame, target: str):
-    """M10 + M11 + M13 on the calibration split; returns the description of the chain.
-
-    The regressor runs once over the calibration rows (materialised); every
-    setting tried afterwards is column arithmetic over that table.
-    """
-    base = materialize(model.base_scores(calibration))
-    cal_pred = materialize(long_predictions(model, base, KEYS, target, scored=True))
-    weight = EV.optimize_blend_weight(cal_pred).first()["blend_weight"]
-    model.blend_weight = float(weight)
-    blended = materialize(long_predictions(model, base, KEYS, target, scored=True))
-    choice = EV.optimize_prediction_calibration(blended, [model.name]).first()
-    model.calibration = choice["method"]
-    model.slope, model.intercept = float(choice["slope"]), float(choice["intercept"])
-    if model.calibration == "isotonic":
-        model.isotonic = EV.isotonic_calibration(blended, model.name)
-    model, residual = maybe_add_residual_adjustment(model, base, KEYS, target)
-    return {"method": model.calibration, "slope": model.slope, "intercept": model.intercept,
-            "residual_adjustment": residual}
+RESIDUAL_COLUMNS = sorted({c for keys in RESIDUAL_KEY_SETS for c in keys} - set(KEYS))
+GENERAL = "general"
 
 
 def _station_names(data: DataFrame) -> DataFrame | None:
@@ -49,37 +34,140 @@ def _station_names(data: DataFrame) -> DataFrame | None:
         F.max_by("start_station_name", F.struct("hour_start", "start_station_name")).alias("start_station_name"))
 
 
+def split_rows(data: DataFrame, riders: list[str], min_rows: int = RIDER_MODEL_MIN_ROWS) -> tuple[DataFrame, dict]:
+    """Rows with ``split`` (train, calibration, test) and ``rider_split`` (train, test; null where
+    the rider type has no model of its own), and the rows of each rider type."""
+    split = materialize(temporal_train_calibration_test_split(data))
+    sizes = {r: n for r, n in split.groupBy("rider_type").agg(F.count("*")).where(
+        F.col("rider_type").isin(riders)).collect()}
+    sizes = {r: sizes.get(r, 0) for r in riders}
+    own = [r for r in riders if sizes[r] >= min_rows]
+    if not own:
+        return split.withColumn("rider_split", F.lit(None).cast("string")), sizes
+    parts = [split.where(~F.coalesce(F.col("rider_type").isin(own), F.lit(False)))
+             .withColumn("rider_split", F.lit(None).cast("string"))]
+    for rider in own:
+        rows = split.where(F.col("rider_type") == rider).withColumnRenamed("split", "_split")
+        parts.append(temporal_train_test_split(rows).withColumnRenamed("split", "rider_split")
+                     .withColumnRenamed("_split", "split"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return materialize(out), sizes
+
+
+def score_candidates(coded: DataFrame, models: list[DemandModel], keep: list[str], target: str) -> DataFrame:
+    """One row per (model, row): model, the columns to keep, y, ``_raw`` on the demand scale, profile.
+
+    All boosted models score a row in one pass over its features.
+    """
+    boosted = [m for m in models if isinstance(m.regressor_model, BoostedTrees)]
+    rest = [m for m in models if m not in boosted]
+    scored, raw = coded, []
+    for i, m in enumerate(rest):
+        scored = m.regress(scored).withColumnRenamed("prediction", f"_p{i}").drop("features")
+        raw.append((m, F.col(f"_p{i}")))
+    if boosted:
+        scored = scored.withColumn("_boosted", predictions([m.regressor_model for m in boosted]))
+        raw += [(m, F.col("_boosted")[i]) for i, m in enumerate(boosted)]
+    each = F.explode(F.array(*[F.struct(F.lit(m.name).alias("model"), on_demand_scale(
+        p, m.log_target, m.prediction_cap).alias("_raw")) for m, p in raw])).alias("_m")
+    return scored.select(*keep, F.col(target).cast("double").alias("y"), "historical_profile_demand", each).select(
+        "_m.model", *keep, "y", "_m._raw", "historical_profile_demand")
+
+
+def calibrate(scored: DataFrame, models: dict[str, DemandModel], cap: float) -> dict[str, dict]:
+    """M10 + M11 + M13 for all models at once; ``scored`` is the calibration split's long table.
+
+    Sets every model's blend weight, calibration and residual table; returns their descriptions.
+    """
+    profile = F.col("historical_profile_demand")
+    pred = scored.select("model", "y", F.col("_raw").alias("pred"), profile.alias("profile"))
+    for r in EV.optimize_blend_weight(pred).collect():
+        models[r["model"]].blend_weight = float(r["blend_weight"])
+
+    def own(setting):  # a column that holds each model's setting
+        value = F.lit(None).cast("double")
+        for name, m in models.items():
+            value = F.when(F.col("model") == name, F.lit(float(setting(m)))).otherwise(value)
+        return value
+
+    w = own(lambda m: m.blend_weight)
+    keys = [c for c in KEYS + RESIDUAL_COLUMNS if c in scored.columns]
+    blended = materialize(scored.select("model", "y", *keys, F.when(
+        (w < 1) & profile.isNotNull(), w * F.col("_raw") + (1 - w) * profile).otherwise(F.col("_raw")).alias("pred")))
+    blocks = isotonic_blocks(blended)
+    for r in EV.optimize_prediction_calibration(blended, blocks).collect():
+        m = models[r["model"]]
+        m.calibration, m.slope, m.intercept = r["method"], float(r["slope"]), float(r["intercept"])
+        if m.calibration == "isotonic":
+            m.isotonic = IsotonicFit.of(blocks, m.name)
+    fitted = F.col("pred")
+    for name, m in models.items():
+        if m.calibration != "none":
+            line = F.lit(m.slope) * F.col("pred") + F.lit(m.intercept)
+            fitted = F.when(F.col("model") == name, line if m.calibration == "linear" else m.isotonic.column(
+                F.col("pred"))).otherwise(fitted)
+    base = materialize(blended.withColumn("pred", F.least(F.greatest(fitted, F.lit(0.0)), F.lit(cap))))
+    key_sets = [[c for c in s if c in base.columns] for s in RESIDUAL_KEY_SETS]
+    trials = materialize(EV.residual_trials(base, key_sets, cap, RESIDUAL_MIN_SEGMENT_ROWS, RESIDUAL_SHRINKAGE))
+    out = {}
+    from ..operators.stats import exact_median
+    residual = base.withColumn("residual", F.col("y") - F.col("pred"))
+    for r in EV.choose_residual_keys(trials).collect():
+        m, method = models[r["model"]], "none"
+        if r["key_set"] >= 0:
+            m.residual_keys = key_sets[r["key_set"]]
+            rows = residual.where(F.col("model") == m.name)
+            m.residual_table = materialize(residual_corrections(rows, m.residual_keys))
+            m.residual_bias = float(exact_median(rows, [], "residual").first()[0] or 0.0)
+            method = "segment_median:" + ",".join(m.residual_keys)
+        out[m.name] = {"method": m.calibration, "slope": m.slope, "intercept": m.intercept,
+                       "residual_adjustment": method}
+    return out
+
+
+def final_predictions(scored: DataFrame, models: dict[str, DemandModel], keys: list[str]) -> DataFrame:
+    """model, keys, y, pred, profile after each model's whole chain."""
+    out = None
+    for name, m in models.items():
+        own = m.finish(scored.where(F.col("model") == name), out="pred").select(
+            "model", *keys, "y", "pred", F.col("historical_profile_demand").alias("profile"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def train_models(station_hour: DataFrame, target: str = "demand", max_train_rows: int | None = None,
                  fast: bool = False, selection_metric: str = "combined", train_rider_models: bool = True,
                  names: list[str] | None = None) -> dict:
     spark = station_hour.sparkSession
     checkpoint_dir(spark)
     data = prepare_numeric(latest_rows(station_hour.dropna(subset=[target]), max_train_rows))
-    split = temporal_train_calibration_test_split(data).checkpoint(eager=True)  # lineage cut, reused below
-    train = split.filter(F.col("split") == "train")
-    calibration = split.filter(F.col("split") == "calibration")
-    test = split.filter(F.col("split") == "test")
+    riders = RIDER_MODEL_TYPES if train_rider_models else []
+    split, sizes = split_rows(data, riders)
+    train = split.where(F.col("split") == "train")
     cap = prediction_cap(train, target)
-    specs = model_specs(fast)
-    if names:
-        specs = {k: v for k, v in specs.items() if k in names}
-    fitted, settings, test_preds = {}, {}, []
-    for name, spec in specs.items():
-        model = fit_model(train, name, spec, cap, target)
-        settings[name] = _calibrate(model, calibration, target)
-        fitted[name] = model
-        test_preds.append(long_predictions(model, test, KEYS, target))
-    preds = test_preds[0]
-    for extra in test_preds[1:]:
-        preds = preds.unionByName(extra)
-    preds = preds.checkpoint(eager=True)
+    specs = {k: v for k, v in model_specs(fast).items() if not names or k in names}
+    encoder = Encoder.fit(train)
+    coded = encoder.codes(split)
+    scopes = {GENERAL: F.col("split") == "train"} | {
+        r: (F.col("rider_type") == r) & (F.col("rider_split") == "train") for r in riders
+        if sizes[r] >= RIDER_MODEL_MIN_ROWS}
+    grown = fit_candidates(coded, encoder, list(specs.values()), cap, scopes, target)
+    fitted = {n: grown[n, GENERAL] for n in specs}
+
+    keep = [c for c in ["split", *KEYS, *RESIDUAL_COLUMNS] if c in coded.columns]
+    scored = materialize(score_candidates(coded.where(F.col("split") != "train"), list(fitted.values()), keep, target))
+    settings = calibrate(scored.where(F.col("split") == "calibration"), fitted, cap)
+    keys = [k for k in KEYS if k in coded.columns]
+    preds = materialize(final_predictions(scored.where(F.col("split") == "test"), fitted, keys))
     metrics = EV.regression_metrics(preds)
     ranking = EV.build_model_selection_table(metrics)
     extra = spark.createDataFrame([(n, fitted[n].blend_weight, json.dumps(settings[n])) for n in fitted],
                                   "model string, blend_weight double, calibration string")
-    ranking = ranking.join(extra, "model", "left")
+    ranking = materialize(ranking.join(extra, "model", "left"))
     if selection_metric == "MAE":
-        best = metrics.orderBy("MAE", "model").first()["model"]
+        best = ranking.orderBy("MAE", "model").first()["model"]
     else:
         best = ranking.orderBy("combined_rank_score", "MAE", "model").first()["model"]
     out = {
@@ -92,40 +180,47 @@ def train_models(station_hour: DataFrame, target: str = "demand", max_train_rows
         "test_predictions": preds,
     }
     if train_rider_models:
-        out["rider_metrics"], out["rider_models"] = rider_specific_models(data, best, specs[best], cap, target)
+        out["rider_metrics"], out["rider_models"] = rider_specific_models(coded, encoder, specs[best], cap, sizes,
+                                                                          grown, target)
     return out
 
 
-def rider_specific_models(data: DataFrame, best: str, spec, cap: float, target: str = "demand",
-                          min_rows: int = RIDER_MODEL_MIN_ROWS) -> tuple[DataFrame, dict]:
-    """The best model type refit per rider type, 80/20, blend tuned on test (Q13).
+def rider_specific_models(coded: DataFrame, encoder: Encoder, spec, cap: float, sizes: dict[str, int],
+                          grown: dict | None = None, target: str = "demand") -> tuple[DataFrame, dict]:
+    """The best candidate per rider type, 80/20, blend tuned on its test rows (Q13).
 
-    Returns the metrics (one row per rider type; ``trained`` is false, and the metrics
-    null, where fewer than ``min_rows`` rows exist) and the fitted models by rider type.
+    Boosted candidates have grown beside the general ones (``grown``); a forest is fitted
+    here.  Returns the metrics (one row per rider type; ``trained`` is false, and the metrics
+    null, where a type has too few rows) and the fitted models by rider type.
     """
-    rows, models = [], {}
-    for rider in RIDER_MODEL_TYPES:
-        rider_data = data.filter(F.col("rider_type") == rider)
-        n = rider_data.count()
-        if n < min_rows:
-            rows.append({"rider_type": rider, "model": best, "trained": False, "n_rows": n})
+    spark = coded.sparkSession
+    models = {}
+    for rider, n in sizes.items():
+        if n < RIDER_MODEL_MIN_ROWS:
             continue
-        split = temporal_train_test_split(rider_data).checkpoint(eager=True)
-        model = fit_model(split.filter(F.col("split") == "train"), best, spec, cap, target)
-        test = materialize(model.base_scores(split.filter(F.col("split") == "test")))
-        pred = long_predictions(model, test, KEYS, target, scored=True)
-        model.blend_weight = float(EV.optimize_blend_weight(pred).first()["blend_weight"])
-        m = EV.regression_metrics(long_predictions(model, test, KEYS, target, scored=True)).first().asDict()
-        rows.append(m | {"rider_type": rider, "model": best, "blend_weight": model.blend_weight, "trained": True,
-                         "n_rows": n})
-        models[rider] = model
-    spark = data.sparkSession
-    cols = ["MAE", "RMSE", "R2", "WAPE", "SMAPE", "MAPE_nonzero", "rider_type", "model", "blend_weight", "trained",
-            "n_rows"]
-    table = spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows],
-                                  "MAE double, RMSE double, R2 double, WAPE double, SMAPE double, "
-                                  "MAPE_nonzero double, rider_type string, model string, blend_weight double, "
-                                  "trained boolean, n_rows long")
+        found = (grown or {}).get((spec.name, rider))
+        if found is None:
+            rows = (F.col("rider_type") == rider) & (F.col("rider_split") == "train")
+            found = fit_candidates(coded, encoder, [spec], cap, {rider: rows}, target)[spec.name, rider]
+        models[rider] = found
+    scored = None
+    for rider, m in models.items():
+        test = coded.where((F.col("rider_type") == rider) & (F.col("rider_split") == "test"))
+        own = score_candidates(test, [m], KEYS, target).withColumn("model", F.lit(rider))
+        scored = own if scored is None else scored.unionByName(own)
+    metrics: dict[str, dict] = {}
+    if scored is not None:
+        scored = materialize(scored)
+        pred = scored.select("model", "y", F.col("_raw").alias("pred"), F.col("historical_profile_demand").alias("profile"))
+        for r in EV.optimize_blend_weight(pred).collect():
+            models[r["model"]].blend_weight = float(r["blend_weight"])
+        metrics = {r["model"]: r.asDict() for r in EV.regression_metrics(final_predictions(scored, models, KEYS)).collect()}
+    names = ["MAE", "RMSE", "R2", "WAPE", "SMAPE", "MAPE_nonzero"]
+    rows = [(*[metrics.get(r, {}).get(c) for c in names], r, spec.name,
+             models[r].blend_weight if r in models else None, r in models, n) for r, n in sizes.items()]
+    table = spark.createDataFrame(rows, "MAE double, RMSE double, R2 double, WAPE double, SMAPE double, "
+                                        "MAPE_nonzero double, rider_type string, model string, blend_weight double, "
+                                        "trained boolean, n_rows long")
     return table, models
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -96,3 +97,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tripcast-ckpt-", dir=os.environ.get("TRIPCAST_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tripcast_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-py-"), "tripcast_package.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(out)
+    sc._tripcast_shipped = True
