@@ -52,7 +52,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing reads it any more."""
+    for t in tables:
+        spark, path = t.sparkSession, getattr(t, "_written_at", None)
+        if path:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_of(df: DataFrame, col: str = "text") -> Column:

@@ -17,8 +17,11 @@ scored by a model that counted the other half only.
 
 Where an n-gram was seen in neither class the shared backoff cancels, so that a
 log-likelihood ratio needs the seen n-grams and their contexts only.  Both stay
-tables keyed by the n-gram itself and grow with the corpus: the distinct words of all
-documents are cut into n-grams, joined to them, and summed to one ratio per word.
+tables keyed by the n-gram itself and grow with the corpus.  The words of all documents
+are counted first, those of the training rows also by class and half; each distinct word
+is then cut once, for the n-gram counts and for its own ratio.  For the latter words lie
+in blocks: a block asks for each of its n-grams once, gets the ratios by a join, and sums
+them to one ratio per word.  The three models (of either half, of all) are columns.
 The most frequent words, up to ``DICTIONARY_BYTES``, are broadcast with their ratios;
 the words of a document that are not among them come out as (row, word, count) and
 are joined to the table of words.  So what is broadcast is bounded, and no n-gram
@@ -37,9 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import chunks, text_of, written
+from .common import chunks, discard, text_of, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -73,95 +77,164 @@ def held_out(id_column: Column) -> Column:
 # ---------------------------------------------------------------------------
 # counts and model
 # ---------------------------------------------------------------------------
+#: counts by half and class of the training rows: ordinary and toxic, first and second half
+SLOT_COUNTS = ["co0", "ct0", "co1", "ct1"]
+MODELS = range(ALL + 1)
+RATIOS = [f"r{m}" for m in MODELS]
+BLOCK_WORDS = 100_000
+
+
+def grams_of(word: str) -> list[str]:
+    s = _BEGIN + word + _END
+    return [s[max(0, i - ORDER + 1):i + 1] for i in range(1, len(s))]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of a partition's texts with their count by slot (-1: any row; else by half and class)."""
+    seen: dict[int, Counter] = {}
+
+    def flush():
+        for slot, own in seen.items():
+            words = list(own)
+            for a, b in chunks(words):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words[a:b], pa.string()), pa.array([slot] * (b - a), pa.int32()),
+                     pa.array([own[w] for w in words[a:b]], pa.int64())], names=["w", "slot", "n"])
+        seen.clear()
+
+    for batch in batches:
+        for text, slot in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen.setdefault(slot, Counter()).update(words_of(text))
+        if sum(map(len, seen.values())) > CACHE_WORDS:
+            yield from flush()
+    yield from flush()
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(w, n, co0, ct0, co1, ct1) from rows (text, slot): counts over all rows, and over those of each slot."""
+    parts = texts.select("text", F.col("slot").cast("int")).mapInArrow(_count_words, "w string, slot int, n long")
+    own = lambda slot: F.sum(F.when(F.col("slot") == slot, F.col("n")).otherwise(0))
+    return parts.groupBy("w").agg(own(-1).alias("n"), *[own(i).alias(c) for i, c in enumerate(SLOT_COUNTS)])
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-grams of a partition's texts with their count by half and class."""
-    words = [Counter() for _ in range(2 * HALVES)]
-    grams = [Counter() for _ in range(2 * HALVES)]
+    """n-grams of a partition's words (w, counts by slot) with their counts."""
+    out: dict[str, np.ndarray] = {}
 
     def flush():
-        for seen, out in zip(words, grams):
-            for w, n in seen.items():
-                s = _BEGIN + w + _END
-                for i in range(1, len(s)):
-                    out[s[max(0, i - ORDER + 1):i + 1]] += n
-            seen.clear()
+        keys = list(out)
+        for a in range(0, len(keys), 50_000):
+            part = keys[a:a + 50_000]
+            sums = np.stack([out[k] for k in part], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.array(c) for c in sums]],
+                                             names=["g", *SLOT_COUNTS])
+        out.clear()
 
     for batch in batches:
-        for text, toxic, half in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            words[2 * half + toxic].update(words_of(text))
-        if sum(map(len, words)) > CACHE_WORDS:
-            flush()
-    flush()
-    keys = list(set().union(*grams))
-    for a in range(0, len(keys), 50_000):
-        part = keys[a:a + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *[pa.array([c[k] for k in part], pa.int64())
-                                                                         for c in grams]],
-                                         names=["g", "co0", "ct0", "co1", "ct1"])
+        counts = np.stack([batch.column(c).to_numpy() for c in SLOT_COUNTS], axis=1)
+        for w, own in zip(batch.column("w").to_pylist(), counts):
+            for g in grams_of(w):
+                if g in out:
+                    out[g] += own
+                else:
+                    out[g] = own.copy()
+        if len(out) > CACHE_WORDS:
+            yield from flush()
+    yield from flush()
+
+
+def grams_of_words(words: DataFrame) -> DataFrame:
+    """(g, co0, ct0, co1, ct1) of the n-grams of words with such counts."""
+    some = words.where(" + ".join(SLOT_COUNTS) + " > 0").select("w", *SLOT_COUNTS)
+    parts = some.mapInArrow(_count_grams, "g string, " + ", ".join(f"{c} long" for c in SLOT_COUNTS))
+    return parts.groupBy("g").agg(*[F.sum(c).alias(c) for c in SLOT_COUNTS])
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """(m, g, ct, co) from rows (text, toxic 0/1, half 0/1): counts by class for each model m."""
-    parts = rows.select("text", F.col("toxic").cast("int"), F.col("half").cast("int")).mapInArrow(
-        _count_grams, "g string, co0 long, ct0 long, co1 long, ct1 long")
-    sums = parts.groupBy("g").agg(*[F.sum(c).alias(c) for c in ("co0", "ct0", "co1", "ct1")])
-    # the model of a half's rows counts the other half
-    models = [(0, F.col("ct1"), F.col("co1")), (1, F.col("ct0"), F.col("co0")),
-              (ALL, F.col("ct0") + F.col("ct1"), F.col("co0") + F.col("co1"))]
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), t.alias("ct"), o.alias("co")) for m, t, o in models]))
-    return sums.select("g", each.alias("x")).select("x.m", "g", "x.ct", "x.co").where("ct + co > 0")
+    """(g, co0, ct0, co1, ct1) from rows (text, toxic 0/1, half 0/1)."""
+    return grams_of_words(word_counts(rows.select("text", (F.col("half") * 2 + F.col("toxic")).alias("slot"))))
+
+
+def _model_counts(m: int) -> tuple[Column, Column]:
+    """Toxic and ordinary count of model m: a half's model counts the other half."""
+    if m == ALL:
+        return F.col("ct0") + F.col("ct1"), F.col("co0") + F.col("co1")
+    return F.col(f"ct{1 - m}"), F.col(f"co{1 - m}")
 
 
 def _head(g: Column) -> Column:
     return F.substring(g, F.lit(1), F.length(g) - 1)
 
 
-def shared_model(counts: DataFrame) -> list[DataFrame]:
-    """Pooled Kneser-Ney model: for each length 1 .. ORDER - 1 a table (m, s, p)."""
-    level, tables = counts.select("m", "g"), []
-    conts = []
+def shared_model(counts: DataFrame, temporary: list) -> DataFrame:
+    """Pooled Kneser-Ney model (s, p0, p1, p2) of the n-grams of length 1 .. ORDER - 1.
+
+    ``temporary`` gets the tables that the result reads.
+    """
+    level = counts.select("g", *[(t + o).alias(f"n{m}") for m in MODELS for t, o in [_model_counts(m)]])
+    levels = []
     for k in range(ORDER - 1, 0, -1):
         # n-grams of full length lose their first character; shorter ones start a word and stay
-        level = (level.select("m", F.when(F.length("g") == k + 1, F.substring(F.col("g"), 2, k)).otherwise(F.col("g")).alias("g"))
-                 .groupBy("m", "g").agg(F.count("*").alias("n")))
-        conts.append(level.where(F.length("g") == k))
-    below = None
-    for k, own in enumerate(reversed(conts), start=1):
-        heads = own.groupBy("m", _head(F.col("g")).alias("h")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-        rows = own.withColumn("h", _head(F.col("g"))).join(heads, ["m", "h"])
+        short = F.when(F.length("g") == k + 1, F.substring(F.col("g"), 2, k)).otherwise(F.col("g")).alias("g")
+        level = written(level.select(short, *[f"n{m}" for m in MODELS]).groupBy("g").agg(
+            *[F.count_if(F.col(f"n{m}") > 0).alias(f"n{m}") for m in MODELS]), "toxicity-level")
+        levels.append(level)
+    below, out = None, None
+    # the n-grams of one context differ in their last character only
+    over = Window.partitionBy("h")
+    for k, level in enumerate(reversed(levels), start=1):
+        rows = level.where(F.length("g") == k).withColumn("h", _head(F.col("g")))
+        rows = rows.select("g", *[f"n{m}" for m in MODELS], *[x for m in MODELS for x in (
+            F.sum(f"n{m}").over(over).alias(f"total{m}"), F.count_if(F.col(f"n{m}") > 0).over(over).alias(f"types{m}"))])
         if below is None:
-            rows = rows.withColumn("b", 1.0 / (F.col("types") + 1))
+            b = [1.0 / (F.col(f"types{m}") + 1) for m in MODELS]
         else:
-            tail = below.select("m", F.col("s").alias("tail"), F.col("p").alias("b"))
-            rows = rows.withColumn("tail", F.substring(F.col("g"), 2, k)).join(tail, ["m", "tail"], "left")
-            rows = rows.withColumn("b", F.coalesce("b", F.lit(1e-9)))
-        p = (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("types") * F.col("b")) / F.col("total")
-        below = rows.select("m", F.col("g").alias("s"), p.alias("p"))
-        tables.append(below)
-    return tables
+            rows = rows.withColumn("s", F.substring(F.col("g"), 2, k)).join(below, "s", "left")
+            b = [F.coalesce(f"p{m}", F.lit(1e-9)) for m in MODELS]
+        p = [F.when(F.col(f"n{m}") > 0, (F.greatest(F.col(f"n{m}") - DISCOUNT, F.lit(0.0)) + DISCOUNT
+                                         * F.col(f"types{m}") * low) / F.col(f"total{m}")) for m, low in zip(MODELS, b)]
+        below = written(rows.select(F.col("g").alias("s"), *[x.alias(f"p{m}") for m, x in zip(MODELS, p)]),
+                        "toxicity-backoff")
+        temporary.append(below)
+        out = below if out is None else out.unionByName(below)
+    discard(*levels)
+    return out
 
 
-def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Log-likelihood ratios toxic : ordinary of seen n-grams (m, g, llr), and of contexts before unseen ones."""
-    counts = written(counts, "toxicity-counts")
-    tables = shared_model(counts)
-    backoff = tables[0]
-    for t in tables[1:]:
-        backoff = backoff.unionByName(t)
-    types = lambda c: F.count(F.when(F.col(c) > 0, 1))
-    heads = counts.groupBy("m", _head(F.col("g")).alias("h")).agg(
-        F.sum("ct").alias("tt"), F.sum("co").alias("to"), types("ct").alias("kt"), types("co").alias("ko"))
+def ratio_tables(counts: DataFrame, temporary: list) -> tuple[DataFrame, DataFrame]:
+    """Log-likelihood ratios toxic : ordinary under each model, as columns r0, r1, r2: of seen
+    n-grams (g), and of contexts (g) before unseen ones; null where a model has not seen them."""
+    backoff = shared_model(counts, temporary)
+    sums, prob, weight = [], [], []
+    over = Window.partitionBy("h")
+    for m in MODELS:
+        t, o = _model_counts(m)
+        sums.append({f"tt{m}": F.sum(t), f"to{m}": F.sum(o), f"kt{m}": F.count_if(t > 0), f"ko{m}": F.count_if(o > 0)})
+        b = F.coalesce(f"p{m}", F.lit(1e-9))
+
+        def part(c, total, kinds, b=b):
+            own = (F.greatest(c - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(kinds) * b) / F.col(total)
+            return F.when(F.col(total) > 0, own).otherwise(b)
+
+        before = lambda total, kinds: F.when(F.col(total) > 0, DISCOUNT * F.col(kinds) / F.col(total)).otherwise(1.0)
+        prob.append(F.when(t + o > 0, F.log(part(t, f"tt{m}", f"kt{m}") / part(o, f"to{m}", f"ko{m}"))).alias(f"r{m}"))
+        weight.append(F.when(F.col(f"tt{m}") + F.col(f"to{m}") > 0, F.log(
+            before(f"tt{m}", f"kt{m}") / before(f"to{m}", f"ko{m}"))).alias(f"r{m}"))
+    flat = {k: v for own in sums for k, v in own.items()}
     lower = F.when(F.length("g") == ORDER, F.substring(F.col("g"), 2, ORDER)).otherwise(F.col("g"))
-    rows = counts.withColumn("h", _head(F.col("g"))).join(heads, ["m", "h"]).withColumn("s", lower)
-    rows = rows.join(backoff, ["m", "s"], "left").withColumn("b", F.coalesce("p", F.lit(1e-9)))
+    rows = counts.withColumns({"h": _head(F.col("g")), "s": lower})
+    rows = rows.select("*", *[v.over(over).alias(k) for k, v in flat.items()]).join(backoff, "s", "left")
+    heads = counts.groupBy(_head(F.col("g")).alias("g")).agg(*[v.alias(k) for k, v in flat.items()])
+    return rows.select("g", *prob), heads.select("g", *weight)
 
-    def prob(c: str, total: str, kinds: str) -> Column:
-        seen = (F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(kinds) * F.col("b")) / F.col(total)
-        return F.when(F.col(total) > 0, seen).otherwise(F.col("b"))
 
-    weight = lambda total, kinds: F.when(F.col(total) > 0, DISCOUNT * F.col(kinds) / F.col(total)).otherwise(1.0)
-    return (rows.select("m", "g", F.log(prob("ct", "tt", "kt") / prob("co", "to", "ko")).alias("llr")),
-            heads.select("m", F.col("h").alias("g"), F.log(weight("tt", "kt") / weight("to", "ko")).alias("llr")))
+def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The tables of ``ratio_tables`` as rows (m, g, llr)."""
+    def long(t):
+        each = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"r{m}").alias("llr")) for m in MODELS]))
+        return t.select("g", each.alias("x")).select("x.m", "g", "x.llr").where("llr is not null")
+    seen, contexts = ratio_tables(written(counts, "toxicity-counts"), [])
+    return long(seen), long(contexts)
 
 
 def _slot(g: Column) -> Column:
@@ -176,61 +249,85 @@ def _slot(g: Column) -> Column:
 # ---------------------------------------------------------------------------
 # one ratio per distinct word
 # ---------------------------------------------------------------------------
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of a partition's texts with their count."""
-    seen: Counter = Counter()
+_BLOCKS = "block long, kind int, t string, n long"
 
-    def flush():
-        words = list(seen)
-        for a, b in chunks(words):
-            yield pa.RecordBatch.from_arrays([pa.array(words[a:b], pa.string()),
-                                              pa.array([seen[w] for w in words[a:b]], pa.int64())], names=["w", "n"])
-        seen.clear()
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(words_of(text))
-            if len(seen) > CACHE_WORDS:
-                yield from flush()
-    yield from flush()
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of words (w, n): each of a block's n-grams once (kind 0), and its words (kind 1)."""
+    task, number, words, counts, grams = TaskContext.get().partitionId(), 0, [], [], set()
 
+    def emit():
+        block = (task << 32) + number
+        for kind, texts, n in ((0, list(grams), None), (1, words, counts)):
+            for a in range(0, len(texts), 50_000):
+                own = texts[a:a + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * len(own), pa.int64()), pa.array([kind] * len(own), pa.int32()),
+                     pa.array(own, pa.string()), pa.array(n[a:a + 50_000] if n else [None] * len(own), pa.int64())],
+                    names=["block", "kind", "t", "n"])
 
-def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(wid, g) for each n-gram of the words (wid, w)."""
     for batch in batches:
-        ids, grams = [], []
-        for wid, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            s = _BEGIN + w + _END
-            ids += [wid] * (len(s) - 1)
-            grams += [s[max(0, i - ORDER + 1):i + 1] for i in range(1, len(s))]
-            if len(ids) > 50_000:
-                yield _gram_batch(ids, grams)
-                ids, grams = [], []
-        yield _gram_batch(ids, grams)
-
-
-def _gram_batch(ids: list[int], grams: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(grams, pa.string())], names=["wid", "g"])
-
-
-MODELS = range(ALL + 1)
-RATIOS = [f"r{m}" for m in MODELS]
-
-
-def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(wid, r0, r1, ...): each word's log-likelihood ratio under each model, from words (wid, w).
-
-    An n-gram has the ratio of ``ratios``'s first table, one not seen that of its context
+        for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words.append(w)
+            counts.append(n)
+            grams.update(grams_of(w))
+            if len(words) >= BLOCK_WORDS:
+                yield from emit()
+                number, words, counts, grams = number + 1, [], [], set()
+    yield from emit()
+
+
+def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w, n, r0, r1, r2) of blocks sorted by kind: n-grams with their ratios, then words."""
+    block, number, table = None, {}, [np.zeros((1, len(RATIOS)))]
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("block", "kind", "t", "n")]
+        ratio = np.stack([batch.column(r).fill_null(0.0).to_numpy(zero_copy_only=False) for r in RATIOS], axis=1)
+        words, n, index, sizes = [], [], [], []
+        for i, (b, kind, t, count) in enumerate(zip(*columns)):
+            if b != block:
+                if words:
+                    yield _ratio_batch(words, n, index, sizes, table)
+                    words, n, index, sizes = [], [], [], []
+                block, number, table = b, {}, [np.zeros((1, len(RATIOS)))]
+            if kind == 0:
+                number[t] = len(number) + 1  # 0: an n-gram without ratio
+                table.append(ratio[i:i + 1])
+            else:
+                own = [number.get(g, 0) for g in grams_of(t)]
+                words.append(t)
+                n.append(count)
+                index += own
+                sizes.append(len(own))
+        if words:
+            yield _ratio_batch(words, n, index, sizes, table)
+
+
+def _ratio_batch(words, n, index, sizes, table) -> pa.RecordBatch:
+    table[:] = [np.concatenate(table)]
+    values = table[0][np.array(index)]
+    sums = np.add.reduceat(values, np.cumsum([0, *sizes[:-1]]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64()),
+                                       *[pa.array(c) for c in sums.T]], names=["w", "n", *RATIOS])
+
+
+def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame, temporary: list) -> DataFrame:
+    """(w, n, r0, r1, r2): each word's log-likelihood ratio under each model, from words (w, n).
+
+    An n-gram has the ratio of ``ratio_tables``'s first table, one not seen that of its context
     in the second, and 0 if that was not seen either.
     """
-    # dealt by n-gram while narrow: three columns of ratios would go over the wire mostly empty
-    wide = lambda t, key, to: t.repartition("g").groupBy(F.col("g").alias(key)).agg(
-        *[F.max(F.when(F.col("m") == m, F.col("llr"))).alias(f"{to}{m}") for m in MODELS])
-    grams = words.select("wid", "w").mapInArrow(_cut_words, "wid long, g string")
-    value = (grams.select("g").distinct().withColumn("h", _head(F.col("g")))
-             .join(wide(seen, "g", "s"), "g", "left").join(wide(contexts, "h", "c"), "h", "left")
-             .select("g", *[F.coalesce(f"s{m}", f"c{m}", F.lit(0.0)).alias(r) for m, r in zip(MODELS, RATIOS)]))
-    return grams.join(value, "g").groupBy("wid").agg(*[F.sum(r).alias(r) for r in RATIOS])
+    blocks = written(words.select("w", "n").mapInArrow(_block_words, _BLOCKS), "toxicity-blocks")
+    temporary.append(blocks)
+    as_ = lambda t, key, to: t.select(F.col("g").alias(key), *[F.col(r).alias(f"{to}{r}") for r in RATIOS])
+    grams = (blocks.where("kind = 0").withColumn("h", _head(F.col("t")))
+             .join(as_(seen, "t", "s"), "t", "left").join(as_(contexts, "h", "c"), "h", "left")
+             .select("block", "kind", "t", "n", *[F.coalesce(f"s{r}", f"c{r}").alias(r) for r in RATIOS])
+             .where(" or ".join(f"{r} <> 0" for r in RATIOS)))
+    own = blocks.where("kind = 1").withColumns({r: F.lit(None).cast("double") for r in RATIOS})
+    parts = max(1, int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (grams.unionByName(own).repartition(parts, "block").sortWithinPartitions("block", "kind")
+            .mapInArrow(_sum_words, "w string, n long, " + ", ".join(f"{r} double" for r in RATIOS)))
 
 
 def _dictionary_floor(words: DataFrame, most: int) -> int:
@@ -248,12 +345,17 @@ def _dictionary_floor(words: DataFrame, most: int) -> int:
 class WordModel:
     """Ratios of all distinct words: a broadcast dictionary of frequent ones and a table of the others."""
 
-    def __init__(self, texts: DataFrame, seen: DataFrame, contexts: DataFrame, most: int = DICTIONARY_BYTES):
-        counts = texts.select("text").mapInArrow(_count_words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    def __init__(self, texts: DataFrame, training: DataFrame, most: int = DICTIONARY_BYTES):
+        """``texts`` (text) to score, ``training`` (text, toxic 0/1, half 0/1) to learn from."""
+        rows = texts.select("text", F.lit(-1).alias("slot")).unionByName(
+            training.select("text", (F.col("half") * 2 + F.col("toxic")).alias("slot")))
+        words = written(word_counts(rows), "toxicity-words")
+        counts = written(grams_of_words(words), "toxicity-counts")
+        temporary = [words, counts]
+        found = word_ratios(words.where("n > 0"), *ratio_tables(counts, temporary), temporary)
         # eight classes of counts per power of two
-        words = written(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int"))
-                        .withColumn("wid", F.monotonically_increasing_id()), "toxicity-words")
-        table = written(words.select("wid", "w", "class").join(word_ratios(words, seen, contexts), "wid"), "toxicity-ratios")
+        table = written(found.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "toxicity-ratios")
+        discard(*temporary)
         floor = _dictionary_floor(table, most)
         frequent = table.where(F.col("class") >= floor).select("w", *RATIOS).toArrow()
         ratio = np.stack([frequent.column(r).to_numpy() for r in RATIOS])
@@ -395,7 +497,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     half = F.pmod(F.floor(hash_ / 4), F.lit(HALVES)).cast("int").alias("half")
     marks = marks.where(~held_out(F.col("doc_id"))).select("doc_id", "toxic", half)
     usable = own.where(~held_out(F.col("doc_id"))).join(marks.hint("merge"), "doc_id")
-    model = WordModel(own, *ratios(gram_counts(usable)), dictionary_bytes)
+    model = WordModel(own, usable, dictionary_bytes)
     sample = marks.orderBy(hash_, "doc_id", "toxic").limit(curve_rows)
     # at most curve_rows small rows
     fit = own.join(F.broadcast(sample), "doc_id").select(F.struct("doc_id", "toxic").alias("__key"),
