@@ -1,4 +1,5 @@
 """CSV discovery / loading / sampling, address cache and the batch build round trip."""
+import datetime as dt
 import os
 
 import pytest
@@ -79,6 +80,63 @@ def test_address_cache_latest_wins(spark, tmp_dir):
     assert got == {"S1": "1 Main Street", "S2": None, "S3": None}
 
 
+_ROW = "station_id string, station_name string, lat double, lng double, display_address string"
+
+
+def _address(spark, station, text):
+    return spark.createDataFrame([(station, "n", 40.7, -74.0, text)], _ROW)
+
+
+def test_a_writer_that_fails_before_its_commit_changes_nothing(spark, tmp_dir, monkeypatch):
+    from tripcast.sources import addresses as A
+    path = f"{tmp_dir}/cache"
+    assert upsert_addresses(spark, path, _address(spark, "S1", "first")) == 1
+
+    def fail(*a):
+        raise OSError("lost")
+
+    monkeypatch.setattr(A, "_commit", fail)
+    with pytest.raises(OSError):
+        upsert_addresses(spark, path, _address(spark, "S1", "second"))
+    monkeypatch.undo()
+    assert [r["display_address"] for r in load_address_cache(spark, path).collect()] == ["first"]
+    assert upsert_addresses(spark, path, _address(spark, "S1", "third")) == 2
+    assert [r["display_address"] for r in load_address_cache(spark, path).collect()] == ["third"]
+    assert [r["display_address"] for r in load_address_cache(spark, path, version=1).collect()] == ["first"]
+
+
+def test_two_writers_lose_no_rows(spark, tmp_dir, monkeypatch):
+    from tripcast.sources import addresses as A
+    path, commit, raced = f"{tmp_dir}/cache", A._commit, []
+
+    def second_writer_first(s, p, version, folder):
+        if not raced:  # while one writer is about to commit, another one does
+            raced.append(version)
+            assert upsert_addresses(spark, path, _address(spark, "S2", "other")) == version
+        return commit(s, p, version, folder)
+
+    monkeypatch.setattr(A, "_commit", second_writer_first)
+    assert upsert_addresses(spark, path, _address(spark, "S1", "mine")) == 2
+    got = {r["station_id"]: r["display_address"] for r in load_address_cache(spark, path).collect()}
+    assert got == {"S1": "mine", "S2": "other"} and A.committed_versions(spark, path) == [1, 2]
+
+
+def test_tables_are_rebuilt_only_when_an_input_changes(spark, tmp_dir):
+    from tripcast.plans.pipeline import rebuild_app_artifacts
+    assert set(rebuild_app_artifacts(spark, tmp_dir).values()) == {"no input"}
+    trips = spark.createDataFrame(
+        [("r1", dt.datetime(2024, 1, 1, 8), "A", "B", 40.7, -74.0, 40.8, -73.9, "member")],
+        "ride_id string, started_at timestamp, start_station_name string, end_station_name string, start_lat double, "
+        "start_lng double, end_lat double, end_lng double, rider_type string")
+    trips.write.parquet(f"{tmp_dir}/clean_trips")
+    first = rebuild_app_artifacts(spark, tmp_dir)
+    assert {k for k, v in first.items() if v == "rebuilt"} == {"app_flow_summary"}
+    assert rebuild_app_artifacts(spark, tmp_dir)["app_flow_summary"] == "current"
+    trips.unionByName(trips.withColumn("ride_id", F.lit("r2"))).write.mode("overwrite").parquet(f"{tmp_dir}/clean_trips")
+    assert rebuild_app_artifacts(spark, tmp_dir)["app_flow_summary"] == "rebuilt"
+    assert spark.read.parquet(f"{tmp_dir}/app_flow_summary").agg(F.max("flow_count")).first()[0] == 2
+
+
 def test_batch_build_round_trip(spark, tmp_dir):
     from tripcast.plans.pipeline import load_artifacts, rebuild_app_artifacts, run_pipeline
     from tripcast.sources.fixtures import trip_view

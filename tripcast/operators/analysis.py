@@ -213,31 +213,39 @@ def top_k_agreement(actual: DataFrame, predicted: DataFrame, key: str, k: int =
 # ---------------------------------------------------------------------------
 # overview (A17, A18)
 # ---------------------------------------------------------------------------
-def _argmax(df: DataFrame, key: str, value: str = "demand") -> Column:
-    """Key with the largest total; ties -> smallest key (scalar subquery)."""
-    totals = df.dropna(subset=[key]).groupBy(key).agg(F.sum(value).alias("_t"))
-    return totals.select(F.min(F.struct((-F.col("_t")).alias("neg"), F.col(key).alias("k")))["k"]).scalar()
+def overview_metrics(trips: DataFrame, station_hour: DataFrame, include_rollup: bool = False) -> DataFrame:
+    """One row of headline numbers, from one aggregate over the trips and one over the fact.
 
+    The fact is rolled up by hour, by station name and by station id in one pass (grouping
+    sets); the winners are taken from that small table.
+    """
+    counted = F.lit(True) if include_rollup else F.col("rider_type") == "all"
+    keys = ["hour", "start_station_name", "start_station_id"]
+    small = station_hour.groupingSets([[k] for k in keys], *keys).agg(
+        F.sum(F.when(counted, F.col("demand"))).alias("_t"), *[F.grouping(k).alias(f"_no_{k}") for k in keys])
 
-def overview_metrics(trips: DataFrame, station_hour: DataFrame, include_rollup: bool = False) -> DataFrame:
-    """One row of headline numbers."""
-    fact = filter_rider(station_hour, "all", include_rollup)
-    spark = trips.sparkSession
-    return spark.range(1).select(
-        trips.select(F.count(F.lit(1))).scalar().alias("total_trips"),
-        station_hour.select(F.countDistinct("start_station_id")).scalar().alias("stations"),
-        trips.select(F.min("started_at")).scalar().alias("date_min"),
-        trips.select(F.max("started_at")).scalar().alias("date_max"),
-        _argmax(fact, "hour").alias("peak_hour"),
-        _argmax(fact, "start_station_name").alias("top_station"),
-    )
+    def winner(key):  # the largest total, of equal ones the least key
+        held = (F.col(f"_no_{key}") == 0) & F.col(key).isNotNull() & F.col("_t").isNotNull()
+        return F.min(F.when(held, F.struct((-F.col("_t")).alias("neg"), F.col(key).alias("k"))))["k"]
+
+    stations = F.count_if((F.col("_no_start_station_id") == 0) & F.col("start_station_id").isNotNull())
+    fact = small.agg(stations.alias("stations"), winner("hour").alias("peak_hour"),
+                     winner("start_station_name").alias("top_station"))
+    numbers = trips.agg(F.count(F.lit(1)).alias("total_trips"), F.min("started_at").alias("date_min"),
+                        F.max("started_at").alias("date_max"))
+    both = numbers.join(fact, F.lit(True))  # one row each
+    return both.select("total_trips", "stations", "date_min", "date_max", "peak_hour", "top_station")
 
 
 def run_summary(raw: DataFrame, trips: DataFrame, stations: DataFrame, station_hour: DataFrame,
-                area_hour: DataFrame) -> DataFrame:
-    """Files, trips, stations and fact sizes in one row."""
+                area_hour: DataFrame, raw_files: int | None = None) -> DataFrame:
+    """Files, trips, stations and fact sizes in one row.
+
+    ``raw_files`` is the number of files that were listed; without it the names in ``raw`` are
+    counted, which misses files without rows.
+    """
     spark = trips.sparkSession
-    files = raw.select(F.countDistinct("source_file")).scalar() if "source_file" in raw.columns else F.lit(None)
+    files = F.lit(raw_files) if raw_files is not None else raw.select(F.countDistinct("source_file")).scalar() if "source_file" in raw.columns else F.lit(None)
     return spark.range(1).select(
         files.alias("raw_files"),
         trips.select(F.count(F.lit(1))).scalar().alias("clean_trips"),

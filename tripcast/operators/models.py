@@ -233,6 +233,11 @@ def feature_names(cats: list[str], nums: list[str]) -> list[str]:
     return [f"{c}__code" for c in cats] + nums
 
 
+def log_target(target: str):
+    """M5: what the candidates on the log scale are fitted to."""
+    return F.log1p(F.col(target).cast("double"))
+
+
 def on_demand_scale(prediction, log_target: bool, cap: float):
     """From the regressor's scale to demand, clipped to [0, cap]."""
     p = F.expm1(prediction) if log_target else prediction
@@ -270,7 +275,7 @@ def fit_candidates(coded: DataFrame, encoder: Encoder, specs: list, cap: float,
     """(candidate, scope) -> model.  All boosted candidates and scopes grow in the same jobs;
     forests are fitted beside them, for the first scope only."""
     first, rows = next(iter(scopes.items()))
-    label = F.log1p(F.col(target).cast("double"))
+    label = log_target(target)
     forests = [s for s in specs if isinstance(s, ForestSpec)]
     boosted = {s.name: s for s in specs if isinstance(s, BoostSpec)}
 

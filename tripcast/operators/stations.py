@@ -60,13 +60,16 @@ def cluster_stations(stations: DataFrame, n_clusters: int = MAX_CLUSTERS, seed:
     if k < 2:
         return stations.withColumn("region_cluster", F.lit(0))
     assembled = VectorAssembler(inputCols=["station_lat", "station_lng"], outputCol="_xy").transform(stations)
-    model = KMeans(k=k, seed=seed, featuresCol="_xy", predictionCol="_cluster").fit(assembled)
-    centres = sorted(((float(c[0]), float(c[1]), i) for i, c in enumerate(model.clusterCenters())))
-    renumber = {old: new for new, (_, _, old) in enumerate(centres)}
-    mapping = F.create_map(*[F.lit(x) for pair in renumber.items() for x in pair])
-    return (model.transform(assembled)
-            .withColumn("region_cluster", mapping[F.col("_cluster")].cast("int"))
-            .drop("_xy", "_cluster"))
+    model = KMeans(k=k, seed=seed, featuresCol="_xy").fit(assembled)
+    return assign_clusters(stations, sorted((float(c[0]), float(c[1])) for c in model.clusterCenters()))
+
+
+def assign_clusters(stations: DataFrame, centres: list[tuple[float, float]]) -> DataFrame:
+    """``region_cluster``: the place of the nearest centre (lat, lng); of equally near ones the first."""
+    lat, lng = F.col("station_lat"), F.col("station_lng")
+    far = [(lat - a) * (lat - a) + (lng - b) * (lng - b) for a, b in centres]
+    distances = F.array(*far)
+    return stations.withColumn("region_cluster", (F.array_position(distances, F.array_min(distances)) - 1).cast("int"))
 
 
 def one_row_per_station(df: DataFrame, order_cols: list[str] | None = None) -> DataFrame:

@@ -125,21 +125,23 @@ def time_features(t: str = "hour_start") -> str:
 # Common table expressions
 # ---------------------------------------------------------------------------
 def _station(n):
-    return f"'S' || lpad(CAST({n} AS VARCHAR), 2, '0')"
+    return f"'S' || lpad(CAST({n} AS VARCHAR), 6, '0')"
 
 
 def _lat(n):
-    return f"{d(40.56)} + CAST({n} AS DOUBLE) * {d(0.015)}"
+    return (f"{d(40.562)} + CAST((({n}) // 4) % 20 AS DOUBLE) * {d(0.015)} "
+            f"+ CAST(({n}) % 4 AS DOUBLE) * {d(0.000371373)}")
 
 
 def _lng(n):
-    return f"{d(-74.09)} + CAST(({n} * 7) % 20 AS DOUBLE) * {d(0.017)}"
+    return f"{d(-74.088)} + CAST(((({n}) // 4) * 7 + (({n}) // 80)) % 20 AS DOUBLE) * {d(0.017)}"
 
 
 TRIP_VIEW = f"""
 ev AS (
   SELECT event_id, ts, value, event_type,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id % 20 AS st
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS st
   FROM events
 ),
 raw_trips AS (
@@ -149,12 +151,12 @@ raw_trips AS (
     CAST(ts AS TIMESTAMP) + to_seconds(CAST(round(value * 60) AS BIGINT)) AS ended_at,
     {_station('st')} AS start_station_id,
     'Station ' || CAST(st AS VARCHAR) AS start_station_name,
-    CASE WHEN k % 20 = 19 THEN NULL ELSE {_station('k % 20')} END AS end_station_id,
-    CASE WHEN k % 20 = 19 THEN NULL ELSE 'Station ' || CAST(k % 20 AS VARCHAR) END AS end_station_name,
+    CASE WHEN k % 20 = 19 THEN NULL ELSE {_station('k')} END AS end_station_id,
+    CASE WHEN k % 20 = 19 THEN NULL ELSE 'Station ' || CAST(k AS VARCHAR) END AS end_station_name,
     {_lat('st')} AS start_lat,
     {_lng('st')} AS start_lng,
-    CASE WHEN k % 20 = 19 THEN NULL ELSE {_lat('k % 20')} END AS end_lat,
-    CASE WHEN k % 20 = 19 THEN NULL ELSE {_lng('k % 20')} END AS end_lng,
+    CASE WHEN k % 20 = 19 THEN NULL ELSE {_lat('k')} END AS end_lat,
+    CASE WHEN k % 20 = 19 THEN NULL ELSE {_lng('k')} END AS end_lng,
     CASE WHEN event_type IN ('click', 'view', 'signup') THEN ' Member ' ELSE 'casual' END AS member_casual,
     'part-' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS source_file
   FROM ev
@@ -170,7 +172,7 @@ raw_dups AS (
 
 RAW_RENAMED = """
 raw_renamed AS (
-  SELECT r.* REPLACE (CASE WHEN e.st = 3 AND e.k >= 50 THEN r.start_station_name || ' (renamed)'
+  SELECT r.* REPLACE (CASE WHEN e.st = 0 AND e.k >= 50 THEN r.start_station_name || ' (renamed)'
                            ELSE r.start_station_name END AS start_station_name)
   FROM raw_trips r JOIN ev e ON r.ride_id = CAST(e.event_id AS VARCHAR)
 )"""

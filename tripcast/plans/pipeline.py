@@ -79,7 +79,7 @@ def run_pipeline(spark: SparkSession, out_dir: str, raw_dir: str | None = None,
                            selection_metric=selection_metric, train_rider_models=train_rider_models)
         publish_training(spark, out_dir, res)
         result["best_model_name"] = res["best_model_name"]
-    summary = A.run_summary(raw, trips, stations, fact, area)
+    summary = A.run_summary(raw, trips, stations, fact, area, len(paths) if paths else None)
     write_small_csv(summary, _p(out_dir, "pipeline_summary"))
     result["summary"] = summary.first().asDict()
     return result
@@ -127,22 +127,69 @@ def _split_summary(split: DataFrame) -> DataFrame:
     return split_summary(split)
 
 
-def rebuild_app_artifacts(spark: SparkSession, processed_dir: str, recent_hours: int | None = DEFAULT_CONTEXT_HOURS) -> None:
-    """Re-publish the app tables from saved facts, without retraining (flows: A25 variant)."""
-    fact_path, area_path, trips_path = (_p(processed_dir, n) for n in
-                                        ("station_hour_demand", "area_hour_demand", "clean_trips"))
-    fact = area = trips = None
-    if path_exists(spark, fact_path):
-        from ..operators.enrich import ensure_area_label
-        fact = ensure_area_label(read_table(spark, fact_path).drop("date"))
-        write_small_csv(A.rider_summary_from_fact(fact), _p(processed_dir, "app_rider_summary_from_fact"))
-    if path_exists(spark, area_path):
-        area = read_table(spark, area_path).drop("date")
-    if path_exists(spark, trips_path):
-        trips = read_table(spark, trips_path, ["ride_id", "started_at", "start_station_name", "end_station_name",
-                                               "start_lat", "start_lng", "end_lat", "end_lng", "rider_type"])
-    if fact is not None and area is not None:
-        publish_app_artifacts(spark, processed_dir, fact, area, trips, recent_hours, with_all_flows=False)
+#: app tables by name: (inputs, how to make them from the inputs, how they are written)
+def _app_tables(recent_hours: int | None) -> dict:
+    fact, area, trips = ("station_hour_demand",), ("area_hour_demand",), ("clean_trips",)
+    return {
+        "app_station_context": (fact, lambda f: A.station_context(f, recent_hours), write_table),
+        "app_station_map_hour": (fact, A.station_map_hour, write_table),
+        "app_area_map_hour": (area, A.area_map_hour, write_table),
+        "app_area_hour": (area, lambda a: a, write_table),
+        "app_hourly_patterns": (fact, lambda f: A.demand_pattern(f, "hour"), write_table),
+        "app_weekday_patterns": (fact, lambda f: A.demand_pattern(f, "is_weekend"), write_table),
+        "app_holiday_patterns": (fact, lambda f: A.demand_pattern(f, "is_holiday"), write_table),
+        "app_top_station_summary": (fact, A.top_station_summary, write_table),
+        "app_rider_summary": (fact, A.rider_summary_from_fact, write_small_csv),
+        "app_flow_summary": (trips, lambda t: flow_summary(t, with_all=False, require_end_station_id=False), write_table),
+    }
+
+
+_INPUT_COLUMNS = {"clean_trips": ["ride_id", "started_at", "start_station_name", "end_station_name", "start_lat",
+                                  "start_lng", "end_lat", "end_lng", "rider_type"]}
+
+
+def _input(spark: SparkSession, processed_dir: str, name: str) -> DataFrame:
+    from ..operators.enrich import ensure_area_label
+    df = read_table(spark, _p(processed_dir, name), _INPUT_COLUMNS.get(name)).drop("date")
+    return ensure_area_label(df) if name == "station_hour_demand" else df
+
+
+def input_fingerprint(spark: SparkSession, path: str) -> str:
+    """Names one state of a stored table: its files with their lengths and times, from the listing alone."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", "length", "modificationTime"))
+    each = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count("*").alias("n"), F.sum("length").alias("b"), F.bit_xor(each).alias("h")).first()
+    return f"{row['n']}-{row['b']}-{row['h']}"
+
+
+def rebuild_app_artifacts(spark: SparkSession, processed_dir: str,
+                          recent_hours: int | None = DEFAULT_CONTEXT_HOURS) -> dict[str, str]:
+    """Re-publish the app tables from saved facts, without retraining (flows: A25 variant).
+
+    Every table has its inputs; it is made again only if all of them exist and one has changed
+    since, or if the table is missing.  Returns what became of each: ``rebuilt``, ``current`` or
+    ``no input``.  The state of a table's inputs is noted only after the table is written.
+    """
+    tables = _app_tables(recent_hours)
+    names = sorted({i for inputs, _, _ in tables.values() for i in inputs})
+    state = {i: input_fingerprint(spark, _p(processed_dir, i)) for i in names
+             if path_exists(spark, _p(processed_dir, i))}
+    done = {}
+    for name, (inputs, make, write) in tables.items():
+        if any(i not in state for i in inputs):
+            done[name] = "no input"
+            continue
+        now = json.dumps([recent_hours if name == "app_station_context" else None, [state[i] for i in inputs]])
+        note = _p(processed_dir, f"rebuild_notes/{name}")
+        known = path_exists(spark, note) and path_exists(spark, _p(processed_dir, name))
+        if known and spark.read.text(note).first()[0] == now:
+            done[name] = "current"
+            continue
+        write(make(*[_input(spark, processed_dir, i) for i in inputs]), _p(processed_dir, name))
+        spark.createDataFrame([(now,)], "state string").coalesce(1).write.mode("overwrite").text(note)
+        done[name] = "rebuilt"
+    return done
 
 
 def load_artifacts(spark: SparkSession, processed_dir: str) -> dict:

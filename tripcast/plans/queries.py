@@ -120,51 +120,49 @@ def q_top_station_summary(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# area rollup (cluster ids come from KMeans; in the fixture each grid cell holds
-# one station, so the cluster column is dropped and grouping by grid is exact)
+# area rollup: several stations per grid cell, which a cluster id may cut apart (KMeans has no
+# SQL form, so here the id is a rule of the fixture)
 # ---------------------------------------------------------------------------
 _AREA_SQL = E + """,
 area_hour AS (
-  SELECT hour_start, grid_cell, area_label, rider_type, CAST(sum(demand) AS BIGINT) AS demand,
+  SELECT hour_start, grid_cell, CAST(CAST(substr(start_station_id, 2) AS INTEGER) % 4 // 2 AS INTEGER) AS region_cluster,
+         area_label, rider_type, CAST(sum(demand) AS BIGINT) AS demand,
          avg(station_lat) AS station_lat, avg(station_lng) AS station_lng,
          count(DISTINCT start_station_id) AS stations
-  FROM enriched GROUP BY hour_start, grid_cell, area_label, rider_type
+  FROM enriched GROUP BY ALL
 )"""
 
 
 def _area_hour_spark(spark, sf):
-    from ..operators.stations import station_metadata
-    from .facts import enriched_station_hour
-    from ..sources.fixtures import fixture_weather
-    trips = trips_of(spark, sf)
-    fact = enriched_station_hour(trips, fixture_holidays(spark), fixture_weather(spark),
-                                 stations=station_metadata(trips, cluster=True))
-    return area_hour_demand(fact)
+    number = F.substring("start_station_id", 2, 10).cast("int") % 4
+    fact = enriched_of(spark, sf).drop("region_cluster")
+    return area_hour_demand(fact.withColumn("region_cluster", F.floor(number / 2).cast("int")))
 
 
 @register("area_hour_demand", _AREA_SQL + f"""
-SELECT hour_start, grid_cell, area_label, rider_type, demand, station_lat, station_lng, stations,
+SELECT hour_start, grid_cell, region_cluster, area_label, rider_type, demand, station_lat, station_lng, stations,
        {O.time_features('hour_start')} FROM area_hour""",
           ["station_lat", "station_lng", "hour_sin", "hour_cos", "dow_sin", "dow_cos", "month_sin", "month_cos"],
-          ["A3", "A30"])
+          ["A3"])
 def q_area_hour(spark, sf):
-    return _area_hour_spark(spark, sf).drop("region_cluster")
+    return _area_hour_spark(spark, sf)
 
 
 @register("area_map_hour", _AREA_SQL + """
-SELECT CAST(hour(hour_start) AS INTEGER) AS hour, rider_type, area_label, grid_cell, avg(demand) AS predicted_demand,
-       CAST(sum(demand) AS BIGINT) AS demand, avg(station_lat) AS station_lat, avg(station_lng) AS station_lng
-FROM area_hour GROUP BY hour(hour_start), rider_type, area_label, grid_cell""",
+SELECT CAST(hour(hour_start) AS INTEGER) AS hour, rider_type, area_label, grid_cell, region_cluster,
+       avg(demand) AS predicted_demand, CAST(sum(demand) AS BIGINT) AS demand, avg(station_lat) AS station_lat,
+       avg(station_lng) AS station_lng
+FROM area_hour GROUP BY hour(hour_start), rider_type, area_label, grid_cell, region_cluster""",
           ["predicted_demand", "station_lat", "station_lng"], ["A13"])
 def q_area_map_hour(spark, sf):
-    return A.area_map_hour(_area_hour_spark(spark, sf)).drop("region_cluster")
+    return A.area_map_hour(_area_hour_spark(spark, sf))
 
 
 @register("area_hotspots", _AREA_SQL + """
-SELECT grid_cell, CAST(sum(demand) AS BIGINT) AS demand FROM area_hour WHERE rider_type = 'all'
-GROUP BY grid_cell ORDER BY demand DESC, grid_cell LIMIT 20""", [], ["T2"])
+SELECT grid_cell, region_cluster, CAST(sum(demand) AS BIGINT) AS demand FROM area_hour WHERE rider_type = 'all'
+GROUP BY grid_cell, region_cluster ORDER BY demand DESC, grid_cell, region_cluster LIMIT 20""", [], ["T2"])
 def q_area_hotspots(spark, sf):
-    return A.area_hotspots(_area_hour_spark(spark, sf), "all", 20).drop("region_cluster")
+    return A.area_hotspots(_area_hour_spark(spark, sf), "all", 20)
 
 
 # ---------------------------------------------------------------------------
@@ -220,7 +218,8 @@ SELECT (SELECT count(DISTINCT source_file) FROM raw_trips) AS raw_files,
        (SELECT count(*) FROM trips) AS clean_trips,
        (SELECT count(DISTINCT start_station_id) FROM stations) AS stations,
        (SELECT count(*) FROM enriched) AS station_hour_rows,
-       (SELECT count(*) FROM (SELECT DISTINCT hour_start, grid_cell, area_label, rider_type FROM enriched)) AS area_hour_rows
+       (SELECT count(*) FROM (SELECT DISTINCT hour_start, grid_cell, area_label, rider_type,
+         CAST(substr(start_station_id, 2) AS INTEGER) % 4 // 2 FROM enriched)) AS area_hour_rows
 """, [], ["A18"])
 def q_run_summary(spark, sf):
     from ..operators.stations import station_metadata
@@ -229,7 +228,9 @@ def q_run_summary(spark, sf):
     from ..operators.clean import clean_trips
     raw = trip_view(spark, sf)
     trips = clean_trips(raw)
-    stations = station_metadata(trips, cluster=True)
+    number = F.substring("start_station_id", 2, 10).cast("int") % 4
+    stations = station_metadata(trips, cluster=False).drop("region_cluster").withColumn(
+        "region_cluster", F.floor(number / 2).cast("int"))
     fact = enriched_station_hour(trips, fixture_holidays(spark), fixture_weather(spark), stations=stations)
     return A.run_summary(raw, trips, stations, fact, area_hour_demand(fact))
 

@@ -20,9 +20,9 @@ from ..operators.analysis import dynamic_bins
 from ..operators.clean import clean_trips
 from ..operators.enrich import merge_weather
 from ..operators.models import prepare_numeric
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..sources.addresses import attach_addresses, load_address_cache, upsert_addresses
-from ..sources.fixtures import trip_view
+from ..sources.fixtures import fixture_holidays, trip_view
 from ..sources.sinks import read_table, write_fact, write_small_csv
 from ..sources.trips import read_trips
 from ..sources.weather import pivot_long_weather, read_weather_csv
@@ -193,10 +193,10 @@ def q_weather_daily_duplicates(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# fact sink and pruned read
+# fact sink and pruned read
 # ---------------------------------------------------------------------------
 @register("fact_parquet_round_trip", E + "\nSELECT hour_start, start_station_id, rider_type, demand, "
-          "CAST(hour_start AS DATE) AS date FROM enriched", [], ["S11", "S12", "S14", "S18"])
+          "CAST(hour_start AS DATE) AS date FROM enriched", [], ["S11", "S12"])
 def q_fact_round_trip(spark, sf):
     path = scratch(spark, "fact")
     write_fact(enriched_of(spark, sf), path)
@@ -208,22 +208,112 @@ def _flow_artifact_sql() -> str:
     return REGISTRY["flow_summary_artifact"].sql
 
 
+def _saved_facts(spark, sf) -> str:
+    """A folder with the batch build's trips, fact and area tables."""
+    from .facts import enriched_area_hour
+    root = scratch(spark, "processed")
+    fact = enriched_of(spark, sf, cut_lineage=True).drop("region_cluster")
+    fact = fact.withColumn("region_cluster", F.substring("start_station_id", 2, 10).cast("int") % 3)
+    trips_of(spark, sf).write.parquet(os.path.join(root, "clean_trips"))
+    write_fact(fact, os.path.join(root, "station_hour_demand"))
+    saved = read_table(spark, os.path.join(root, "station_hour_demand")).drop("date")
+    write_fact(enriched_area_hour(saved, None), os.path.join(root, "area_hour_demand"))
+    return root
+
+
 @register("rebuild_flow_artifact", _flow_artifact_sql(), ["start_lat", "start_lng", "end_lat", "end_lng"],
           ["S13", "A25"])
 def q_rebuild(spark, sf):
-    """Saved facts -> app tables without retraining; returns the rebuilt flow table."""
+    """Saved trips alone -> the flow table, without the facts and without retraining."""
     from .pipeline import rebuild_app_artifacts
-    from .queries_model import clustered_fact
-    from .facts import enriched_area_hour
     root = scratch(spark, "processed")
-    fact = clustered_fact(spark, sf)
     trips_of(spark, sf).write.parquet(os.path.join(root, "clean_trips"))
-    write_fact(fact, os.path.join(root, "station_hour_demand"))
-    write_fact(enriched_area_hour(fact, None), os.path.join(root, "area_hour_demand"))
     rebuild_app_artifacts(spark, root)
     return read_table(spark, os.path.join(root, "app_flow_summary"))
 
 
+_APP_ROWS = E + """,
+clustered AS (SELECT *, CAST(substr(start_station_id, 2) AS INTEGER) % 3 AS region_cluster FROM enriched),
+area_rows AS (SELECT hour_start, grid_cell, region_cluster, area_label, rider_type FROM clustered GROUP BY ALL)"""
+
+
+@register("rebuild_after_one_change", _APP_ROWS + """
+SELECT * FROM (VALUES
+  ('app_area_hour', 'rebuilt'), ('app_area_map_hour', 'rebuilt'), ('app_flow_summary', 'no input'),
+  ('app_holiday_patterns', 'current'), ('app_hourly_patterns', 'current'), ('app_rider_summary', 'current'),
+  ('app_station_context', 'current'), ('app_station_map_hour', 'current'), ('app_top_station_summary', 'rebuilt'),
+  ('app_weekday_patterns', 'current')) t(app_table, became)
+WHERE (SELECT count(*) FROM area_rows) > 0""", [], ["S13"])
+def q_rebuild_graph(spark, sf):
+    """All tables rebuilt; then the area table changes, the trips go and one table is missing."""
+    from .pipeline import rebuild_app_artifacts
+    from ..sources.trips import _fs
+    root = _saved_facts(spark, sf)
+    rebuild_app_artifacts(spark, root)
+    area = os.path.join(root, "area_hour_demand")
+    materialize(read_table(spark, area)).write.mode("overwrite").partitionBy("date").parquet(area)
+    for gone in ("clean_trips", "app_top_station_summary"):
+        fs, p = _fs(spark, os.path.join(root, gone))
+        fs.delete(p, True)
+    return spark.createDataFrame(sorted(rebuild_app_artifacts(spark, root).items()), "app_table string, became string")
+
+
+@register("artifacts_loaded", _APP_ROWS + """,
+recent AS (SELECT 1 FROM enriched
+  QUALIFY row_number() OVER (PARTITION BY start_station_id, rider_type ORDER BY hour_start DESC) <= 168),
+patterns AS (SELECT 'hourly_patterns' AS artifact, count(*) AS n FROM (SELECT DISTINCT hour, rider_type, area_label FROM enriched)
+  UNION ALL SELECT 'weekday_patterns', count(*) FROM (SELECT DISTINCT is_weekend, rider_type, area_label FROM enriched)
+  UNION ALL SELECT 'holiday_patterns', count(*) FROM (SELECT DISTINCT is_holiday, rider_type, area_label FROM enriched))
+SELECT 'station_hour' AS artifact, count(*) AS row_count FROM recent
+UNION ALL SELECT 'area_hour', count(*) FROM area_rows
+UNION ALL SELECT 'rider_summary', count(DISTINCT rider_type) FROM enriched
+UNION ALL SELECT 'top_stations', count(*) FROM (SELECT DISTINCT rider_type, area_label, start_station_id FROM enriched)
+UNION ALL SELECT artifact, n FROM patterns""", [], ["S14"])
+def q_artifacts(spark, sf):
+    """What the app loads, from rebuilt tables, with one table left to its fallback."""
+    from .pipeline import load_artifacts, rebuild_app_artifacts
+    from ..sources.trips import _fs
+    root = _saved_facts(spark, sf)
+    rebuild_app_artifacts(spark, root)
+    fs, p = _fs(spark, os.path.join(root, "app_weekday_patterns"))
+    fs.delete(p, True)
+    found = load_artifacts(spark, root)
+    names = ["station_hour", "area_hour", "rider_summary", "top_stations", "hourly_patterns", "weekday_patterns",
+             "holiday_patterns"]
+    counts = [found[n].agg(F.count("*").alias("row_count")).select(F.lit(n).alias("artifact"), "row_count") for n in names]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def _scored_sql() -> str:
+    from . import queries_model  # noqa: F401  (registers the scores)
+    from .registry import REGISTRY
+    return REGISTRY["scenario_scores"].sql
+
+
+@register("scored_results_round_trip", _scored_sql(), ["predicted_demand"], ["S18"])
+def q_scored(spark, sf):
+    """Scored stations and areas written as the app exports them, and read back."""
+    from .pipeline import write_scored
+    from .queries_model import SCENARIO, FixedScorer, written_fact
+    from ..operators.scenario import predict_station_demand
+    root = scratch(spark, "scored")
+    preds = materialize(predict_station_demand(written_fact(spark, sf), [SCENARIO], FixedScorer(), fixture_holidays(spark)))
+    areas = preds.groupBy("area_label").agg(F.sum("predicted_demand").alias("predicted_demand"))
+    write_scored(preds.select("start_station_id", "start_station_name", "area_label", "predicted_demand"), areas, root)
+    back = spark.read.option("header", True).schema(
+        "start_station_id string, start_station_name string, area_label string, predicted_demand double").csv(
+        os.path.join(root, "predicted_stations"))
+    totals = spark.read.option("header", True).schema("area_label string, predicted_demand double").csv(
+        os.path.join(root, "predicted_areas"))
+    # an area's total must be that of its stations, else its rows are left out
+    sums = back.groupBy("area_label").agg(F.sum("predicted_demand").alias("s"))
+    same = totals.join(sums, "area_label").where(F.abs(F.col("s") - F.col("predicted_demand")) < 1e-6)
+    return back.join(same.select("area_label"), "area_label", "left_semi").select("start_station_id", "predicted_demand")
+
+
 # ---------------------------------------------------------------------------
 # address cache
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -80,6 +81,19 @@ def q_clusters(spark, sf):
     return station_metadata(trips_of(spark, sf), cluster=True)
 
 
+_CENTRES = [(40.60, -74.05), (40.65, -73.95), (40.70, -73.85), (40.75, -74.0), (40.80, -73.9)]
+
+
+@register("station_clusters_fixed", O.with_ctes(O.TRIP_VIEW, O.clean(), O.STATIONS) + f""",
+centres AS (SELECT * FROM (VALUES {', '.join(f'({i}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))' for i, (a, b) in enumerate(_CENTRES))}) c(i, a, b))
+SELECT start_station_id, CAST(arg_min(i, pow(station_lat - a, 2) + pow(station_lng - b, 2)) AS INTEGER) AS region_cluster
+FROM stations CROSS JOIN centres GROUP BY start_station_id""", [], ["A30"])
+def q_clusters_fixed(spark, sf):
+    from ..operators.stations import assign_clusters
+    return assign_clusters(station_metadata(trips_of(spark, sf), cluster=False), _CENTRES).select(
+        "start_station_id", "region_cluster")
+
+
 @register("station_hour_enriched", None, [], ["A2", "W1", "A6", "J1", "J2", "J3", "J4", "J5"])
 def q_enriched_full(spark, sf):
     return clustered_fact(spark, sf)
@@ -280,6 +294,40 @@ def q_frame(spark, sf):
     return frame.select(*_FRAME_COLS)
 
 
+# ---------------------------------------------------------------------------
+# scenarios with filters of every kind in one batch, each against its own SQL
+# ---------------------------------------------------------------------------
+_CLUSTER = "CAST(substr(start_station_id, 2) AS INTEGER) % 4"  # the fixture's clusters
+_BATCH = [("rider_type = 'member'", SCENARIO),
+          ("start_station_id = 'S000003'", replace(SCENARIO, rider_type="all", station_id="S000003")),
+          ("grid_cell = '{cell}' AND rider_type = 'member'", replace(SCENARIO, grid_cell="{cell}")),
+          ("area_label = 'Queens' AND rider_type = 'casual'",
+           replace(SCENARIO, rider_type="casual", area_label="Queens")),
+          (f"{_CLUSTER} = 2", replace(SCENARIO, rider_type="all", region_cluster=2)),
+          (f"{_CLUSTER} = 1 AND rider_type = 'member'", replace(SCENARIO, region_cluster=1)),
+          ("true", replace(SCENARIO, rider_type="all"))]
+_BATCH_CELL = "4060_-7408"
+
+
+def _batch_sql() -> str:
+    parts = []
+    for i, (condition, s) in enumerate(_BATCH):
+        own = _FRAME_SQL.replace("hist AS (SELECT * FROM enriched WHERE rider_type = 'member')",
+                                 f"hist AS (SELECT * FROM enriched WHERE {condition.format(cell=_BATCH_CELL)})")
+        own = own.replace("SELECT 0 AS scenario_id, m.*, 'member' AS rider_type",
+                          f"SELECT {i} AS scenario_id, m.*, '{s.rider_type}' AS rider_type")
+        parts.append(f"SELECT * FROM ({own})")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("scenario_batch", _batch_sql(), _FRAME_DOUBLES, ["C15", "P1", "P2", "P3", "W8", "W9", "J6", "J7", "J8"])
+def q_batch(spark, sf):
+    cluster = (F.substring("start_station_id", 2, 10).cast("int") % 4).alias("region_cluster")
+    fact = written_fact(spark, sf).drop("region_cluster").select("*", cluster)
+    scenarios = [replace(s, grid_cell=s.grid_cell and _BATCH_CELL) for _, s in _BATCH]
+    return build_scenario_frame(fact, scenarios, fixture_holidays(spark)).select(*_FRAME_COLS)
+
+
 # ---------------------------------------------------------------------------
 # the scoring chain on fixed predictions, checked against DuckDB
 # ---------------------------------------------------------------------------
@@ -295,10 +343,10 @@ def q_prediction_cap(spark, sf):
 @register("ordinal_codes", E + """,
 known AS (
   SELECT start_station_id, dense_rank() OVER (ORDER BY start_station_id) - 1 AS code
-  FROM (SELECT DISTINCT start_station_id FROM enriched WHERE start_station_id < 'S15')),
+  FROM (SELECT DISTINCT start_station_id FROM enriched WHERE start_station_id < 'S000100')),
 riders AS (
   SELECT rider_type, dense_rank() OVER (ORDER BY rider_type) - 1 AS code
-  FROM (SELECT DISTINCT rider_type FROM enriched WHERE start_station_id < 'S15' AND rider_type <> 'casual'))
+  FROM (SELECT DISTINCT rider_type FROM enriched WHERE start_station_id < 'S000100' AND rider_type <> 'casual'))
 SELECT e.hour_start, e.start_station_id, e.rider_type, CAST(coalesce(k.code, -1) AS DOUBLE) AS station_code,
        CAST(coalesce(r.code, -1) AS DOUBLE) AS rider_code
 FROM enriched e LEFT JOIN known k USING (start_station_id) LEFT JOIN riders r USING (rider_type)""",
@@ -308,7 +356,7 @@ def q_ordinal_codes(spark, sf):
     from ..operators.models import add_codes, encoder_stages
     fact = enriched_of(spark, sf).select("hour_start", "start_station_id", "rider_type")
     cats = ["start_station_id", "rider_type"]
-    known = fact.filter("start_station_id < 'S15' AND rider_type <> 'casual'")
+    known = fact.filter("start_station_id < 'S000100' AND rider_type <> 'casual'")
     encoder = Pipeline(stages=encoder_stages(cats, [])[0]).fit(known)
     labels = {c: list(own) for c, own in zip(cats, encoder.stages[0].labelsArray)}
     out = add_codes(encoder.transform(fact), cats, labels)
@@ -317,6 +365,21 @@ def q_ordinal_codes(spark, sf):
                       F.col("rider_type__code").alias("rider_code"))
 
 
+_LOG_RAW = "0.9 * ln(1 + demand) + 0.05 * (hour % 7) - 0.2"
+
+
+@register("target_transform", E + f"""
+SELECT hour_start, start_station_id, rider_type, ln(1 + CAST(demand AS DOUBLE)) AS target,
+       least(greatest(exp({_LOG_RAW}) - 1, 0.0), 4.0) AS from_log, least(greatest(demand - 1.5, 0.0), 4.0) AS from_demand
+FROM enriched""", ["target", "from_log", "from_demand"], ["M5"])
+def q_target_transform(spark, sf):
+    from ..operators.models import log_target, on_demand_scale
+    fact = enriched_of(spark, sf).select("hour_start", "start_station_id", "rider_type", "demand", "hour")
+    return fact.select("hour_start", "start_station_id", "rider_type", log_target("demand").alias("target"),
+                       on_demand_scale(F.expr(_LOG_RAW), True, 4.0).alias("from_log"),
+                       on_demand_scale(F.expr("demand - 1.5"), False, 4.0).cast("double").alias("from_demand"))
+
+
 # a fixed raw prediction that is off by a station-dependent amount
 _RAW = "least(demand * 0.8 + (hour % 5) * 0.31719 + 0.51313, 6.0)"
 _SEGMENTS = """
@@ -354,7 +417,7 @@ def q_residual_corrections(spark, sf):
 @register("scoring_chain", E + "," + _SEGMENTS + """
 SELECT hour_start, start_station_id, rider_type,
        least(greatest(p + 0.35 * coalesce(correction, 0.125), 0.0), 6.0) AS predicted_demand
-FROM chain LEFT JOIN segments USING (rider_type, hour)""", ["predicted_demand"], ["M5", "M12", "M14", "J9"])
+FROM chain LEFT JOIN segments USING (rider_type, hour)""", ["predicted_demand"], ["M12", "M14", "J9"])
 def q_scoring_chain(spark, sf):
     model, fact, table = _fixed_corrections(spark, sf)
     model.residual_keys, model.residual_table, model.residual_bias = ["rider_type", "hour"], table, 0.125

@@ -1,8 +1,10 @@
 """Trip-shaped view over the driver's ``events`` table, plus small side tables.
 
-``events`` rows become trips: station from ``user_id % 20``, end station from the
-``k`` value in ``props``, duration from ``value`` minutes.  Every number is a
-double so grid and area maths agree across engines.
+``events`` rows become trips.  Every user is a start station, so stations grow with the
+table, but every third event starts at station 0, a hot one; the end station comes from the
+``k`` value in ``props``, duration from ``value`` minutes.  Four stations share a grid cell,
+and cells are spread over the areas.  Every number is a double so grid and area maths agree
+across engines.
 """
 from __future__ import annotations
 
@@ -12,24 +14,38 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_utc
 
-N_STATIONS = 20
+STATIONS_PER_CELL = 4
+CELLS_PER_SIDE = 20
+HOT_EVERY = 3
+NO_END_EVERY = 20
 MEMBER_EVENTS = ["click", "view", "signup"]
 
 
 def _station_id(n: Column) -> Column:
-    return F.concat(F.lit("S"), F.lpad(n.cast("string"), 2, "0"))
+    return F.concat(F.lit("S"), F.lpad(n.cast("string"), 6, "0"))
 
 
 def _station_name(n: Column) -> Column:
     return F.concat(F.lit("Station "), n.cast("string"))
 
 
+def _start_station() -> Column:
+    return F.when(F.col("event_id") % HOT_EVERY == 0, F.lit(0)).otherwise(F.col("user_id")).cast("bigint")
+
+
+def _cell(n: Column) -> Column:
+    return ((n - n % STATIONS_PER_CELL) / STATIONS_PER_CELL).cast("bigint")
+
+
 def _lat(n: Column) -> Column:
-    return F.lit(40.56) + n.cast("double") * F.lit(0.015)
+    return (F.lit(40.562) + (_cell(n) % CELLS_PER_SIDE).cast("double") * F.lit(0.015)
+            + (n % STATIONS_PER_CELL).cast("double") * F.lit(0.000371373))
 
 
 def _lng(n: Column) -> Column:
-    return F.lit(-74.09) + ((n * 7) % N_STATIONS).cast("double") * F.lit(0.017)
+    cell = _cell(n)
+    column = (cell * 7 + ((cell - cell % CELLS_PER_SIDE) / CELLS_PER_SIDE).cast("bigint")) % CELLS_PER_SIDE
+    return F.lit(-74.088) + column.cast("double") * F.lit(0.017)
 
 
 def events_to_trips(events: DataFrame) -> DataFrame:
@@ -38,10 +54,9 @@ def events_to_trips(events: DataFrame) -> DataFrame:
     # boundary, so predicates on the derived columns are not pushed below it
     # with the JSON parse substituted back into each of them.
     parsed = F.inline(F.array(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"))))
-    ev = events.select("event_id", "ts", "value", "event_type",
-                       (F.col("user_id") % N_STATIONS).alias("st"), parsed)
-    end = F.col("k") % N_STATIONS
-    no_end = end == N_STATIONS - 1
+    ev = events.select("event_id", "ts", "value", "event_type", _start_station().alias("st"), parsed)
+    end = F.col("k").cast("bigint")
+    no_end = end % NO_END_EVERY == NO_END_EVERY - 1
     started = F.col("ts").cast("timestamp")
     return ev.select(
         F.col("event_id").cast("string").alias("ride_id"),
@@ -81,14 +96,14 @@ def trip_view_with_duplicates(spark: SparkSession, sf_dir: str, every: int = 97,
     return base.unionByName(dup)
 
 
-def trip_view_renamed_station(spark: SparkSession, sf_dir: str, station: int = 3,
+def trip_view_renamed_station(spark: SparkSession, sf_dir: str, station: int = 0,
                               k_from: int = 50) -> DataFrame:
     """Edge variant: one station carries a second name for part of its trips (Q9)."""
     ev = read_events(spark, sf_dir)
     trips = events_to_trips(ev)
     k = F.get_json_object(ev["props"], "$.k").cast("int")
     renamed = ev.select(F.col("event_id").cast("string").alias("_rid"), k.alias("_k"),
-                        (F.col("user_id") % N_STATIONS).alias("_st"))
+                        _start_station().alias("_st"))
     joined = trips.join(renamed, trips["ride_id"] == renamed["_rid"])
     cond = (F.col("_st") == station) & (F.col("_k") >= k_from)
     return joined.withColumn(
