@@ -57,3 +57,44 @@ def test_repeated_ids_single_row_and_empty_table(docs_of):
     one = fp.with_edits(docs_of(["abcdefgh"])).collect()
     assert len(one) == 1 and one[0]["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
     assert fp.with_edits(docs_of([])).count() == 0
+
+
+MASK, MULT, ODD_MULT = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+
+def plain_mix(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & MASK
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def plain_sketch(text):
+    """The sketch by a direct loop over bytes, words and shingles."""
+    words = []
+    for w in text.encode().split():
+        acc = sum((b + 33 if 65 <= b <= 90 else b + 1) * pow(MULT, i, 1 << 64) for i, b in enumerate(w)) & MASK
+        words.append(plain_mix(acc ^ len(w) * ODD_MULT & MASK))
+    out = set()
+    for i in range(max(len(words) - 4, min(len(words), 1))):
+        h = len(words) if len(words) < 5 else 0  # a short text's only shingle also tells its length
+        for w in words[i:i + 5]:
+            h = (h * MULT + w) & MASK
+        out.add(plain_mix(h ^ ODD_MULT if len(words) < 5 else h))
+    kept = sorted(h for h in out if h < 1 << 61)
+    return kept or sorted(out)[:1]
+
+
+def test_fingerprints_equal_a_direct_loop(docs_of):
+    texts = [t or "" for t in ODD] + [f"Some TEXT number {i} " + "of many words " * (i % 9) for i in range(60)]
+    got = {r["doc_id"]: r for r in fp.with_edits(docs_of(texts)).collect()}
+    for i, t in enumerate(texts):
+        nxt = texts[(i + 1) % len(texts)]
+        n = len(t) // 4
+        own, new, following = (plain_sketch(x) for x in (t, t[:len(t) - n] + nxt[:n], nxt))
+        assert got[i]["fingerprint"] == "".join(f"{h:016x}" for h in own)
+        assert got[i]["edited_fingerprint"] == "".join(f"{h:016x}" for h in new)
+        for column, other in (("near_edited", new), ("near_next", following)):
+            both, union = len(set(own) & set(other)), len(set(own) | set(other))
+            assert got[i][column] == pytest.approx(both / union if union else 1.0)

@@ -99,3 +99,13 @@ def test_odd_ids_repeated_rows_and_empty_table(docs_of):
     kept = ngram_join.keep_one_each(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [5, 9]
     assert ngram_join.join_components(docs_of([])).count() == 0
+
+
+def test_rows_of_one_id_are_told_apart(docs_of):
+    base = [f"w{i}" for i in range(60)]
+    near = base[:-1] + ["other"]
+    rows = [(0, " ".join(base)), (1, "quite another text of several words"), (1, " ".join(near)),
+            (2, " ".join(near) + " "), (2, " ".join(near)), (3, None), (3, None), (3, ""), (4, "..")]
+    kept = ngram_join.keep_one_each(docs_of(rows, clash=True)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [
+        (0, rows[0][1]), (1, rows[1][1]), (3, ""), (3, ""), (4, "..")]

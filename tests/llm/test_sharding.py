@@ -1,6 +1,7 @@
 import zlib
 from collections import defaultdict
 
+import xxhash
 from odd_texts import ODD
 from tripcast.llm import sharding
 
@@ -34,3 +35,20 @@ def test_few_rows_long_text_and_repeated_rows(docs_of):
 
 def test_empty_table(docs_of):
     assert sharding.byte_shards(docs_of([]), shards=4).count() == 0
+
+
+def test_every_document_lies_where_a_plain_sum_puts_it(docs_of):
+    texts = [t or "" for t in ODD] + [f"text {i} " * (i % 23) for i in range(150)] + ["copy " * 30] * 60
+    rows = list(enumerate(texts))
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63) - (1 << 63)
+    total, shards = sum(len(t.encode()) + 16 for t in texts), 7
+    want, before, slots = {}, 0, {}
+    for i, t in sorted(rows, key=lambda r: (signed(r[1]), r[0])):
+        size = len(t.encode()) + 16
+        shard = min((before + size // 2) * shards // total, shards - 1)
+        want[i] = (size, zlib.crc32(t.encode()), shard, slots.setdefault(shard, 0))
+        slots[shard] += 1
+        before += size
+    got = {r["doc_id"]: (r["size"], r["text_crc32"], r["shard"], r["slot"])
+           for r in sharding.byte_shards(docs_of(rows, clash=True), shards=shards).collect()}
+    assert got == want

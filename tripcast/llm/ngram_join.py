@@ -193,7 +193,7 @@ class RTree:
 # Spark steps
 # ---------------------------------------------------------------------------
 def _read_sets(rows: DataFrame, k: int, with_text: bool) -> DataFrame:
-    """rows (id, t) -> (id, key, n, vec) or (key, n, t)."""
+    """rows (id, t, h) -> (id, h, key, n, vec) or (key, n, t); h tells rows of one id apart."""
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +206,12 @@ def _read_sets(rows: DataFrame, k: int, with_text: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([key, n, batch.column(1).slice(a, b - a)], names=["key", "n", "t"])
                 else:
                     vec = pa.array([v.tobytes() for v in points(h, bounds)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), key, n, vec],
-                                                     names=["id", "key", "n", "vec"])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), key, n, vec],
+                        names=["id", "h", "key", "n", "vec"])
 
     return rows.mapInArrow(run, "key long, n long, t string" if with_text else
-                           f"id {kind}, key long, n long, vec binary")
+                           f"id {kind}, h long, key long, n long, vec binary")
 
 
 def _deal(nodes: DataFrame, k: int, classes: Classes, num: int, den: int) -> DataFrame:
@@ -390,12 +391,12 @@ def _between(stars: DataFrame, labels: DataFrame, pts: DataFrame, num: int, den:
         run, "a long, b long").distinct()
 
 
-def join_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id of each row."""
+def _components_of_rows(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """id, h (hash of the text), n, and of rows with words label and component_id (the label's least id)."""
     spark = docs.sparkSession
     classes = size_classes(num, den)
-    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"))
+    text = text_of(docs, text_col)
+    rows = docs.select(docs[id_col].alias("id"), text.alias("t"), F.xxhash64(text).alias("h"))
     places = written(_read_sets(rows, words, False), "points")
     pts = places.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"),
                                                    F.first("vec").alias("vec"))
@@ -426,16 +427,27 @@ def join_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 1
     least = pts.select("key", "id").join(labels, "key", "left").select(
         "key", "id", F.coalesce("label", "key").alias("label"))
     heads = least.groupBy("label").agg(F.min("id").alias("component_id"))
-    of_key = least.join(heads, "label").select("key", "component_id")
-    out = places.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(of_key, "key", "left")
+    of_key = least.join(heads, "label").select("key", "label", "component_id")
+    return (places.select("id", "h", "n", F.when(F.col("n") > 0, F.col("key")).alias("key"))
+            .join(of_key, "key", "left").drop("key"))
+
+
+def join_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id of each row."""
+    out = _components_of_rows(docs, words, num, den, id_col, text_col)
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def keep_one_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The row of the least id of each component, with all its columns; of repeated rows one."""
-    found = join_components(docs, words, num, den, id_col, text_col)
-    heads = found.select(F.col("component_id").alias("__head")).distinct()
-    kept = docs.join(heads, F.col(id_col).eqNullSafe(F.col("__head")), "left_semi")
-    return kept.dropDuplicates([id_col, text_col]).select(*docs.columns)
+    """The row of the least id of each component, with all its columns; of rows with that id in
+    the component one, and of repeated rows one.  Rows without words stay."""
+    found = _components_of_rows(docs, words, num, den, id_col, text_col)
+    least = (found.where("n > 0").groupBy("label").agg(F.min(F.struct("id", "h")).alias("least"))
+             .select("least.id", "least.h"))
+    kept = least.unionByName(found.where("n = 0").select("id", "h")).distinct().select(
+        F.col("id").alias("__id"), F.col("h").alias("__h"))
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(docs, text_col)) == F.col("__h"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col]).select(*docs.columns)
