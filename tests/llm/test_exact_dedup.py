@@ -39,6 +39,25 @@ def test_deduplicate_keeps_columns_and_one_of_repeated_rows(docs_of):
         (False, 1, "x y"), (False, 4, None), (True, 0, "z")]
 
 
+def test_rows_of_one_id_are_told_apart(docs_of):
+    rows = [(1, "ab"), (1, "a b"), (2, "ab"), (3, "c d"), (3, "cd"), (3, "c  d"), (4, "c  d")]
+    docs = docs_of(rows, clash=True)
+    kept = exact_dedup.deduplicate(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "a b"), (3, "c  d")]
+    got = exact_dedup.duplicate_groups(docs, digest_all=True).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got if r["kept"]) == [(1, 1, 3), (3, 3, 4)]
+    assert len(got) == 7
+
+
+def test_a_hot_group_and_unique_rows_at_one_length(docs_of):
+    rows = [(i, "hot text " * 20) for i in range(200)] + [(200 + i, "x" * 64 + f"{i:04d}") for i in range(100)]
+    rows += [(300 + i, "x" * 64 + f"{i:04d}" + " ") for i in range(0, 100, 2)]
+    got = exact_dedup.duplicate_groups(docs_of(rows), digest_all=True).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+    kept = exact_dedup.deduplicate(docs_of(rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({k for _, k, *_ in brute(rows)})
+
+
 def test_empty_table(docs_of):
     assert exact_dedup.duplicate_groups(docs_of([]), digest_all=True).count() == 0
     assert exact_dedup.deduplicate(docs_of([])).count() == 0
