@@ -80,6 +80,15 @@ def test_address_cache_latest_wins(spark, tmp_dir):
     assert got == {"S1": "1 Main Street", "S2": None, "S3": None}
 
 
+def test_equal_rides_go_by_the_full_path(spark, tmp_dir):
+    from tripcast.operators.clean import clean_trips
+    line = "r1,classic_bike,2024-01-01 08:00:00,2024-01-01 08:20:00,{name},S1,B,S2,40.7,-74.0,40.71,-74.01,member"
+    _write(f"{tmp_dir}/raw/b/trips.csv", HEADER_A, [line.format(name="second").split(",")])
+    _write(f"{tmp_dir}/raw/a/trips.csv", HEADER_A, [line.format(name="first").split(",")])
+    rows = clean_trips(read_trips(spark, f"{tmp_dir}/raw")).collect()
+    assert [r["start_station_name"] for r in rows] == ["first"] and "source_path" not in rows[0]
+
+
 _ROW = "station_id string, station_name string, lat double, lng double, display_address string"
 
 

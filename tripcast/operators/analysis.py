@@ -71,7 +71,8 @@ def rider_type_summary(trips: DataFrame) -> DataFrame:
         F.avg("duration_min").alias("avg_duration_min"),
         F.avg("trip_distance_miles").alias("avg_distance_miles"),
     )
-    med = exact_median(trips.dropna(subset=["rider_type"]), ["rider_type"], "duration_min", "median_duration_min")
+    med = exact_median(trips.dropna(subset=["rider_type"]), ["rider_type"], "duration_min", "median_duration_min",
+                       few_groups=True)
     return base.join(med, "rider_type", "left").select(
         "rider_type", "trips", "avg_duration_min", "median_duration_min", "avg_distance_miles")
 
@@ -245,7 +246,11 @@ def run_summary(raw: DataFrame, trips: DataFrame, stations: DataFrame, station_h
     counted, which misses files without rows.
     """
     spark = trips.sparkSession
-    files = F.lit(raw_files) if raw_files is not None else raw.select(F.countDistinct("source_file")).scalar() if "source_file" in raw.columns else F.lit(None)
+    named = [c for c in ("source_path", "source_file") if c in raw.columns]
+    if raw_files is not None or not named:
+        files = F.lit(raw_files)
+    else:
+        files = raw.select(F.countDistinct(named[0])).scalar()
     return spark.range(1).select(
         files.alias("raw_files"),
         trips.select(F.count(F.lit(1))).scalar().alias("clean_trips"),

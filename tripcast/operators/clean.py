@@ -47,8 +47,9 @@ def clean_trips(raw: DataFrame, dedup: bool = True) -> DataFrame:
     df = raw.withColumns({c: _as_timestamp(raw, c) for c in ("started_at", "ended_at")})
     df = df.dropna(subset=NOT_NULL_COLUMNS)
     if dedup:
-        order = [c for c in ("source_file", "started_at", "ended_at") if c in df.columns]
+        order = [c for c in ("source_path", "source_file", "started_at", "ended_at") if c in df.columns]
         df = keep_first(df, "ride_id", order)
+    df = df.drop("source_path")
     df = df.withColumns({c: F.expr(f"try_cast(`{c}` AS double)") for c in COORDINATE_COLUMNS})
     df = df.dropna(subset=["start_lat", "start_lng"])
     lat_ok = lambda c: F.col(c).between(LAT_MIN, LAT_MAX)

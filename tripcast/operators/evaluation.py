@@ -237,7 +237,7 @@ def residual_trials(scored: DataFrame, key_sets: list[list[str]], cap: float, mi
     medians = value_count_median(rows.join(sizes.select(*keys), keys, "left_semi"), keys, "residual", "_med")
     table = sizes.join(medians, keys).select(
         *keys, (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
-    bias = F.broadcast(exact_median(scored, ["model"], "residual", "_bias"))  # one row per model
+    bias = F.broadcast(exact_median(scored, ["model"], "residual", "_bias", few_groups=True))  # one row per model
     used = F.broadcast(sizes.select("model", "key_set").distinct())  # a set without segments is no candidate
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(cap))
     adjusted = (rows.join(used, ["model", "key_set"]).join(table, keys, "left").join(bias, "model")

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "median",
-                 buckets: int = 1024, rounds: int = 2) -> DataFrame:
+                 buckets: int = 1024, rounds: int = 2, few_groups: bool = False) -> DataFrame:
+    """``few_groups``: the caller knows that there are few (rider types, models): their one-row
+    states are then broadcast, and rows do not move to meet them."""
     keys = list(groups) or ["__em_all"]
     data = df.select(*[F.col(g) for g in groups], F.col(value).cast("double").alias("__em_v")).dropna(subset=["__em_v"])
     if not groups:
@@ -23,11 +25,12 @@ def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "media
                                     F.max("__em_v").alias("__em_hi"))
     state = state.select(*keys, "__em_lo", "__em_hi", F.lit(0).cast("bigint").alias("__em_before"),
                          F.floor((F.col("__em_n") - 1) / 2).alias("__em_k1"), F.floor(F.col("__em_n") / 2).alias("__em_k2"))
+    meet = F.broadcast if few_groups or not groups else lambda t: t
     for _ in range(rounds):
         width = (F.col("__em_hi") - F.col("__em_lo")) / buckets
         b = F.when(width == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col("__em_v") - F.col("__em_lo")) / width), F.lit(buckets - 1)))
-        hist = (data.join(state, keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
+        hist = (data.join(meet(state), keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
                 .groupBy(*keys, b.alias("__em_b"), "__em_before", "__em_k1", "__em_k2")
                 .agg(F.count(F.lit(1)).alias("__em_c"), F.min("__em_v").alias("__em_blo"), F.max("__em_v").alias("__em_bhi")))
         # at most `buckets` rows per group
@@ -39,7 +42,7 @@ def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "media
                                           F.min("__em_cb").alias("__em_before"), F.first("__em_k1").alias("__em_k1"),
                                           F.first("__em_k2").alias("__em_k2"))
     # distinct values left in the narrowed range, with counts and absolute positions
-    vc = (data.join(state, keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
+    vc = (data.join(meet(state), keys).filter(F.col("__em_v").between(F.col("__em_lo"), F.col("__em_hi")))
           .groupBy(*keys, "__em_v", "__em_before", "__em_k1", "__em_k2").agg(F.count(F.lit(1)).alias("__em_c")))
     w = Window.partitionBy(*keys).orderBy("__em_v").rowsBetween(Window.unboundedPreceding, -1)
     vc = vc.withColumn("__em_cb", F.col("__em_before") + F.coalesce(F.sum("__em_c").over(w), F.lit(0)))

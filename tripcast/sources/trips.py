@@ -143,7 +143,8 @@ def balanced_sample(raw: DataFrame, paths: list[str], total: int, seed: int = 42
 
 
 def drop_file_columns(df: DataFrame) -> DataFrame:
-    return df.drop("_file_path", "_file_start")
+    """Keeps the file's full path as ``source_path``: the first of two equal rides goes by it."""
+    return df.drop("_file_start").withColumnRenamed("_file_path", "source_path")
 
 
 def read_trips(spark: SparkSession, raw_dir: str | None = None, paths: list[str] | None = None,
