@@ -249,11 +249,12 @@ def residual_trials(scored: DataFrame, key_sets: list[list[str]], cap: float, mi
 
 def choose_residual_keys(trials: DataFrame) -> DataFrame:
     """Per model the key set (-1: none) with the best score among those that do not worsen
-    MAE, WAPE or R2 and improve the score; of equal ones the first.  ``trials`` has a few rows
-    per model."""
+    MAE, WAPE or R2 and improve the score, each beyond rounding; of equal ones the first.
+    ``trials`` has a few rows per model."""
     base = trials.where("key_set = -1").select("model", *[F.col(c).alias(f"_{c}") for c in ("MAE", "WAPE", "R2", "score")])
-    kept = (F.col("MAE") <= F.col("_MAE")) & (F.col("WAPE") <= F.col("_WAPE")) & (F.col("R2") >= F.col("_R2")) & (
-        F.col("score") < F.col("_score"))
+    room = lambda c: ROUNDING * F.abs(c)
+    kept = ((F.col("MAE") <= F.col("_MAE") + room("_MAE")) & (F.col("WAPE") <= F.col("_WAPE") + room("_WAPE"))
+            & (F.col("R2") >= F.col("_R2") - room("_R2")) & (F.col("score") < F.col("_score") - room("_score")))
     score = F.round("score", SCORE_DIGITS)
     both = trials.where("key_set >= 0").join(base, "model", "right")
     best = both.groupBy("model", F.col("_score").alias("base_score")).agg(

@@ -372,7 +372,8 @@ def q_trials(spark, sf):
 SELECT b.model, coalesce(first(t.key_set ORDER BY round(t.score, 12), t.key_set) FILTER (kept), -1) AS key_set,
        any_value(b.score) AS base_score, coalesce(min(t.score) FILTER (kept), any_value(b.score)) AS score
 FROM trials b LEFT JOIN (
-  SELECT t.*, t.MAE <= n.MAE AND t.WAPE <= n.WAPE AND t.R2 >= n.R2 AND t.score < n.score AS kept
+  SELECT t.*, t.MAE <= n.MAE + 1e-12 * n.MAE AND t.WAPE <= n.WAPE + 1e-12 * n.WAPE AND t.R2 >= n.R2 - 1e-12 * abs(n.R2)
+           AND t.score < n.score - 1e-12 * n.score AS kept
   FROM trials t JOIN trials n ON t.model = n.model AND n.key_set = -1 WHERE t.key_set >= 0) t ON t.model = b.model
 WHERE b.key_set = -1 GROUP BY b.model""", ["base_score", "score"], ["M13"])
 def q_residual_choice(spark, sf):
