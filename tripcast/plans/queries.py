@@ -104,9 +104,9 @@ def q_chart_holiday(spark, sf):
 @register("hourly_pattern_in_area", E + """
 SELECT hour, rider_type, area_label, avg(demand) AS demand, CAST(sum(demand) AS BIGINT) AS demand_sum,
        count(*) AS row_count
-FROM enriched WHERE area_label = 'Brooklyn' GROUP BY hour, rider_type, area_label""", ["demand"], ["C12", "A14"])
+FROM enriched WHERE area_label = 'Queens' GROUP BY hour, rider_type, area_label""", ["demand"], ["C12", "A14"])
 def q_pattern_area(spark, sf):
-    return A.demand_pattern(A.filter_area(enriched_of(spark, sf), "Brooklyn"), "hour")
+    return A.demand_pattern(A.filter_area(enriched_of(spark, sf), "Queens"), "hour")
 
 
 _TSS = "rider_type, area_label, start_station_id, start_station_name, station_lat, station_lng"
@@ -485,9 +485,9 @@ def q_flow_trends(spark, sf):
 
 @register("predict_flow_trends_area_member",
           _trend_sql(f"day_of_week = 0 AND hour = 9 AND rider_type = 'member' AND "
-                     f"{O.area('start_lat', 'start_lng')} = 'Brooklyn'"), _FLOW_DOUBLES, ["A26", "C14"])
+                     f"{O.area('start_lat', 'start_lng')} = 'Other'"), _FLOW_DOUBLES, ["A26", "C14"])
 def q_flow_trends_area(spark, sf):
-    return FL.predict_flow_trends(trips_of(spark, sf), day_of_week=0, hour=9, rider_type="member", area="Brooklyn")
+    return FL.predict_flow_trends(trips_of(spark, sf), day_of_week=0, hour=9, rider_type="member", area="Other")
 
 
 _T6_SQL = _FLOW_BASE + f""",
