@@ -179,7 +179,7 @@ def distinct_per_text(hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np
     return h, np.searchsorted(o, np.arange(n + 1))
 
 
-def chunks(items: list[bytes], limit: int = 4 * 1024 * 1024):
+def chunks(items: list[bytes], limit: int = 2 * 1024 * 1024):
     """Index ranges whose texts have about ``limit`` bytes together (one text at least)."""
     start, total = 0, 0
     for i, x in enumerate(items):

@@ -82,6 +82,8 @@ SLOT_COUNTS = ["co0", "ct0", "co1", "ct1"]
 MODELS = range(ALL + 1)
 RATIOS = [f"r{m}" for m in MODELS]
 BLOCK_WORDS = 100_000
+#: n-grams that a task holds with their counts before it passes them on
+CACHE_GRAMS = 100_000
 
 
 def grams_of(word: str) -> list[str]:
@@ -138,7 +140,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out[g] += own
                 else:
                     out[g] = own.copy()
-        if len(out) > CACHE_WORDS:
+        if len(out) > CACHE_GRAMS:
             yield from flush()
     yield from flush()
 
@@ -279,36 +281,28 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(w, n, r0, r1, r2) of blocks sorted by kind: n-grams with their ratios, then words."""
-    block, number, table = None, {}, [np.zeros((1, len(RATIOS)))]
+    block, number, table = None, {}, np.zeros((1, len(RATIOS)))  # row 0: an n-gram without ratio
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("block", "kind", "t", "n")]
-        ratio = np.stack([batch.column(r).fill_null(0.0).to_numpy(zero_copy_only=False) for r in RATIOS], axis=1)
-        words, n, index, sizes = [], [], [], []
-        for i, (b, kind, t, count) in enumerate(zip(*columns)):
-            if b != block:
-                if words:
-                    yield _ratio_batch(words, n, index, sizes, table)
-                    words, n, index, sizes = [], [], [], []
-                block, number, table = b, {}, [np.zeros((1, len(RATIOS)))]
-            if kind == 0:
-                number[t] = len(number) + 1  # 0: an n-gram without ratio
-                table.append(ratio[i:i + 1])
-            else:
-                own = [number.get(g, 0) for g in grams_of(t)]
-                words.append(t)
-                n.append(count)
-                index += own
-                sizes.append(len(own))
-        if words:
-            yield _ratio_batch(words, n, index, sizes, table)
-
-
-def _ratio_batch(words, n, index, sizes, table) -> pa.RecordBatch:
-    table[:] = [np.concatenate(table)]
-    values = table[0][np.array(index)]
-    sums = np.add.reduceat(values, np.cumsum([0, *sizes[:-1]]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64()),
-                                       *[pa.array(c) for c in sums.T]], names=["w", "n", *RATIOS])
+        if not batch.num_rows:
+            continue
+        blocks, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+        edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+        for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+            if blocks[a] != block:
+                block, number, table = blocks[a], {}, np.zeros((1, len(RATIOS)))
+            texts = batch.column("t").slice(a, b - a).to_pylist()
+            if kinds[a] == 0:
+                number.update(zip(texts, range(len(table), len(table) + b - a)))
+                table = np.concatenate([table, np.stack([batch.column(r).slice(a, b - a).fill_null(0.0).to_numpy(
+                    zero_copy_only=False) for r in RATIOS], axis=1)])
+                continue
+            own = [[number.get(g, 0) for g in grams_of(t)] for t in texts]
+            sizes = np.array([len(o) for o in own])
+            values = table[np.array([i for o in own for i in o])]
+            sums = np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), batch.column("n").slice(a, b - a), *[pa.array(c) for c in sums.T]],
+                names=["w", "n", *RATIOS])
 
 
 def word_ratios(words: DataFrame, seen: DataFrame, contexts: DataFrame, temporary: list) -> DataFrame:
@@ -359,7 +353,7 @@ class WordModel:
         floor = _dictionary_floor(table, most)
         frequent = table.where(F.col("class") >= floor).select("w", *RATIOS).toArrow()
         ratio = np.stack([frequent.column(r).to_numpy() for r in RATIOS])
-        self.shared = _Shared(texts.sparkSession.sparkContext.broadcast((frequent.column("w").to_pylist(), ratio)))
+        self.shared = texts.sparkSession.sparkContext.broadcast((frequent.column("w").to_pylist(), ratio))
         others = table.where(F.col("class") < floor).select("w", *RATIOS)
         self.others = None if others.isEmpty() else others
 
@@ -426,31 +420,6 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50
     return {"mean": mean.tolist(), "scale": scale.tolist(), "w": w.tolist()}
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _scorer(model) -> Scorer:
-    """The scorer of this worker process for a broadcast model."""
-    if model.id not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.id] = Scorer(*model.value)
-    return _SCORERS[model.id]
-
-
-class _Shared:
-    """A broadcast model with a name by which workers keep what they build from it."""
-
-    def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
 FEATURES = ["mean_ratio", "over_1", "over_2", "words"]
 SUMS = FEATURES[:3]
 
@@ -461,7 +430,8 @@ def _with_features(rows: DataFrame, model: WordModel, id_col: str) -> DataFrame:
     other = pa.list_(pa.struct([("w", pa.string()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
+        # made for the task and gone with it: a worker process lives on into other jobs
+        scorer = Scorer(*shared.value)
         for batch in batches:
             texts, m = batch.column(2).to_pylist(), batch.column(1).to_numpy()
             for a, b in chunks(texts):
@@ -535,4 +505,5 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(digest.alias("__digest"), text_of(docs, text_col).alias("text"))
     toxic = _scored(rows, model, curve, "__digest").where(F.col("score") >= threshold).select("__digest").distinct()
     toxic = written(toxic, "toxicity-toxic")
+    model.shared.destroy()
     return docs.join(toxic, digest == toxic["__digest"], "left_anti")
