@@ -86,3 +86,16 @@ def test_haversine(spark):
     h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin((lo2 - lo1) / 2) ** 2
     assert got[0] == pytest.approx(2 * 3958.8 * math.asin(math.sqrt(h)), rel=1e-12)
     assert got[1] is None
+
+
+def test_dynamic_bins_plan_holds_its_input_twice(spark):
+    """The statistics stand in the plan once, not in every expression that mentions them."""
+    from tripcast.operators.analysis import dynamic_bins
+    df = spark.createDataFrame([(v,) for v in [None, 0.0, 1.0, 2.5, 4.0, 10.0]], "v double")
+    out = dynamic_bins(df, "v")
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "scalar-subquery" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+    rows = {r["v"]: (r["bin_index"], r["bin_lo"], r["bin_hi"], r["bin_label"]) for r in out.collect()}
+    assert rows[None][:3] == (None, None, None)
+    assert rows[0.0] == (0, -0.01, 2.0, "(-0.010, 2.000]") and rows[10.0] == (4, 8.0, 10.0, "(8.000, 10.000]")
+    assert [rows[v][0] for v in (1.0, 2.5, 4.0)] == [0, 1, 1]

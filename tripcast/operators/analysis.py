@@ -290,21 +290,18 @@ def dynamic_bins(df: DataFrame, value_col: str, min_bins: int = 3, max_bins: int
 
     Adds ``bin_index`` (0-based), ``bin_lo``, ``bin_hi`` and a ``(lo, hi]`` label.
     """
-    stats = df.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"),
-                   F.countDistinct(value_col).alias("nu"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
-    nbins = stats.select(F.least(F.greatest(F.col("nu"), F.lit(min_bins)), F.lit(max_bins))).scalar()
+    # the one row of statistics meets the rows by a join: as scalar subqueries the whole plan of ``df``
+    # would stand in every expression that mentions them, and the driver holds each copy
+    stats = df.agg(F.min(value_col).alias("__lo"), F.max(value_col).alias("__hi"), F.least(F.greatest(
+        F.countDistinct(value_col), F.lit(min_bins)), F.lit(max_bins)).alias("__n"))
+    lo, hi, nbins, v, idx = (F.col(c) for c in ("__lo", "__hi", "__n", value_col, "bin_index"))
     width = (hi - lo) / nbins
-    v = F.col(value_col)
     raw_idx = F.when(width == 0, F.lit(0)).otherwise(F.ceil((v - lo) / width) - 1)
-    idx = F.least(F.greatest(raw_idx, F.lit(0)), nbins - 1).cast("int")
     bin_lo = F.when(idx == 0, lo - (hi - lo) * 0.001).otherwise(lo + idx * width)
-    bin_hi = lo + (idx + 1) * width
-    return df.withColumns({"bin_index": F.when(v.isNull(), None).otherwise(idx)}).withColumns({
-        "bin_lo": F.when(v.isNull(), None).otherwise(bin_lo),
-        "bin_hi": F.when(v.isNull(), None).otherwise(bin_hi),
-    }).withColumn("bin_label", F.format_string("(%.3f, %.3f]", "bin_lo", "bin_hi"))
+    out = df.crossJoin(F.broadcast(stats)).withColumn("bin_index", F.when(v.isNotNull(), F.least(F.greatest(
+        raw_idx, F.lit(0)), nbins - 1)).cast("int"))
+    return out.withColumns({"bin_lo": bin_lo, "bin_hi": lo + (idx + 1) * width}).withColumn(
+        "bin_label", F.format_string("(%.3f, %.3f]", "bin_lo", "bin_hi")).drop("__lo", "__hi", "__n")
 
 
 def weather_category_demand(station_hour: DataFrame, category_col: str, rider_type: str = "all",
