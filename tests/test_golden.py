@@ -67,3 +67,19 @@ def test_metric_floors(spark):
 def test_blend_weights_grid():
     w = EV.blend_weights()
     assert len(w) == 41 and w[0] == 0.0 and w[-1] == 1.0 and w[1] == 0.025
+
+
+def test_scenario_frame_reads_the_history_only_to_reduce_it(spark, tmp_dir):
+    """The frame's plan joins the reduced tables; no grain or pattern scans the history again."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from data_folders import SF_SMALL
+    from tripcast.operators.scenario import Scenario, build_scenario_frame
+    from tripcast.plans.registry import enriched_of
+    where = f"{tmp_dir}/history"
+    enriched_of(spark, SF_SMALL).withColumn("region_cluster", F.lit(1)).write.parquet(where)
+    base = Scenario(future_time=dt.datetime(2024, 2, 1, 8))
+    frame = build_scenario_frame(spark.read.parquet(where), [base, Scenario(base.future_time, rider_type="member")])
+    assert where not in frame._jdf.queryExecution().optimizedPlan().toString() and frame.inputFiles()
+    assert not [f for f in frame.inputFiles() if where in f]
+    assert frame.where("scenario_id = 0").count() >= frame.where("scenario_id = 1").count() > 0
