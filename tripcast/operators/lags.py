@@ -71,17 +71,27 @@ def cluster_hour_profiles(fact: DataFrame) -> DataFrame:
             .agg(F.avg("demand").alias("cluster_hour_mean")))
 
 
-def densify_hours(fact: DataFrame) -> DataFrame:
-    """Station x hour spine between each series' first and last hour; gaps get demand 0.
+def dense_series_features() -> dict:
+    """The series features when lags count hours and an hour without a row has demand 0.
 
-    Rows added here carry ``_observed = false`` and are dropped after the lags.
+    Windows over ranges of hours give what rows of 0 between a series' first and last hour
+    would give, without making them: the work grows with the rows, not with the hours between.
     """
-    bounds = fact.groupBy(*SERIES_KEYS).agg(F.min("hour_start").alias("_lo"), F.max("hour_start").alias("_hi"))
-    spine = bounds.select(*SERIES_KEYS, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias("hour_start"))
-    observed = fact.select(*SERIES_KEYS, "hour_start", "demand").withColumn("_observed", F.lit(True))
-    return (spine.join(observed, SERIES_KEYS + ["hour_start"], "left")
-            .select(*SERIES_KEYS, "hour_start", F.coalesce("demand", F.lit(0)).alias("demand"),
-                    F.coalesce("_observed", F.lit(False)).alias("_observed")))
+    d, hours = F.col("demand"), (F.unix_timestamp("hour_start") / 3600).cast("bigint")
+    w = Window.partitionBy(*SERIES_KEYS).orderBy(hours)
+    # hours of the series before this one; a frame that reaches back further holds no more than them
+    earlier = hours - F.min(hours).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    held = lambda n: F.least(F.lit(n), earlier)
+    cols = {name: F.when(earlier >= n, F.coalesce(F.sum(d).over(w.rangeBetween(-n, -n)), F.lit(0))).cast("double")
+            for name, n in LAG_ROWS.items()}
+    for name, n in ROLLING_MEAN_ROWS.items():
+        cols[name] = F.when(earlier > 0, F.coalesce(F.sum(d).over(w.rangeBetween(-n, -1)), F.lit(0)) / held(n))
+    frame, n = w.rangeBetween(-ROLLING_EXTREME_ROWS, -1), ROLLING_EXTREME_ROWS
+    gaps = F.count(d).over(frame) < held(n)
+    for name, extreme, beside in (("rolling_max_24h", F.max, F.greatest), ("rolling_min_24h", F.min, F.least)):
+        found = extreme(d).over(frame)
+        cols[name] = F.when(earlier > 0, F.when(gaps, beside(found, F.lit(0))).otherwise(found)).cast("double")
+    return cols
 
 
 def add_lag_features(fact: DataFrame, fill: str = "median", densify: bool = False) -> DataFrame:
@@ -91,14 +101,7 @@ def add_lag_features(fact: DataFrame, fill: str = "median", densify: bool = Fals
     fill='profile': first the row's historical profile, then the global median.
     densify=True (Q4): lags count hours, not rows; missing hours are demand 0.
     """
-    if densify:
-        dense = densify_hours(fact)
-        lags = dense.select(*SERIES_KEYS, "hour_start", "_observed",
-                            *[c.alias(n) for n, c in _series_features(dense, SERIES_KEYS).items()])
-        lags = lags.filter("_observed").drop("_observed")
-        data = fact.join(lags, SERIES_KEYS + ["hour_start"], "left")
-    else:
-        data = fact.withColumns(_series_features(fact, SERIES_KEYS))
+    data = fact.withColumns(dense_series_features() if densify else _series_features(fact, SERIES_KEYS))
     data = data.withColumn("trend_24h", F.col("lag_1h") - F.col("lag_24h"))
     data = data.withColumns(station_profile_columns())
     area = (area_hourly_lags(fact).withColumn("hour", F.hour("hour_start"))

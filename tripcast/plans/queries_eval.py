@@ -431,7 +431,7 @@ SELECT hour_start, start_station_id, rider_type, coalesce(l1, (SELECT m FROM med
        coalesce(l24, (SELECT m FROM med)) AS lag_24h, coalesce(r24, (SELECT m FROM med)) AS rolling_mean_24h
 FROM dense_lags WHERE observed""", ["lag_1h", "lag_24h", "rolling_mean_24h"], ["Q4", "H1", "W1", "U4"])
 def q_dense(spark, sf):
-    return enriched_of(spark, sf, densify=True).select(*KEYS, "lag_1h", "lag_24h", "rolling_mean_24h")
+    return enriched_of(spark, sf, densify=True, cut_lineage=True).select(*KEYS, "lag_1h", "lag_24h", "rolling_mean_24h")
 
 
 @register("station_hotspots_with_rollup", E + """
