@@ -115,3 +115,29 @@ def test_odd_features_and_an_empty_scope(spark):
     assert (model.feature == -1).all()  # constant features cannot split
     mean = np.log1p([i % 4 for i in range(40)]).mean()
     assert df.select(model.score()).first()[0] == pytest.approx(mean)
+
+
+def test_level_sums_hold_one_feature_at_a_time():
+    """Sums by (node, feature, bin) equal a direct count; temporaries do not grow with the features."""
+    import tracemalloc
+    rng, n, features, bins = np.random.default_rng(5), 32_768, 20, 64
+    codes = rng.integers(0, bins, (features, n)).astype(np.uint8)
+    y, member, margins = rng.poisson(2.0, n).astype(float), np.ones(n, np.int32), np.full((1, n), 0.5)
+    spec = B.BoostSpec("gbt", loss="tweedie", depth=2)
+    tree = B.Tree(2)
+    tree.feature[0], tree.cut[0] = 3, 20
+    args = ([(0, codes, y, member, margins)], [B._Model(spec, 0)], [tree], [np.array([1, 2])], 0, 1, bins)
+    tracemalloc.start()
+    found = dict(B._sums(*args))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20
+    g, h = B.gradients(spec, y, margins[0])
+    node = (codes[3] > 20).astype(int)
+    for f in (0, 15, 16, 19):
+        first = f // B.GROUP_FEATURES * B.GROUP_FEATURES
+        own = found[0, first].reshape(2, -1, 2, bins)[:, f - first]
+        for i in (0, 1):
+            for b in (0, 20, 63):
+                rows = (node == i) & (codes[f] == b)
+                assert np.allclose(own[:, i, b], (g[rows].sum(), h[rows].sum()), rtol=1e-12, atol=1e-12)
