@@ -141,3 +141,33 @@ def test_level_sums_hold_one_feature_at_a_time():
             for b in (0, 20, 63):
                 rows = (node == i) & (codes[f] == b)
                 assert np.allclose(own[:, i, b], (g[rows].sum(), h[rows].sum()), rtol=1e-12, atol=1e-12)
+
+
+def test_level_sums_skip_features_without_cuts_and_walks_go_node_by_node(monkeypatch):
+    """Sums of usable features and nodes' totals stay as they are; the others are not counted."""
+    rng, n, bins = np.random.default_rng(6), 4000, 16
+    codes = rng.integers(0, bins, (20, n)).astype(np.uint8)
+    y, member, margins = rng.poisson(2.0, n).astype(float), np.ones(n, np.int32), np.full((1, n), 0.5)
+    tree = B.Tree(4)
+    for node, f in ((0, 3), (1, 5), (2, 7), (5, 17), (6, 2)):
+        tree.feature[node], tree.cut[node] = f, 3 + node
+    for levels in range(5):
+        want = np.zeros(n, np.int64)
+        for _ in range(levels):
+            f = tree.feature[want]
+            want = np.where(f >= 0, 2 * want + 1 + (codes[f, np.arange(n)] > tree.cut[want]), want)
+        assert np.array_equal(tree.walk(codes, levels), want)
+    usable = [np.where(np.arange(20) % 4 == 1, bins - 1, 0)]
+    for loss in LOSSES:
+        args = ([(0, codes, y, member, margins)], [B._Model(B.BoostSpec("v", loss=loss, depth=4, subsample=0.9), 0)],
+                [tree], [np.array([3, 4, 5, 6])], 0, 2, bins)
+        full = dict(B._sums(*args))
+        calls, count = [], np.bincount
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "bincount", lambda *a: calls.append(1) or count(*a))
+            some = dict(B._sums(*args, usable))
+        assert len(calls) == 2 * 7  # five usable features, and the first of each group
+        for (m, first), sums in full.items():
+            shape = (2, -1, 4, bins)
+            for i, (a, b) in enumerate(zip(sums.reshape(shape).swapaxes(0, 1), some[m, first].reshape(shape).swapaxes(0, 1))):
+                assert np.array_equal(a, b) if not i or usable[0][first + i] else not b.any()
