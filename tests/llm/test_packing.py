@@ -119,3 +119,36 @@ def test_null_source_is_a_queue_of_its_own(docs_of, library):
     rows = packing.pack(docs_of(list(texts.items()), sources), PATH).collect()
     by_seq, _ = check(rows, texts, library)
     assert abs(sum(r["length"] for r in by_seq[min(by_seq)] if sources[r["doc_id"]] is None) - 512) <= 1
+
+
+def test_new_chunks_are_encoded_in_one_go(monkeypatch):
+    """Ids are the tokenizer's, whatever stands beside the spaces; only odd chunks are encoded alone."""
+    import random
+    from tokenizers import Tokenizer
+    path = tokenizer_path("byte_bpe_50k.json")
+    plain, enc = Tokenizer.from_file(path), packing.Encoder(path)
+    rnd = random.Random(3)
+    bits = ["a", "the", "It's", "x\n", "\ny", "\n", "1234", "don't", "--", "é", "ZqX7", " ", "  ", "end.\n\n", "'s", "(b)"]
+    texts = [" ".join(rnd.choices(bits, k=rnd.randint(1, 12))) for _ in range(400)] + ["", " ", "a", "\n", "word " * 50]
+    for a in range(0, len(texts), 90):
+        for t, ids in zip(texts[a:a + 90], enc.encode(texts[a:a + 90])):
+            assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+    class Counted:
+        calls = 0
+
+        def __init__(self, bpe):
+            self.bpe = bpe
+
+        def encode_ordinary(self, text):
+            Counted.calls += 1
+            return self.bpe.encode_ordinary(text)
+
+        def encode_to_numpy(self, *args, **kw):
+            Counted.calls += 1
+            return self.bpe.encode_to_numpy(*args, **kw)
+
+    enc.forget()
+    enc.bpe = Counted(enc.bpe)
+    enc.encode(["first " + " ".join(f"w{i}" for i in range(500))])
+    assert Counted.calls == 2  # the first word, and all others together
