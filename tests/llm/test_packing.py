@@ -152,3 +152,17 @@ def test_new_chunks_are_encoded_in_one_go(monkeypatch):
     enc.bpe = Counted(enc.bpe)
     enc.encode(["first " + " ".join(f"w{i}" for i in range(500))])
     assert Counted.calls == 2  # the first word, and all others together
+
+
+def test_no_chunks_are_held_after_a_task(docs_of):
+    """Workers outlive their tasks: what one has learned must not stay through later stages."""
+    packing.tokenised(docs_of(["some words here", "and there"]), PATH, "doc_id", "text", "source").count()
+
+    def held(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(e.number) for e in packing._ENCODERS.values())])], ["n"])
+
+    spark = docs_of(["x"]).sparkSession
+    packing.tokenised(docs_of(["some words here", "and there"] * 8), PATH, "doc_id", "text", "source").collect()
+    assert {r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()} == {0}
