@@ -171,3 +171,34 @@ def test_level_sums_skip_features_without_cuts_and_walks_go_node_by_node(monkeyp
             shape = (2, -1, 4, bins)
             for i, (a, b) in enumerate(zip(sums.reshape(shape).swapaxes(0, 1), some[m, first].reshape(shape).swapaxes(0, 1))):
                 assert np.array_equal(a, b) if not i or usable[0][first + i] else not b.any()
+
+
+def test_bundled_features_give_each_features_own_sums_with_fewer_counts(monkeypatch):
+    rng, n = np.random.default_rng(7), 3000
+    widths = np.array([2, 1, 64, 3, 5, 2, 7, 22, 4, 2, 1, 6])
+    codes = np.stack([rng.integers(0, w, n) for w in widths]).astype(np.uint8)
+    groups = B.bundles(widths)
+    assert sorted(f for g in groups for f in g) == np.flatnonzero(widths > 1).tolist()
+    assert len(groups) <= 4 and all(np.prod(widths[g]) <= B.BUNDLE_CELLS for g in groups)
+    y, member, margins = rng.poisson(2.0, n).astype(float), np.ones(n, np.int32), np.full((1, n), 0.5)
+    tree, nodes = B.Tree(3), [np.array([1, 2])]
+    tree.feature[0], tree.cut[0] = 2, 20
+    model = [B._Model(B.BoostSpec("v", loss="tweedie", depth=3), 0)]
+    calls, count = [], np.bincount
+    with monkeypatch.context() as patch:
+        patch.setattr(np, "bincount", lambda *a: calls.append(1) or count(*a))
+        block = (0, codes, y, member, margins, B.bundled(codes, groups, widths))
+        sums = B._sums([block], model, [tree], nodes, 0, 1, B.BUNDLE_CELLS)
+        (key, got), = B._by_feature(sums, B.parts_of(groups, widths), [2])
+    assert key == (0, 0) and len(calls) == 2 * len(groups)
+    plain = dict(B._sums([block[:5]], model, [tree], nodes, 0, 1, 64))[0, 0].reshape(2, -1, 2, 64)
+    want = np.concatenate([plain[:, f, :, :widths[f]] for g in groups for f in g], axis=2)
+    assert np.allclose(got, want, rtol=1e-12, atol=1e-12)
+
+
+def test_training_tasks_get_equally_many_rows(spark):
+    rows = spark.range(40_000).repartition(5).selectExpr("double(id % 7) a", "double(id % 3) demand")
+    table = B.bin_rows(rows, ["a"], "demand", {"all": F.lit(True)})
+    sizes = [sum(part) for part in table.state().map(lambda b: len(b[2])).glom().collect()]
+    assert sum(sizes) == 40_000 and len(sizes) == spark.sparkContext.defaultParallelism
+    assert max(sizes) < 1.5 * 40_000 / len(sizes)
