@@ -202,3 +202,26 @@ def test_training_tasks_get_equally_many_rows(spark):
     sizes = [sum(part) for part in table.state().map(lambda b: len(b[2])).glom().collect()]
     assert sum(sizes) == 40_000 and len(sizes) == spark.sparkContext.defaultParallelism
     assert max(sizes) < 1.5 * 40_000 / len(sizes)
+
+
+def test_only_a_scopes_own_rows_walk_its_trees():
+    rng, n = np.random.default_rng(8), 500
+    codes, y = rng.integers(0, 9, (3, n)).astype(np.uint8), rng.poisson(1.0, n).astype(float)
+    tree = B.Tree(2)
+    for node, f in ((0, 1), (1, 2), (2, 0)):
+        tree.feature[node], tree.cut[node] = f, 4
+    tree.value[:] = np.arange(7.0)
+    member = np.where(np.arange(n) % 3, 1, 3).astype(np.int32)
+    rows = np.flatnonzero(member & 2)
+    assert np.array_equal(tree.walk(codes, 2, rows), tree.walk(codes, 2)[rows])
+    seen = []
+    tree.walk = lambda c, levels, chosen: seen.append(len(chosen)) or B.Tree.walk(tree, c, levels, chosen)
+    models = [B._Model(B.BoostSpec("v", depth=2, eta=1.0), scope) for scope in (0, 1)]
+    after = B._advance((0, codes, y, member, np.zeros((2, n)), codes), models, [tree, tree])[4]
+    assert seen == [n, len(rows)] and np.array_equal(after[1][rows], after[0][rows])
+
+
+def test_a_table_is_written_once_where_it_is_wanted(spark, tmp_dir):
+    from tripcast.session import written
+    back = written(spark.range(5), f"{tmp_dir}/fact")
+    assert back.count() == 5 and spark.read.parquet(f"{tmp_dir}/fact").count() == 5
