@@ -295,16 +295,13 @@ def residual_corrections(calibration: DataFrame, key_columns: list[str],
                          min_rows: int = RESIDUAL_MIN_SEGMENT_ROWS) -> DataFrame:
     """Median residual per segment with >= min_rows rows, shrunk by n / (n + min_rows).
 
-    Small segments go first; medians come from value counts in spillable windows, so
-    no segment's residuals are held in one task's buffer.
+    Sizes and medians come from value counts in spillable windows, so no segment's residuals
+    are held in one task's buffer.
     """
-    from .stats import value_count_median
-    sizes = calibration.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    medians = value_count_median(calibration, key_columns, "residual", "_med").select(
-        *[F.col(k).alias(f"_rk_{k}") for k in key_columns], "_med")
-    grouped = sizes.join(medians, [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in key_columns])
-    return grouped.select(*[f"_rk_{k}" for k in key_columns],
-                          (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
+    from .stats import segment_medians
+    found = segment_medians(calibration, key_columns, "residual", min_rows, "_med", "_n").where("_med is not null")
+    return found.select(*[F.col(k).alias(f"_rk_{k}") for k in key_columns],
+                        (F.col("_med") * (F.col("_n") / (F.col("_n") + min_rows))).alias("_correction"))
 
 
 def feature_importance(model: DemandModel) -> list[tuple[str, float]]:

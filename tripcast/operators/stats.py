@@ -72,3 +72,25 @@ def value_count_median(df: DataFrame, groups: list[str], value: str, out: str =
     picked = vc.groupBy(*groups).agg(F.max(F.when(holds(low), F.col("__vm_v"))).alias("__vm_a"),
                                      F.max(F.when(holds(high), F.col("__vm_v"))).alias("__vm_b"))
     return picked.select(*groups, ((F.col("__vm_a") + F.col("__vm_b")) / 2).alias(out))
+
+
+def segment_medians(df: DataFrame, groups: list[str], value: str, min_rows: int, out: str = "median",
+                    size: str = "n") -> DataFrame:
+    """Rows and exact interpolated median of every group with at least ``min_rows`` rows.
+
+    As ``value_count_median``, but rows without a value count towards a group's size, and the
+    sizes come from the same counts: the rows are read once and only their counts are shuffled.
+    """
+    known = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    vc = (df.select(*groups, known.alias("__sm_v")).groupBy(*groups, "__sm_v").agg(F.count(F.lit(1)).alias("__sm_c")))
+    w = Window.partitionBy(*groups)
+    own = F.when(F.col("__sm_v").isNotNull(), F.col("__sm_c")).otherwise(F.lit(0))
+    vc = vc.withColumns({
+        "__sm_end": F.sum(own).over(w.orderBy("__sm_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "__sm_n": F.sum(own).over(w), size: F.sum("__sm_c").over(w)}).where(F.col(size) >= min_rows)
+    holds = lambda k: (F.col("__sm_end") - own <= k) & (k < F.col("__sm_end"))
+    low, high = F.floor((F.col("__sm_n") - 1) / 2), F.floor(F.col("__sm_n") / 2)
+    picked = vc.groupBy(*groups).agg(F.first(size).alias(size),
+                                     F.max(F.when(holds(low), F.col("__sm_v"))).alias("__sm_a"),
+                                     F.max(F.when(holds(high), F.col("__sm_v"))).alias("__sm_b"))
+    return picked.select(*groups, size, ((F.col("__sm_a") + F.col("__sm_b")) / 2).alias(out))
