@@ -170,3 +170,28 @@ def test_shuffle_sizing(spark):
         assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 80000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_large_dates_of_a_fact_are_split_among_tasks(spark, tmp_dir):
+    from tripcast.sources.sinks import read_table, write_fact
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("timestamp'2024-01-01 08:00:00' as hour_start", "uuid() as name", "id")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        write_fact(rows, f"{tmp_dir}/fact")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = [f for f in os.listdir(f"{tmp_dir}/fact/date=2024-01-01") if f.endswith(".parquet")]
+    assert len(files) > 1 and read_table(spark, f"{tmp_dir}/fact").select("id").distinct().count() == 40_000
+
+
+def test_saved_facts_clean_the_events_once(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from data_folders import SF_SMALL
+    entry.queries()
+    from tripcast.plans import queries_io, registry
+    calls, real = [], registry.trip_view
+    monkeypatch.setattr(registry, "trip_view", lambda *a: calls.append(a) or real(*a))
+    root = queries_io._saved_facts(spark, SF_SMALL)
+    assert len(calls) == 1
+    assert sorted(os.listdir(root.removeprefix("file:"))) == ["area_hour_demand", "clean_trips", "station_hour_demand"]
