@@ -225,3 +225,60 @@ def test_a_table_is_written_once_where_it_is_wanted(spark, tmp_dir):
     from tripcast.session import written
     back = written(spark.range(5), f"{tmp_dir}/fact")
     assert back.count() == 5 and spark.read.parquet(f"{tmp_dir}/fact").count() == 5
+
+
+class Local:
+    """Blocks in place of an RDD of them."""
+
+    def __init__(self, blocks):
+        self.blocks = blocks
+
+    def mapPartitions(self, f):
+        return Local(list(f(iter(self.blocks))))
+
+    def getNumPartitions(self):
+        return 1
+
+    def collect(self):
+        return self.blocks
+
+
+@pytest.mark.parametrize("loss", LOSSES)
+def test_of_two_siblings_only_the_lighter_one_is_counted(loss, monkeypatch):
+    """Trees equal a plain search, with at most half of the rows counted on each level below the root."""
+    rng, n = np.random.default_rng(11), 6000
+    widths = np.array([2, 12, 40, 1, 3, 7])
+    codes = np.stack([rng.integers(0, w, n) for w in widths]).astype(np.uint8)
+    y = rng.poisson(np.exp(0.8 * (codes[1] > 8) + 0.6 * (codes[2] > 25) * (codes[4] == 1))).astype(float)
+    spec = B.BoostSpec("v", loss=loss, depth=4, eta=1.0, min_child_weight=3, gamma=0.02, reg_lambda=1.5, reg_alpha=0.1)
+    start, groups = B.start_margin(spec, y.mean(), np.log1p(y).mean()), B.bundles(widths)
+    packed = B.Packed(B.bundled(codes, groups, widths), groups, widths)
+    member, counted, count = np.ones(n, np.int32), [], np.bincount
+    with monkeypatch.context() as patch:
+        patch.setattr(np, "bincount", lambda x, *a: counted.append(len(x)) or count(x, *a))
+        state = Local([(0, packed, y, member, np.full((1, n), start))])
+        tree, = B._grow(state, [B._Model(spec, 0, start, B._unit(n, y.mean()))], 0, widths - 1, groups)
+    assert sum(counted) <= 2 * len(groups) * n * (1 + (spec.depth - 1) / 2)
+    cuts = [np.arange(w - 1.0) for w in widths]
+    splits, values = plain_tree(spec, codes.astype(float), y, np.full(n, start), cuts)
+    assert {k: int(tree.feature[k]) for k in np.flatnonzero(tree.feature >= 0)} == {k: s[1] for k, s in splits.items()}
+    assert all(tree.cut[k] == s[2] and tree.gain[k] == pytest.approx(s[0]) for k, s in splits.items())
+    assert all(tree.value[k] == pytest.approx(v) for k, v in values.items())
+    plain = tree.walk(codes, 4)
+    assert np.array_equal(packed.walk(tree, 4, np.arange(n)), plain)
+    some = np.flatnonzero(y > 1)
+    assert np.array_equal(tree.walk(packed, 3, some), tree.walk(codes, 3, some))
+
+
+def test_equal_gains_go_to_the_first_feature_in_any_order_of_rows(spark):
+    """The second feature is the first one backwards: rounding may not choose between them."""
+    rng, n = np.random.default_rng(12), 3000
+    a = rng.integers(0, 30, n)
+    y = rng.poisson(np.exp(0.05 * a))
+    df = spark.createDataFrame([(float(p), float(29 - p), float(t)) for p, t in zip(a, y)],
+                               "a double, b double, demand double").repartition(3)
+    cuts = [np.arange(29.0)] * 2
+    for loss in LOSSES:
+        spec = B.BoostSpec(loss, loss=loss, rounds=4, depth=3)
+        tree = B.fit(df, ["a", "b"], "demand", [spec], {"all": F.lit(True)}, cuts=cuts)[loss, "all"]
+        assert set(tree.feature[tree.feature >= 0].tolist()) == {0}
