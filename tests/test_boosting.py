@@ -282,3 +282,23 @@ def test_equal_gains_go_to_the_first_feature_in_any_order_of_rows(spark):
         spec = B.BoostSpec(loss, loss=loss, rounds=4, depth=3)
         tree = B.fit(df, ["a", "b"], "demand", [spec], {"all": F.lit(True)}, cuts=cuts)[loss, "all"]
         assert set(tree.feature[tree.feature >= 0].tolist()) == {0}
+
+
+def test_bins_are_bounded_by_exact_quantiles(spark, monkeypatch):
+    """Against sorted values, over several partitions and batches; an approximate sketch misses some."""
+    monkeypatch.setattr(B, "HELD_VALUES", 700)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "900")
+    try:
+        rng, n = np.random.default_rng(13), 60_000
+        x = np.stack([rng.normal(size=n), rng.integers(0, 5, n).astype(float), np.full(n, 2.0), rng.gamma(0.3, size=n)])
+        df = spark.createDataFrame([(*map(float, r), None) for r in x.T],
+                                   "a double, b double, c double, d double, e double").repartition(5)
+        got = B.quantile_cuts(df, list("abcde"), 64)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for own, cuts in zip(x, got):
+        values = np.sort(own)
+        want = np.unique(values[[int(np.ceil(n * k / 64)) - 1 for k in range(1, 64)]])
+        assert np.array_equal(cuts, want[want < values[-1]])
+    assert len(got) == 5 and not len(got[2]) and not len(got[4])
+    assert [len(c) for c in B.quantile_cuts(df.limit(0), ["a", "e"])] == [0, 0]

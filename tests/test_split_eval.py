@@ -90,3 +90,20 @@ def test_hotspot_zero_predicted(spark):
     rows = [("m", float(y), 0.0) for y in range(20)]
     out = EV.hotspot_classification(spark.createDataFrame(rows, "model string, y double, pred double")).first()
     assert out["hotspot_precision"] == 0.0 and out["hotspot_recall"] == 0.0 and out["hotspot_f1"] == 0.0
+
+
+def test_labels_by_key_are_those_by_position(spark):
+    """Without a join or a shuffle of the rows: each row's key tells its label."""
+    from tripcast.operators.split import label_by_key, label_by_position
+    rows = [(f"2024-01-0{1 + h // 24} {h % 24:02d}:00:00", f"S{s}", r) for h in range(40) for s in range(5)
+            for r in ("all", "casual", "member") if (h + s) % 4]
+    df = spark.createDataFrame(rows, "t string, start_station_id string, rider_type string").select(
+        F.col("t").cast("timestamp").alias("hour_start"), "start_station_id", "rider_type")
+    n = df.count()
+    for cuts in ([(7, "train"), (9, "calibration")], [(1, "train"), (n - 1, "calibration")], [(n // 2, "train")],
+                 [(n // 3, "train"), (n, "calibration")]):
+        labelled = df.withColumn("split", label_by_key(df, cuts, "test"))
+        want = label_by_position(df, cuts, "test").select(*labelled.columns)
+        assert sorted(labelled.collect()) == sorted(want.collect())
+        plan = labelled._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
