@@ -302,3 +302,50 @@ def test_bins_are_bounded_by_exact_quantiles(spark, monkeypatch):
         assert np.array_equal(cuts, want[want < values[-1]])
     assert len(got) == 5 and not len(got[2]) and not len(got[4])
     assert [len(c) for c in B.quantile_cuts(df.limit(0), ["a", "e"])] == [0, 0]
+
+
+def test_a_models_margins_are_those_of_its_own_rows_and_scopes_share_a_sample(spark, monkeypatch):
+    """Blocks that tasks are handed hold no more than that, and trees are those of margins for all rows."""
+    df, _ = table(spark)
+    specs = [B.BoostSpec("first", rounds=3, depth=3, subsample=0.8), B.BoostSpec("second", loss="tweedie", rounds=3, depth=2)]
+    scopes = {"all": F.lit(True), "m": F.col("rider") == "m", "c": F.col("rider") == "c"}
+    held, advance = [], B._advance
+
+    def grow(state, models, *more, real=B._grow):
+        held.extend(state.map(lambda b: (len(b[2]), [len(m) for m in b[4]], b[2].itemsize, b[3].itemsize,
+                                         [int((b[3] & (1 << k) > 0).sum()) for k in range(3)])).collect())
+        return real(state, models, *more)
+
+    monkeypatch.setattr(B, "_grow", grow)
+    slim = B.fit(df, ["a", "b", "c"], "demand", specs, scopes)
+    assert held and all(sizes == own * 2 and (y, member) == (2, 1) for _, sizes, y, member, own in held)
+    assert all(sum(own[1:]) == n == own[0] for n, _, _, _, own in held)
+    rng, n = np.random.default_rng(14), 5000
+    codes, member = rng.integers(0, 9, (4, n)).astype(np.uint8), np.where(rng.random(n) < 0.4, 3, 1).astype(np.int32)
+    y, wide = rng.poisson(1.0, n).astype(float), rng.normal(size=(2, n))
+    models = [B._Model(B.BoostSpec("v", depth=2, subsample=0.7), scope, unit=B._unit(n, 1.0)) for scope in (0, 1)]
+    tree, drawn = B.Tree(2), []
+    tree.feature[0], tree.cut[0] = 2, 4
+    tree.value[1:3] = -1.0, 1.0
+    monkeypatch.setattr(B, "_sampled", lambda *a, real=B._sampled: drawn.append(a) or real(*a))
+    own = [wide[0], wide[1][member & 2 > 0]]
+    for level, nodes in ((0, [0]), (1, [1, 2])):
+        for kind in (y, B._small(y)):
+            args = models, [tree, tree], [np.array(nodes)] * 2, 0, level, 16
+            full, some = (dict(B._sums([(0, codes, kind, member, m)], *args)) for m in (wide, own))
+            assert full.keys() == some.keys() and all(np.array_equal(full[k], some[k]) for k in full)
+    assert len(drawn) == 8  # one sample a call, not one a model
+    after = advance((0, codes, y, member, own), models, [tree, tree])[4]
+    plain = advance((0, codes, y, member, wide), models, [tree, tree])[4]
+    assert np.array_equal(after[0], plain[0]) and np.array_equal(after[1], plain[1][member & 2 > 0])
+    assert set(slim) == {(s.name, k) for s in specs for k in scopes}
+
+
+def test_lanes_give_the_sums_of_one_lane():
+    rng, n = np.random.default_rng(15), 9001
+    cell, values = np.where(rng.random(n) < 0.9, 3, rng.integers(0, 64, n)), rng.integers(0, 50, n) / 8
+    starts, lanes = B.in_lanes(n, 64)
+    assert lanes == B.LANES and len(np.unique(starts)) == lanes
+    for own in (values, None):
+        assert np.array_equal(B.summed(cell + starts, own, 64, lanes), np.bincount(cell, own, 64))
+    assert B.in_lanes(100, 64)[1] == 1 and B.in_lanes(n, B.LANE_CELLS)[1] == 1
