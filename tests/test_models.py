@@ -96,3 +96,28 @@ def test_tweedie_candidate_scores_on_the_demand_scale(spark):
                                            F.max("predicted_demand")).first()
     assert 0.0 <= lo <= hi <= cap
     assert abs(mean - fact.agg(F.avg("demand")).first()[0]) < 0.2 * mean
+
+
+def test_training_rows_are_labelled_and_encoded_once(spark, monkeypatch):
+    """What all later steps read is a stored table, not the fact with its labels and codes made anew."""
+    import pytest
+    from tripcast.plans import training
+
+    class Enough(Exception):
+        pass
+
+    seen, limit = [], spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    fact = _fact(spark)
+
+    def stop(coded, *more):
+        seen.append(coded)
+        raise Enough
+
+    monkeypatch.setattr(training, "fit_candidates", stop)
+    with pytest.raises(Enough):
+        training.train_models(fact)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "UDF" not in plan and "CASE" not in plan and len(plan.splitlines()) == 1
+    assert seen[0].count() == fact.count() and {"split", "rider_split", "demand"} <= set(seen[0].columns)
+    assert seen[0].groupBy("split").count().count() == 3
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
